@@ -22,8 +22,12 @@ def number(c: str | Column) -> Column:
 
 
 def half_even(c: str | Column, digits: int) -> Column:
-    """Round halves to the even neighbour, as numeric Python does."""
-    return F.bround(col(c), digits)
+    """Round halves to the even neighbour, scaled as array libraries do it.
+
+    Unlike ``bround`` this stays in double arithmetic.
+    """
+    scale = F.lit(10.0**digits)
+    return F.rint(col(c) * scale) / scale
 
 
 def clip(c: str | Column, low=None, high=None) -> Column:
