@@ -2,5 +2,6 @@
 
 from tideline.catalogue.registry import QUERIES, SQL_TEXTS  # noqa: F401
 from tideline.catalogue import (  # noqa: F401
-    tables, cleaning, features, facility, listing,
+    tables, cleaning, features, facility, listing, spread, timeline, association, learning,
+    grouping, advice, live,
 )

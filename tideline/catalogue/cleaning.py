@@ -11,7 +11,7 @@ from tideline.operators.mapping import (
     coalesce_derived, coerce_numeric, default_columns, fill_all, impute, map_categories,
     map_columns, normalize_names,
 )
-from tideline.plans.observations import observations, read_table
+from tideline.plans.observations import observation_table, read_table
 
 
 @query(
@@ -223,7 +223,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    obs = observations(read_table(spark, sf, "events"))
+    obs = observation_table(spark, sf)
     return schema_profile(
         obs.select(
             "date", "starting_hour",

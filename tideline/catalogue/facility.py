@@ -12,11 +12,11 @@ from tideline.functions.facility import (
     threshold_flag,
 )
 from tideline.functions.numbers import half_even
-from tideline.plans.observations import observations, read_table
+from tideline.plans.observations import observation_table, read_table
 
 
 def _obs(spark, sf):
-    return observations(read_table(spark, sf, "events"))
+    return observation_table(spark, sf)
 
 
 @query(

@@ -8,7 +8,7 @@ from tideline.catalogue.registry import query, with_obs
 from tideline.operators.rows import (
     latest, listwise, sample_head, search_rows, top_features, top_k_per_group,
 )
-from tideline.plans.observations import observations, read_table
+from tideline.plans.observations import observation_table, read_table
 
 
 @query(
@@ -60,7 +60,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    obs = observations(read_table(spark, sf, "events"))
+    obs = observation_table(spark, sf)
     return search_rows(obs, "Mon", ["date", "time_slot", "day_of_week"]).select(
         "date", "time_slot", "day_of_week", "campus_pulse_index"
     )

@@ -8,7 +8,7 @@ from tideline.catalogue.registry import SEATS, SLOT_BY_HOUR, PULSE, RISK, POINTS
 from tideline.operators.distribution import describe_stats
 from tideline.operators.flow import chrono_split
 from tideline.plans.ingest import ingest
-from tideline.plans.observations import observations, raw_uploads, read_table
+from tideline.plans.observations import observation_table, raw_uploads, read_table
 from tideline.session import scratch_path
 from tideline.sources.reports import sanitize, summary_json
 from tideline.sources.tables import (
@@ -38,7 +38,7 @@ def _(spark, sf):
     ),
 )
 def _(spark, sf):
-    obs = observations(read_table(spark, sf, "events"))
+    obs = observation_table(spark, sf)
     columns = [
         "date", "time_slot", "starting_hour", "sports_visitor_count", "sports_load_pct",
         "campus_pulse_index", "campus_activity_status",

@@ -117,8 +117,8 @@ def _block_sums(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
     if left.empty or right.empty:
         return empty
     x = np.stack(left["point"].to_numpy()).astype("float64")
-    y = np.stack(right["point"].to_numpy()).astype("float64")
-    labels, codes = np.unique(right["label"].to_numpy(), return_inverse=True)
+    y = np.stack(right["target"].to_numpy()).astype("float64")
+    labels, codes = np.unique(right["other"].to_numpy(), return_inverse=True)
     member = np.zeros((len(y), len(labels)))
     member[np.arange(len(y)), codes] = 1.0
     sx, sy = (x * x).sum(axis=1), (y * y).sum(axis=1)
@@ -155,9 +155,10 @@ def silhouette_euclidean(
     others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
     left = points.withColumn("i", block).withColumn("j", others)
     right = points.withColumn("j", block).withColumn("i", others).select(
-        "i", "j", "label", "point"
+        F.col("i").alias("ri"), F.col("j").alias("rj"), F.col("label").alias("other"),
+        F.col("point").alias("target"),
     )
-    sums = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInPandas(
+    sums = left.groupBy("i", "j").cogroup(right.groupBy("ri", "rj")).applyInPandas(
         _block_sums, "id long, label long, other long, total double"
     )
     sizes = points.groupBy(F.col("label").alias("other")).agg(F.count("*").alias("n"))

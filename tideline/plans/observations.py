@@ -16,6 +16,7 @@ from tideline.functions.facility import (
     load_pct, prepared_qty, pulse_index, supply_balance, supply_risk, threshold_flag,
 )
 from tideline.functions.numbers import half_even
+from tideline.session import stable
 
 # which event type stands for which facility
 EVENT_COLUMNS = {
@@ -133,3 +134,48 @@ def raw_uploads(events: DataFrame) -> DataFrame:
         (F.col("library_occupancy") * 120 + 40).alias("Library  Crowd"),
         F.col("classes_ending_near").alias("Classes"),
     )
+
+
+def observation_table(spark: SparkSession, folder: str) -> DataFrame:
+    """``observations`` of the events, written once: the log is scanned a single time."""
+    return stable(observations(read_table(spark, folder, "events")))
+
+
+def customer_features(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per customer with what the orders say about it."""
+    orders = read_table(spark, folder, "orders").groupBy("o_custkey").agg(
+        F.count("*").alias("n_orders"), F.avg("o_totalprice").alias("mean_price"),
+        F.count_if(F.col("o_orderstatus") == "F").alias("n_closed"),
+    )
+    customers = read_table(spark, folder, "customer")
+    return customers.join(
+        orders, customers.c_custkey == orders.o_custkey, "left"
+    ).select(
+        "c_custkey", "c_nationkey", "c_acctbal", "c_mktsegment",
+        F.coalesce("n_orders", F.lit(0)).alias("n_orders"),
+        F.coalesce("mean_price", F.lit(0.0)).alias("mean_price"),
+        F.coalesce("n_closed", F.lit(0)).alias("n_closed"),
+    )
+
+
+def order_demand(spark: SparkSession, folder: str) -> DataFrame:
+    """One row per order: what it asks for, with the features a demand model may use.
+
+    Lines are reduced to one row per order before they meet the orders.
+    """
+    lines = read_table(spark, folder, "lineitem").groupBy("l_orderkey").agg(
+        F.count("*").alias("n_lines"), F.sum("l_quantity").alias("quantity"),
+        F.avg("l_discount").alias("discount"), F.avg("l_tax").alias("tax"),
+        F.sum("l_extendedprice").alias("amount"),
+    )
+    orders = read_table(spark, folder, "orders")
+    return lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
+        "o_orderkey", "o_orderdate", "n_lines", "quantity", "discount", "tax",
+        F.month("o_orderdate").alias("month"), F.weekday("o_orderdate").alias("weekday"),
+        (F.col("amount") / 1000).alias("amount"),
+        (F.col("amount") > 250000).cast("int").alias("is_large"),
+        F.when(F.col("amount") > 300000, "Surplus Risk").when(
+            F.col("amount") < 100000, "Shortage Risk"
+        ).otherwise("Balanced").alias("risk"),
+        "o_orderstatus",
+    )
