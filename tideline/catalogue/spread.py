@@ -30,7 +30,8 @@ def _describe(table: str, column: str, where: str = "") -> str:
       round_even(quantile_cont({column}, 0.75), 2) AS q75,
       round_even(quantile_cont({column}, 0.75) - quantile_cont({column}, 0.25), 2) AS iqr,
       round_even(min({column})::DOUBLE, 2) AS min, round_even(max({column})::DOUBLE, 2) AS max,
-      round_even(skewness({column}), 2) AS skewness FROM {table} {where}"""
+      CASE WHEN min({column}) = max({column}) THEN 0.0::DOUBLE
+        ELSE round_even(skewness({column}), 2) END AS skewness FROM {table} {where}"""
 
 
 def union(parts) -> str:

@@ -22,15 +22,16 @@ ROW_LIMIT = 1_000_000
 
 @dataclass
 class Target:
-    """One wanted rank: positions ``low`` and ``high``, and the values around them."""
+    """One wanted rank, the values known to enclose it, and the rows at and between them."""
 
     metric: str
     prob: float
     n: int
+    between: int
     floor: float = -math.inf
     ceil: float = math.inf
     below: int = 0
-    inside: int = 0
+    at_floor: int = 0
 
     @property
     def position(self) -> float:
@@ -44,44 +45,62 @@ class Target:
     def high(self) -> int:
         return math.ceil(self.position)
 
-    def keeps(self):
-        value = F.col(self.metric).cast("double")
-        return F.when((value >= self.floor) & (value <= self.ceil), value)
+    @property
+    def value(self):
+        return F.col(self.metric).cast("double")
+
+    def inside(self):
+        return F.when((self.value > self.floor) & (self.value < self.ceil), self.value)
+
+    def enclosed(self):
+        return F.when((self.value >= self.floor) & (self.value <= self.ceil), self.value)
+
 
+def _narrow(df: DataFrame, targets: list[Target], slack: float) -> bool:
+    """Move the enclosing values of ``targets`` closer; False if none could be moved.
 
-def _narrow(df: DataFrame, targets: list[Target]) -> None:
-    """Move the brackets of ``targets`` closer, and count below and inside them."""
+    Only rows strictly between the two values are looked at, so a value that
+    holds many rows is passed in one step.
+    """
     # targets with one bracket share a sketch
     shared: dict[tuple, list[Target]] = {}
     for t in targets:
         shared.setdefault((t.metric, t.floor, t.ceil), []).append(t)
-    slack = 3.0 / ACCURACY
-    sketches = []
+    sketches, wanted = [], []
     for group in shared.values():
         ends = []
         for t in group:
-            ends.append(max(0.0, (t.low - t.below) / t.inside - slack))
-            ends.append(min(1.0, (t.high - t.below + 1) / t.inside + slack))
-        sketches.append(F.percentile_approx(group[0].keeps(), ends, ACCURACY))
+            start = t.below + t.at_floor
+            lo = (t.low - start) / t.between - slack
+            hi = (t.high - start + 1) / t.between + slack
+            wanted.append((t, lo >= 0 or math.isinf(t.floor), hi <= 1 or math.isinf(t.ceil)))
+            ends += [min(max(lo, 0.0), 1.0), min(max(hi, 0.0), 1.0)]
+        sketches.append(F.percentile_approx(group[0].inside(), ends, ACCURACY))
     found = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sketches)]).first()
+    ends = [float(v) for pair in found for v in pair]
     tried = [
-        (t, float(ends[2 * i]), float(ends[2 * i + 1]))
-        for group, ends in zip(shared.values(), found)
-        for i, t in enumerate(group)
+        (t, ends[2 * i] if left else t.floor, ends[2 * i + 1] if right else t.ceil)
+        for i, (t, left, right) in enumerate(wanted)
     ]
     counts = []
     for i, (t, lo, hi) in enumerate(tried):
-        value = F.col(t.metric).cast("double")
-        counts.append(F.count_if(value < lo).alias(f"b{i}"))
-        counts.append(F.count_if((value >= lo) & (value <= hi)).alias(f"i{i}"))
+        v = t.value
+        counts += [
+            F.count_if(v < lo).alias(f"below{i}"), F.count_if(v == lo).alias(f"floor{i}"),
+            F.count_if((v > lo) & (v < hi)).alias(f"between{i}"),
+            F.count_if(v == hi).alias(f"ceil{i}"),
+        ]
     got = df.agg(*counts).first()
+    moved = False
     for i, (t, lo, hi) in enumerate(tried):
-        below, inside = got[f"b{i}"], got[f"i{i}"]
-        if t.low < below:  # the sketch missed to the right: keep the old floor
-            inside, below, lo = inside + below - t.below, t.below, t.floor
-        if t.high >= below + inside:  # missed to the left: keep the old ceiling
-            inside, hi = t.below + t.inside - below, t.ceil
-        t.floor, t.ceil, t.below, t.inside = lo, hi, below, inside
+        below, at_floor = got[f"below{i}"], got[f"floor{i}"]
+        between, at_ceil = got[f"between{i}"], got[f"ceil{i}"]
+        upto = below + at_floor + between + (at_ceil if hi > lo else 0)
+        # a sketch may miss; the counts prove that both positions are enclosed
+        if below <= t.low and t.high < upto and (lo, hi) != (t.floor, t.ceil):
+            t.floor, t.ceil, t.below, t.at_floor, t.between = lo, hi, below, at_floor, between
+            moved = True
+    return moved
 
 
 def exact_quantiles(
@@ -93,13 +112,17 @@ def exact_quantiles(
     if max(sizes) <= limit:
         return _small(df, columns, probs)
 
-    targets = [Target(c, p, sizes[c], inside=sizes[c]) for c in columns for p in probs if sizes[c]]
-    open_ = [t for t in targets if t.inside > limit]
-    while open_:
-        _narrow(df, open_)
-        open_ = [t for t in open_ if t.inside > limit and t.floor < t.ceil]
+    targets = [
+        Target(c, p, sizes[c], between=sizes[c]) for c in columns for p in probs if sizes[c]
+    ]
+    slack = 3.0 / ACCURACY
+    open_ = [t for t in targets if t.between > limit]
+    while open_ and slack < 0.5:
+        if not _narrow(df, open_, slack):
+            slack *= 4
+        open_ = [t for t in open_ if t.between > limit]
     cells = [
-        F.struct(F.lit(i).alias("target"), t.keeps().alias("value"))
+        F.struct(F.lit(i).alias("target"), t.enclosed().alias("value"))
         for i, t in enumerate(targets)
     ]
     counts = (
@@ -108,7 +131,7 @@ def exact_quantiles(
         .groupBy("target", "value")
         .agg(F.count("*").alias("cnt"))
     )
-    # at most `limit` distinct values per target
+    # about `limit` distinct values per target
     upto = F.sum("cnt").over(Window.partitionBy("target").orderBy("value"))
     facts = F.array(
         *[
