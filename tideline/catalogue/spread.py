@@ -243,8 +243,10 @@ def _(spark, sf):
     """WITH m AS (SELECT min(l_extendedprice) AS lo, max(l_extendedprice) AS hi,
       count(l_extendedprice) AS n FROM lineitem),
     w AS (SELECT *, (hi - lo) / 20 AS w FROM m),
-    c AS (SELECT least(floor((l_extendedprice - lo) / w), 19)::INT AS bin, count(*) AS c
-      FROM lineitem, w GROUP BY 1)
+    g AS (SELECT l_extendedprice AS v, lo, w, least(floor((l_extendedprice - lo) / (hi - lo)
+      * 20), 19)::INT AS b FROM lineitem, w),
+    c AS (SELECT CASE WHEN v < b * w + lo THEN b - 1 WHEN v >= (b + 1) * w + lo AND b < 19
+      THEN b + 1 ELSE b END AS bin, count(*) AS c FROM g GROUP BY 1)
     SELECT b.bin::INT AS bin, round_even(lo + b.bin * w, 4) AS left_edge,
       round_even(lo + (b.bin + 1) * w, 4) AS right_edge, coalesce(c, 0) AS count,
       round_even(coalesce(c, 0) / (n * w), 12) AS density

@@ -206,8 +206,16 @@ def histogram(df: DataFrame, column: str, bins: int = 20, digits: int | None = N
         raise ValueError(f"{column} holds no values")
     lo, hi = (facts.lo, facts.hi) if facts.lo < facts.hi else (facts.lo - 0.5, facts.hi + 0.5)
     width = (hi - lo) / bins
-    bin_ = F.least(F.floor((v - lo) / width), F.lit(bins - 1)).cast("int").alias("bin")
-    counts = df.where(v.isNotNull()).groupBy(bin_).agg(F.count("*").alias("n"))
+    # the division may miss an edge by a rounding step, the comparisons with the edges settle it
+    near = F.least(F.floor((v - lo) / (hi - lo) * bins), F.lit(bins - 1)).cast("int")
+    at = F.col("near")
+    settled = (
+        F.when(F.col("v") < at * width + lo, at - 1)
+        .when((F.col("v") >= (at + 1) * width + lo) & (at < bins - 1), at + 1)
+        .otherwise(at)
+    )
+    placed = df.where(v.isNotNull()).select(v.alias("v"), near.alias("near"))
+    counts = placed.groupBy(settled.alias("bin")).agg(F.count("*").alias("n"))
     listed = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     out = listed.join(F.broadcast(counts), "bin", "left").na.fill(0, subset=["n"])
     out = out.select(
