@@ -90,13 +90,14 @@ def test_average_rank(spark):
     assert len(got) == pdf.x.nunique() + pdf.k.nunique()
 
 
-def test_with_ranks_mixes_hot_and_rare_values(spark):
+@pytest.mark.parametrize("limit", [10**5, 1])
+def test_with_ranks_mixes_hot_and_rare_values(spark, limit):
     rng = random.Random(3)
     rows = [(i, 5.0 if i % 3 == 0 else rng.random(), None if i % 11 == 0 else float(i % 4))
             for i in range(3000)]
     pdf = pd.DataFrame(rows, columns=["id", "a", "b"])
     df = spark.createDataFrame(rows, "id long, a double, b double")
-    got = {r.id: (r.a_rank, r.b_rank) for r in with_ranks(df, ["a", "b"]).collect()}
+    got = {r.id: (r.a_rank, r.b_rank) for r in with_ranks(df, ["a", "b"], limit=limit).collect()}
     assert len(got) == 3000
     for i, a, b in zip(pdf.id, pdf.a.rank(), pdf.b.rank()):
         assert got[i] == (a, None if pd.isna(b) else b)

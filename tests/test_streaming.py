@@ -2,7 +2,9 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from tideline.plans.observations import observations, raw_uploads, read_table, site_observations
+from tideline.plans.observations import (
+    event_cells, observations, raw_uploads, read_table, site_observations,
+)
 from tideline.streaming.live import (
     clean_rows, event_stream, pulse_windows, stream_append, stream_pulse,
 )
@@ -69,5 +71,5 @@ def test_clean_rows_is_row_wise(spark, sf):
 def test_observations_add_up(spark, sf):
     events = read_table(spark, sf, "events")
     views = events.where("event_type = 'view'").count()
-    assert observations(events).agg(F.sum("sports_visitor_count")).first()[0] == views
-    assert site_observations(events).agg(F.sum("sports_visitor_count")).first()[0] == views
+    assert observations(event_cells(events)).agg(F.sum("sports_visitor_count")).first()[0] == views
+    assert site_observations(event_cells(events)).agg(F.sum("sports_visitor_count")).first()[0] == views

@@ -58,12 +58,15 @@ def corr_matrix(
         data = with_ranks(data.na.drop(), columns).select(
             *[F.col(f"{c}_rank").alias(c) for c in columns]
         )
+    gaps = deletion == "pairwise" and method == "pearson"
     aggs, rows = [], []
     for i, a in enumerate(columns):
         for j in range(i, len(columns)):
             x, y = F.col(a), F.col(columns[j])
             name = f"r{i}_{j}"
-            aggs.append(pearson(x, y, x.isNotNull() & y.isNotNull()).alias(name))
+            # without gaps the sums of a column are shared by all its pairs
+            both = x.isNotNull() & y.isNotNull() if gaps else None
+            aggs.append(pearson(x, y, both).alias(name))
             for p, q in {(i, j), (j, i)}:
                 rows.append(
                     F.struct(

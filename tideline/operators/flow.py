@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -71,11 +73,17 @@ def _split_by_day(df: DataFrame, order: Sequence[str], test_size: float) -> Data
     if holder is None:
         return df.withColumn(SPLIT, F.lit("train"))
     inside = cut - (holder.upto - holder.n)
-    the_day = F.lit(holder.day)
-    same = day.eqNullSafe(the_day)
-    earlier = F.when(day.isNull(), the_day.isNotNull()).otherwise(
-        F.coalesce(day < the_day, F.lit(False))
-    )
+    when = F.col(order[0])
+    if holder.day is None:
+        same, earlier = when.isNull(), F.lit(False)
+    else:
+        # bounds on the column itself, so that a scan can skip other days
+        start, end = (
+            F.lit(d).cast(df.schema[order[0]].dataType)
+            for d in (holder.day, holder.day + datetime.timedelta(days=1))
+        )
+        same = F.coalesce((when >= start) & (when < end), F.lit(False))
+        earlier = when.isNull() | (when < start)
     rest = df.where(~same).withColumn(SPLIT, F.when(earlier, "train").otherwise("test"))
     if inside == 0:
         edge = df.where(same).withColumn(SPLIT, F.lit("test"))

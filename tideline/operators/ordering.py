@@ -18,18 +18,22 @@ PART, POS = "_part", "_pos"
 # monotonically_increasing_id keeps the position within the partition here
 POS_MASK = (1 << 33) - 1
 GROUP_LIMIT = 2_000_000
+BROADCAST_ROWS = 200_000
 
 
 def ranged(df: DataFrame, order: Sequence[str | Column]) -> DataFrame:
     """Range-partition and sort, with partition number and position, written once.
 
-    The order must be total for the positions to be reproducible.
+    Rows that are equal in ``order`` are told apart by a hash of the whole row:
+    the positions are reproducible, and a hot sort key can still be split.
     """
     if not order:
         raise ValueError("an explicit order is needed")
+    hashable = [f.name for f in df.schema if "map<" not in f.dataType.simpleString()]
+    keys = [*order, F.xxhash64(*hashable)]
     return stable(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        df.repartitionByRange(*keys)
+        .sortWithinPartitions(*keys)
         .withColumn(PART, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(POS_MASK)))
     )
@@ -44,11 +48,23 @@ def part_offsets(df: DataFrame, total: Column, name: str) -> DataFrame:
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], name: str = "rn") -> DataFrame:
     """1-based position in ``order``, without a single-task window."""
+    return sequence_features(df, order, name)
+
+
+def sequence_features(
+    df: DataFrame, order: Sequence[str | Column], number: str = "rn",
+    previous: dict[str, str] | None = None,
+) -> DataFrame:
+    """Position in ``order`` and, with ``previous`` (new name: column), the previous row's values.
+
+    One range shuffle serves both.
+    """
     rows = ranged(df, order)
     offsets = part_offsets(rows, F.count("*"), "_before")
+    out = _adjacent(rows, previous, [], -1) if previous else rows
     return (
-        rows.join(F.broadcast(offsets), PART)
-        .withColumn(name, F.col("_before") + F.col(POS) + 1)
+        out.join(F.broadcast(offsets), PART)
+        .withColumn(number, F.col("_before") + F.col(POS) + 1)
         .drop(PART, POS, "_before")
     )
 
@@ -92,14 +108,18 @@ def average_rank(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def with_ranks(df: DataFrame, columns: Sequence[str], suffix: str = "_rank") -> DataFrame:
+def with_ranks(
+    df: DataFrame, columns: Sequence[str], suffix: str = "_rank", limit: int = BROADCAST_ROWS
+) -> DataFrame:
     """Attach the average rank of each column.
 
-    Values that hold more than a thousandth of the rows (there are fewer than a
-    thousand) are broadcast; their rows get a spread key in the shuffle join
-    for the other values.
+    The ranks of a column with at most ``limit`` distinct values are broadcast.
+    Of a larger one, only values that hold more than a thousandth of the rows
+    are (there are fewer than a thousand); their rows get a spread key in the
+    shuffle join for the other values.
     """
     ranks = stable(average_rank(df, columns))
+    sizes = {r.metric: r["count"] for r in ranks.groupBy("metric").count().collect()}
     n = ranks.groupBy("metric").agg(F.sum("cnt").alias("_n"))
     ranks = ranks.join(F.broadcast(n), "metric").withColumn(
         "_is_hot", F.col("cnt") * 1000 > F.col("_n")
@@ -108,6 +128,12 @@ def with_ranks(df: DataFrame, columns: Sequence[str], suffix: str = "_rank") ->
     out = df
     for c in columns:
         mine = ranks.where(F.col("metric") == c)
+        if sizes.get(c, 0) <= limit:
+            few = mine.select(F.col("value").alias("_key"), F.col("rank").alias(c + suffix))
+            out = out.join(
+                F.broadcast(few), F.col(c).cast("double") == F.col("_key"), "left"
+            ).drop("_key")
+            continue
         hot = mine.where("_is_hot").select(
             F.col("value").alias("_hot_value"), F.col("rank").alias("_hot_rank")
         )
@@ -152,7 +178,13 @@ def neighbour(
             w = Window.partitionBy(*by).orderBy(*order)
             return df.withColumns({new: fetch(old).over(w) for new, old in columns.items()})
 
-    rows = ranged(df, [*by, *order]).withColumn(
+    return _adjacent(ranged(df, [*by, *order]), columns, by, step).drop(PART, POS)
+
+
+def _adjacent(rows: DataFrame, columns: dict[str, str], by: list[str], step: int) -> DataFrame:
+    """Neighbours within range partitions, joined up at their edges."""
+    fetch = F.lag if step < 0 else F.lead
+    rows = rows.withColumn(
         "_row", F.struct(*[F.col(c) for c in by], *[F.col(c).alias(n) for n, c in columns.items()])
     )
     inside = fetch("_row").over(Window.partitionBy(PART).orderBy(POS))
@@ -166,5 +198,5 @@ def neighbour(
     for c in by:
         same = same & near[c].eqNullSafe(F.col(c))
     return joined.withColumns({n: F.when(same, near[n]) for n in columns}).drop(
-        PART, POS, "_row", "_near", "_edge"
+        "_row", "_near", "_edge"
     )

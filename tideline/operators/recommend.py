@@ -285,8 +285,10 @@ def explain_factors(
             )
         )
     listed = F.filter(F.array(*cells), lambda s: s.isNotNull())
+    push = half_even("push", 1)
+    sign = F.when(F.col("push") > 0, "+").otherwise("")
     rows = df.select(*by, F.inline(listed)).withColumn(
-        "impact", F.format_string("%+.1f%%", F.col("push"))
+        "impact", F.concat(sign, push.cast("string"), F.lit("%"))
     )
     if importances is None:
         return rows

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import datetime
-
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tideline import presets as P
 from tideline.functions.banding import availability, pulse_level, risk_level, slot_of_hour
@@ -14,13 +13,12 @@ from tideline.functions.calendar import calendar_columns, peak_flag, semester_we
 from tideline.functions.facility import (
     load_pct, prepared_qty, pulse_index, supply_balance, supply_risk, threshold_flag,
 )
-from tideline.functions.numbers import whole
+from tideline.functions.numbers import half_even, whole
 from tideline.functions.text import event_columns, matches, parse_hour, supply_text, workload_level
-from tideline.operators.flow import history_features, lag_feature
 from tideline.operators.mapping import (
     coalesce_derived, coerce_numeric, default_columns, fill_all, map_categories, map_columns,
 )
-from tideline.sources.tables import assign_record_id
+from tideline.operators.ordering import sequence_features
 
 
 def _absent(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
@@ -30,46 +28,22 @@ def _absent(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
 
 
 def clean_calendar(
-    df: DataFrame, today: str | datetime.date, parse: str | bool = "auto",
-    first_day: str | datetime.date | None = None,
+    df: DataFrame, today: str | datetime.date, first_day: Column, timed: bool = False
 ) -> DataFrame:
-    """Date, slot, hour, weekday, week.
+    """Date, slot, hour, weekday and week.
 
-    ``parse`` says whether the hour is read from the slot text: "auto" does so
-    if any slot looks like a time or a range, and then replaces a given hour.
+    With ``timed`` the hour is read from the slot text and replaces a given hour.
     """
     df = default_columns(df, {"date": str(today)})
-    day = F.to_date(F.col("date"))
-    out = df.withColumn("_day", day)
-    if "time_slot" in df.columns and parse:
-        timed = F.lit(True)
-        if parse == "auto":
-            timed = df.select(
-                F.coalesce(F.bool_or(F.col("time_slot").rlike("[:-]")), F.lit(False))
-            ).scalar()
-        given = F.col("starting_hour") if "starting_hour" in df.columns else F.lit(None)
-        out = out.withColumn("_timed", timed).withColumn(
-            "starting_hour",
-            F.when(F.col("_timed"), parse_hour("time_slot").cast("string")).otherwise(
-                given.cast("string")
-            ),
-        )
-        out = out.withColumn(
-            "time_slot",
-            F.when(F.col("_timed"), slot_of_hour(F.col("starting_hour").cast("int"))).otherwise(
-                F.col("time_slot")
-            ),
-        ).drop("_timed")
-    hour = P.NUMBER_DEFAULTS["starting_hour"]
-    out = coerce_numeric(out, {"starting_hour": hour})
-    made = calendar_columns("_day")
+    out = df.withColumn("_day", F.to_date(F.col("date")))
+    if timed:
+        out = out.withColumn("starting_hour", parse_hour("time_slot"))
+        out = out.withColumn("time_slot", slot_of_hour("starting_hour"))
+    out = coerce_numeric(out, {"starting_hour": P.NUMBER_DEFAULTS["starting_hour"]})
     supplied = {"day_of_week", "is_weekend"} & set(df.columns)
+    made = calendar_columns("_day")
     out = out.withColumns({n: c for n, c in made.items() if n not in supplied})
-    if first_day is None:
-        start = df.select(F.min(F.to_date(F.col("date")))).scalar()
-    else:
-        start = F.lit(str(first_day)).cast("date")
-    out = out.withColumn("semester_week", semester_week("_day", start))
+    out = out.withColumn("semester_week", semester_week("_day", first_day))
     return _absent(
         out,
         {"time_slot": slot_of_hour("starting_hour"), "is_peak_hour": peak_flag("starting_hour")},
@@ -105,28 +79,55 @@ def clean_events(df: DataFrame) -> DataFrame:
     )
 
 
-def clean_supply(df: DataFrame) -> DataFrame:
-    """Preparation, balance and supply label; a reported label is kept if there is any."""
-    asked = "food_orders_demand"
-    if "food_risk_category" in df.columns:
-        reported = df.select(F.count("food_risk_category") > 0).scalar()
-        df = df.withColumn("_reported", reported).withColumn(
-            "food_risk_category",
-            F.when(F.col("_reported"), supply_text("food_risk_category")),
-        )
-        df = _absent(df, {"food_prepared_qty": prepared_qty(asked, "food_risk_category")})
-    else:
-        df = df.withColumn("_reported", F.lit(False)).withColumn(
-            "food_risk_category", F.lit(None).cast("string")
-        )
-        df = _absent(df, {"food_prepared_qty": prepared_qty(asked)})
+def clean_supply(df: DataFrame, reported: bool) -> DataFrame:
+    """Preparation, balance and supply label; ``reported`` labels are kept."""
+    asked, label = "food_orders_demand", "food_risk_category"
+    if reported:
+        df = df.withColumn(label, supply_text(label))
+    made = prepared_qty(asked, label if reported else None)
+    df = _absent(df, {"food_prepared_qty": made})
     df = df.withColumn("food_prepared_qty", whole("food_prepared_qty"))
     df = df.withColumns(supply_balance("food_prepared_qty", asked))
-    judged = supply_risk("food_surplus_pct", "food_shortage_qty")
-    return df.withColumn(
-        "food_risk_category",
-        F.when(F.col("_reported"), F.col("food_risk_category")).otherwise(judged),
-    ).drop("_reported")
+    if reported:
+        return df
+    return df.withColumn(label, supply_risk("food_surplus_pct", "food_shortage_qty"))
+
+
+# --- Fixed values: table-wide columns (name, source, digits of the mean or None for the peak) ---
+HISTORY = [
+    ("sports_hist_avg_crowd", "sports_visitor_count", 1),
+    ("sports_hist_peak_crowd", "sports_visitor_count", None),
+    ("food_hist_demand", "food_orders_demand", 1),
+    ("library_hist_avg_occupancy", "library_occupancy", 1),
+    ("library_hist_peak_occupancy", "library_occupancy", None),
+]
+
+
+def upload_facts(df: DataFrame, today: str | datetime.date) -> dict:
+    """What the cleaning needs to know of the whole upload, from one pass."""
+    have = set(df.columns)
+    given = lambda c, expr, other: expr if c in have else F.lit(other)
+    looks_timed = F.bool_or(F.col("time_slot").cast("string").rlike("[:-]"))
+    aggs = {
+        "rows": F.count("*"),
+        "first_day": given("date", F.min(F.to_date(F.col("date"))), str(today)),
+        "timed": given("time_slot", F.coalesce(looks_timed, F.lit(False)), False),
+        "reported": given("food_risk_category", F.count("food_risk_category") > 0, False),
+        "indexed": given("campus_pulse_index", F.count("campus_pulse_index") > 0, False),
+    }
+    for name, source, digits in HISTORY:
+        default = P.NUMBER_DEFAULTS[source]
+        value = whole(source, default) if source in have else F.lit(default)
+        aggs[name] = F.max(value) if digits is None else half_even(F.avg(value), digits)
+    return df.agg(*[e.alias(n) for n, e in aggs.items()]).first().asDict()
+
+
+# --- Fixed values: lag columns and what they lag ---
+LAGS = {
+    "sports_prev_crowd": "sports_visitor_count",
+    "food_prev_orders": "food_orders_demand",
+    "library_prev_occupancy": "library_occupancy",
+}
 
 
 def ingest(
@@ -147,35 +148,24 @@ def ingest(
     """
     aliases = {**P.COLUMN_ALIASES, **{k: [k] for k in keep}}
     df = map_columns(raw, aliases)
-    if not df.columns or df.isEmpty():
+    facts = upload_facts(df, today) if df.columns else {"rows": 0}
+    if not facts["rows"]:
         raise ValueError("the uploaded table has no rows of data")
+    timed = facts["timed"] if parse == "auto" else bool(parse) and "time_slot" in df.columns
+    first_day = F.lit(facts["first_day"]).cast("date")
 
-    df = clean_events(clean_academics(clean_calendar(df, today, parse)))
+    df = clean_events(clean_academics(clean_calendar(df, today, first_day, timed)))
     constants = {c: v for c, v in P.COLUMN_DEFAULTS.items() if c not in ("event_type",)}
     df = default_columns(df, constants)
     counts = ("sports_visitor_count", "food_orders_demand", "library_occupancy")
     df = coerce_numeric(df, {c: P.NUMBER_DEFAULTS[c] for c in counts})
+    df = df.withColumns({name: F.lit(facts[name]) for name, _, _ in HISTORY})
 
-    lags = {
-        "sports_prev_crowd": "sports_visitor_count",
-        "food_prev_orders": "food_orders_demand",
-        "library_prev_occupancy": "library_occupancy",
-    }
-    absent = {n: c for n, c in lags.items() if n not in df.columns}
-    df = history_features(
-        df,
-        {
-            "sports_hist_avg_crowd": "sports_visitor_count",
-            "food_hist_demand": "food_orders_demand",
-            "library_hist_avg_occupancy": "library_occupancy",
-        },
-        {
-            "sports_hist_peak_crowd": "sports_visitor_count",
-            "library_hist_peak_occupancy": "library_occupancy",
-        },
-    )
-    if absent:
-        df = lag_feature(df, absent, order)
+    # one range shuffle gives the record numbers and the previous rows
+    absent = {n: c for n, c in LAGS.items() if n not in df.columns}
+    df = sequence_features(df, order, "_rn", absent)
+    df = df.withColumns({n: F.coalesce(n, c) for n, c in absent.items()})
+    df = df.withColumn("record_id", F.format_string(f"{prefix}-%04d", F.col("_rn")))
 
     # loads from counts and capacities where none were supplied
     for load, count, capacity in (
@@ -185,12 +175,14 @@ def ingest(
         df = coalesce_derived(df, load, load_pct(count, capacity))
     crowded = threshold_flag("sports_load_pct")
     df = coalesce_derived(df, "sports_overcrowded_flag", crowded, 0)
-    df = clean_supply(df)
+    df = clean_supply(df, facts["reported"])
     index = pulse_index(
         "sports_load_pct", "library_load_pct", "food_orders_demand", "academic_workload",
         clamp=False,
     )
-    df = coalesce_derived(df, "campus_pulse_index", index, 2, partial=50.0)
+    if facts["indexed"]:
+        index = F.lit(50.0)
+    df = coalesce_derived(df, "campus_pulse_index", index, 2)
     df = df.withColumns(
         {
             "sports_risk_level": risk_level("sports_load_pct"),
@@ -200,15 +192,12 @@ def ingest(
             "data_source_label": F.lit(label),
         }
     )
-    df = assign_record_id(df, order, prefix)
     return conform(df, keep)
 
 
 def conform(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Canonical columns in order and type, without NULLs."""
-    from pyspark.sql.types import StructType
-
-    schema = StructType.fromDDL(P.OBSERVATION_SCHEMA)
+    schema = T.StructType.fromDDL(P.OBSERVATION_SCHEMA)
     typed = df.select(
         *[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema],
         *[F.col(k) for k in keep if k not in schema.names],

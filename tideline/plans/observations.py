@@ -44,12 +44,15 @@ def slot_hour(hour: Column) -> Column:
     return band(hour, P.SLOT_CUTS, [h for _, h, _ in P.SLOT_SCHEDULE])
 
 
-def observations(events: DataFrame) -> DataFrame:
-    """One row per date and slot, with capacities that follow from the table."""
-    hour = F.hour("ts")
-    cells = events.groupBy(
-        F.to_date("ts").alias("day"), slot_hour(hour).alias("starting_hour")
+def event_cells(events: DataFrame) -> DataFrame:
+    """Counts per date and slot: the only pass over the log."""
+    return events.groupBy(
+        F.to_date("ts").alias("day"), slot_hour(F.hour("ts")).alias("starting_hour")
     ).agg(*_counts(), half_even(F.avg("value"), 1).alias("temperature"))
+
+
+def observations(cells: DataFrame) -> DataFrame:
+    """One row per date and slot, with capacities that follow from the table."""
     capacity = lambda c: F.ceil(F.max(c) * 1.25).cast("int")
     facts = cells.agg(
         capacity("sports_visitor_count").alias("sports"),
@@ -137,8 +140,8 @@ def raw_uploads(events: DataFrame) -> DataFrame:
 
 
 def observation_table(spark: SparkSession, folder: str) -> DataFrame:
-    """``observations`` of the events, written once: the log is scanned a single time."""
-    return stable(observations(read_table(spark, folder, "events")))
+    """``observations`` of the events; the small cells are written, the log is read once."""
+    return observations(stable(event_cells(read_table(spark, folder, "events"))))
 
 
 def customer_features(spark: SparkSession, folder: str) -> DataFrame:
