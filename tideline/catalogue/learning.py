@@ -235,6 +235,30 @@ def _(spark, sf):
     )
 
 
+def _candidate_scores(spark, sf, candidate, label, by):
+    """How a trained candidate does on the test orders, by weekday."""
+    suite = fitted(spark, sf, DEMAND)
+    _, test = demand_parts(spark, sf)
+    rows = suite.predict_with(candidate, test)
+    if label == "amount":
+        return regression_metrics(rows, label, by=by)
+    guess = rows.withColumn("prediction", F.col("prediction").cast("int"))
+    return classification_metrics(guess, label, by=by)
+
+
+for _name, _candidate, _label in [
+    ("fit_linear_many", "Linear Regression", "amount"),
+    ("fit_forest_reg", "Random Forest Regressor", "amount"),
+    ("fit_gbt_reg", "Gradient Boosting Regressor", "amount"),
+    ("fit_logistic", "Logistic Regression", "is_large"),
+    ("fit_forest_clf", "Random Forest Classifier", "is_large"),
+    ("fit_gbt_clf", "Gradient Boosting Classifier", "is_large"),
+]:
+    query(_name)(
+        lambda spark, sf, c=_candidate, y=_label: _candidate_scores(spark, sf, c, y, ["weekday"])
+    )
+
+
 @query("train_suite")
 def _(spark, sf):
     return fitted(spark, sf, DEMAND).report_frame(spark)

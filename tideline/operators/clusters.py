@@ -20,6 +20,7 @@ from tideline import presets as P
 from tideline.functions.numbers import half_even
 from tideline.operators.distribution import group_profile
 from tideline.operators.evaluation import standardize
+from tideline.session import side_by_side
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -46,15 +47,15 @@ def vectors(
 def kmeans_fit(
     df: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, column: str = VECTOR
 ) -> KMeansModel:
-    """Best of several seeded runs by within-cluster sum of squares."""
-    best = None
-    for i in range(restarts):
-        model = KMeans(
+    """Best of several seeded runs by within-cluster sum of squares, the first one on ties."""
+    runs = [
+        KMeans(
             featuresCol=column, predictionCol=CLUSTER, k=k, seed=seed + i, maxIter=300, tol=1e-4
-        ).fit(df)
-        if best is None or model.summary.trainingCost < best.summary.trainingCost:
-            best = model
-    return best
+        )
+        for i in range(restarts)
+    ]
+    models = side_by_side(df.sparkSession, [lambda r=r: r.fit(df) for r in runs])
+    return min(models, key=lambda m: m.summary.trainingCost)
 
 
 def _elements(df: DataFrame, label: str, point: str | Sequence[str]) -> DataFrame:

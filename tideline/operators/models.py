@@ -21,7 +21,7 @@ from tideline.functions.numbers import clip, half_even
 from tideline.operators.evaluation import (
     class_weights, classification_metrics, label_index, regression_metrics,
 )
-from tideline.session import ensure_checkpoint_dir
+from tideline.session import ensure_checkpoint_dir, side_by_side
 from tideline.sources.reports import load_model, save_model
 
 RAW, SCALED, TARGET, INDEX, WEIGHT = "_raw", "_scaled", "_target", "_class", "_weight"
@@ -151,6 +151,14 @@ class FittedSuite:
         """Rows per candidate and metric set, the best ones marked."""
         return model_report(spark, [self])
 
+    def predict_with(self, candidate: str, df: DataFrame) -> DataFrame:
+        """Raw predictions of one candidate, classes as their index, with all of ``df``."""
+        rows = _prepared(df, self.spec)
+        for stage in self.prep:
+            rows = stage.transform(rows)
+        out = self.models[candidate].transform(rows)
+        return out.select(*df.columns, "prediction")
+
     def predict(self, contexts: DataFrame) -> DataFrame:
         """Best predictions for a table of contexts.
 
@@ -223,17 +231,21 @@ def train_suite(train: DataFrame, test: DataFrame, spec: SuiteSpec) -> FittedSui
     ready = ready.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         size = TrainSize(ready.count(), spec.trees, spec.rounds)
-        for c in spec.regressors:
-            estimator = c.build(size).setFeaturesCol(SCALED if c.scaled else RAW)
-            fitted.models[c.name] = estimator.setLabelCol(TARGET).fit(ready)
+        wanted = [(c, TARGET) for c in spec.regressors]
         if spec.label and len(weights) < 2:
             fitted.constant_class = next(iter(weights), None)
         elif spec.label:
-            for c in spec.classifiers:
-                estimator = c.build(size).setFeaturesCol(SCALED if c.scaled else RAW)
-                if c.weighted:
-                    estimator = estimator.setWeightCol(WEIGHT)
-                fitted.models[c.name] = estimator.setLabelCol(INDEX).fit(ready)
+            wanted += [(c, INDEX) for c in spec.classifiers]
+        estimators = []
+        for c, label in wanted:
+            estimator = c.build(size).setFeaturesCol(SCALED if c.scaled else RAW)
+            if c.weighted:
+                estimator = estimator.setWeightCol(WEIGHT)
+            estimators.append(estimator.setLabelCol(label))
+        models = side_by_side(
+            train.sparkSession, [lambda e=e: e.fit(ready) for e in estimators]
+        )
+        fitted.models = {c.name: m for (c, _), m in zip(wanted, models)}
     finally:
         ready.unpersist()
 

@@ -133,7 +133,7 @@ LAGS = {
 def ingest(
     raw: DataFrame,
     order: Sequence[str] = ("date", "starting_hour"),
-    today: str | datetime.date = "1970-01-01",
+    today: str | datetime.date | None = None,
     label: str = P.IMPORT_LABEL,
     keep: Sequence[str] = (),
     parse: str | bool = "auto",
@@ -142,10 +142,12 @@ def ingest(
     """Map, complete, derive, number and label an uploaded table.
 
     ``order`` says what stands for the row order of a file: the lags and the
-    record ids follow it, so it should be total.  ``keep`` names extra columns
+    record ids follow it, so it should be total.  ``today`` dates an upload that
+    has no date column.  ``keep`` names extra columns
     (after header normalisation) that ``order`` may use.  Rows beyond that are
     those of the canonical schema.
     """
+    today = today or datetime.date.today()
     aliases = {**P.COLUMN_ALIASES, **{k: [k] for k in keep}}
     df = map_columns(raw, aliases)
     facts = upload_facts(df, today) if df.columns else {"rows": 0}

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # Only settings that results or plans rely on; a cluster's own values for
@@ -17,6 +20,7 @@ BASE_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # checkpoint files go when nothing refers to them any more
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+    "spark.checkpoint.compress": "true",
     "spark.ui.showConsoleProgress": "false",
 }
 
@@ -58,6 +62,15 @@ def stable(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def side_by_side(spark: SparkSession, tasks: Sequence[Callable], width: int = 4) -> list:
+    """Results of independent fits, a few at a time, so that their small jobs fill the cluster."""
+    pool = ThreadPool(max(1, min(width, len(tasks))))
+    try:
+        return pool.map(lambda task: inheritable_thread_target(spark)(task)(), tasks)
+    finally:
+        pool.close()
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new folder name under the checkpoint folder, which all executors share."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
