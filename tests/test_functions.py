@@ -35,6 +35,7 @@ def test_number_and_whole(spark):
     values = ["7", " 3.9 ", "x", None, "NaN", "-2.7"]
     assert one(spark, values, number("v")) == [7.0, 3.9, None, None, None, -2.7]
     assert one(spark, values, whole("v", 5)) == [7, 3, 5, 5, 5, -2]
+    assert one(spark, ["1e12", "Infinity"], whole("v", 5)) == [5, 5]
 
 
 def test_clip_and_finite(spark):

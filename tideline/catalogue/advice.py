@@ -238,7 +238,8 @@ f AS (
     "explain_factors",
     f"""WITH {RULES} SELECT l_orderkey, l_linenumber, l_partkey, factor, push::DOUBLE AS push,
       CASE WHEN push > 0 THEN 'positive' ELSE 'negative' END AS type,
-      printf('%+.1f%%', push::DOUBLE) AS impact, weight::DOUBLE AS importance_weight FROM f""",
+      printf('%+.1f%%', push::DOUBLE) AS impact, weight::DOUBLE AS importance_weight,
+      32.5::DOUBLE AS baseline_load_pct FROM f""",
 )
 def _(spark, sf):
     flag = lambda c: c.cast("int")

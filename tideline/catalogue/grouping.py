@@ -5,15 +5,13 @@ from __future__ import annotations
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
-from tideline import presets as P
 from tideline.catalogue.registry import query
 from tideline.operators.clusters import (
     CLUSTER, Sweep, assign_cluster, calinski_harabasz, cluster_points, cluster_profiles, inertia,
     kmeans_fit, kmeans_sweep, nearest_centre, pca_project, silhouette_euclidean,
     silhouette_squared, vectors,
 )
-from tideline.operators.rows import sample_head
-from tideline.plans.observations import customer_features, observation_table, read_table
+from tideline.plans.observations import customer_features, read_table
 
 FEATURES = ["c_acctbal", "n_orders", "mean_price", "n_closed"]
 ELEMENTS = """e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x,

@@ -24,7 +24,7 @@ def prepared_qty(demand: str | Column, risk: str | Column | None = None) -> Colu
     factor = F.lit(P.SAFE_PREP)
     if risk is not None:
         factor = F.when(col(risk) == P.SHORTAGE, P.SHORT_PREP).otherwise(factor)
-    return half_even(col(demand) * factor, 0).cast("int")
+    return half_even(col(demand) * factor, 0).try_cast("int")
 
 
 def supply_balance(prepared: str | Column, demand: str | Column) -> dict[str, Column]:

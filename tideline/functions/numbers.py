@@ -46,11 +46,9 @@ def ratio(a: str | Column, b: str | Column) -> Column:
 
 
 def whole(c: str | Column, default: int | None = None) -> Column:
-    """Number cut to an int (towards zero), ``default`` where unreadable."""
-    value = number(c)
-    if default is not None:
-        value = F.coalesce(value, F.lit(float(default)))
-    return value.cast("int")
+    """Number cut to an int (towards zero), ``default`` where unreadable or out of range."""
+    value = number(c).try_cast("int")
+    return value if default is None else F.coalesce(value, F.lit(default))
 
 
 def nan_to_null(df: DataFrame) -> DataFrame:

@@ -26,7 +26,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VECTOR, CLUSTER = "_vector", "cluster"
 SEED, RESTARTS = 42, 10
-BLOCK_ROWS = 4096
+BLOCK_ROWS = 2048  # a block pair takes some 100 MB in a task
 
 
 def vectors(

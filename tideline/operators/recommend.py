@@ -245,7 +245,8 @@ def explain_factors(
     df: DataFrame, by: Sequence[str], importances: DataFrame | None = None,
     rules: Mapping[str, tuple] = P.EXPLAIN_RULES,
 ) -> DataFrame:
-    """Rows (factor, impact, push, type, importance_weight) for what moves each context's load.
+    """Rows (factor, impact, push, type, importance_weight) for what moves each context's load
+    away from the baseline.
 
     ``importances`` (feature, importance) has one row per feature.
     """
@@ -289,7 +290,7 @@ def explain_factors(
     sign = F.when(F.col("push") > 0, "+").otherwise("")
     rows = df.select(*by, F.inline(listed)).withColumn(
         "impact", F.concat(sign, push.cast("string"), F.lit("%"))
-    )
+    ).withColumn("baseline_load_pct", F.lit(P.BASELINE_LOAD))
     if importances is None:
         return rows
     known = importances.select("feature", F.col("importance").alias("_known"))
