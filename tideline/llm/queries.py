@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.near_dedup import near_dedup
+from tideline.llm.packing import pack
+from tideline.llm.quality import quality_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +33,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_quality_classifier")
+def _(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op6_packing")
+def _(spark, sf_dir):
+    return pack(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json")
+    )
+
+
 @query(
     "op9_exact_dedup",
     f"""WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents),
