@@ -7,10 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.llm.bpe import round_trip
+from tideline.llm.chat import flat, format_preferences, mask, swapped_endings
 from tideline.llm.exact_dedup import exact_dedup
+from tideline.llm.licences import scan_licences
 from tideline.llm.near_dedup import near_dedup
 from tideline.llm.packing import pack
 from tideline.llm.quality import quality_scores
+from tideline.llm.topk import divisible, top_k
+from tideline.llm.urls import judge_urls
+from tideline.llm.warc import assemble, page_records, read_archives, write_archives
+from tideline.session import scratch_path, stable
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -38,6 +45,73 @@ def _(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op2_license_scan")
+def _(spark, sf_dir):
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op3_exact_topk",
+    """WITH v AS (SELECT vec_id, list_transform(embedding,
+        lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v) WHERE q.vec_id % 50 = 0)
+    SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)
+      AS INT) AS rank, vec_id, score FROM s
+    QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5""",
+)
+def _(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, divisible(vectors, by=50), k=5)
+
+
+@query(
+    "op4_chat_preferences",
+    """WITH e AS (SELECT conv_id, max(turn) AS at, arg_max(text, turn) AS said
+      FROM conversations WHERE role = 'assistant' GROUP BY conv_id),
+    t AS (SELECT c.conv_id AS pair_id, c.turn, c.role, c.text,
+        CASE WHEN c.turn = e.at THEN coalesce(o.said, '') ELSE c.text END AS other
+      FROM conversations c LEFT JOIN e USING (conv_id) LEFT JOIN e o ON o.conv_id = c.conv_id + 1),
+    f AS (SELECT *, min(CASE WHEN text <> other THEN turn END) OVER (PARTITION BY pair_id) AS f
+      FROM t),
+    r AS (SELECT pair_id, turn, f IS NULL OR turn < f AS common, '<|' || role || '|>' || chr(10)
+        AS head, replace(text, '<|', '< |') || '<|end|>' || chr(10) AS c,
+        replace(other, '<|', '< |') || '<|end|>' || chr(10) AS r,
+        CASE WHEN role = 'assistant' THEN '1:' ELSE '0:' END AS mark FROM f)
+    SELECT pair_id,
+      coalesce(string_agg(head || c, '' ORDER BY turn) FILTER (common), '') AS prompt,
+      count(*) FILTER (common) AS prompt_turns,
+      coalesce(string_agg(head || c, '' ORDER BY turn) FILTER (NOT common), '') AS chosen,
+      coalesce(string_agg(head || r, '' ORDER BY turn) FILTER (NOT common), '') AS rejected,
+      coalesce(string_agg('0:' || length(head) || ',' || mark || length(c), ',' ORDER BY turn)
+        FILTER (NOT common), '') AS chosen_mask,
+      coalesce(string_agg('0:' || length(head) || ',' || mark || length(r), ',' ORDER BY turn)
+        FILTER (NOT common), '') AS rejected_mask
+    FROM r GROUP BY pair_id""",
+)
+def _(spark, sf_dir):
+    chosen, rejected = swapped_endings(table(spark, sf_dir, "conversations"))
+    told = format_preferences(chosen, rejected, pair_col="conv_id")
+    return told.select(
+        told["conv_id"].alias("pair_id"), "prompt", "prompt_turns",
+        flat("chosen").alias("chosen"), flat("rejected").alias("rejected"),
+        mask("chosen").alias("chosen_mask"), mask("rejected").alias("rejected_mask"),
+    )
+
+
+URL_RULES = (
+    ("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"), ("net", "/fr/", "block"),
+)
+
+
+@query("op5_url_filter")
+def _(spark, sf_dir):
+    return judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @query("op6_packing")
 def _(spark, sf_dir):
     return pack(
@@ -45,6 +119,21 @@ def _(spark, sf_dir):
     )
 
 
+@query("op7_bpe_round_trip")
+def _(spark, sf_dir):
+    return round_trip(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")
+    )
+
+
+@query("op8_warc")
+def _(spark, sf_dir):
+    folder = write_archives(table(spark, sf_dir, "pages"), scratch_path(spark, "warc"))
+    records = read_archives(spark, folder, keep_payload=False)
+    # two passes follow, over what one reading of the archives gave
+    return page_records(stable(assemble(records)))
+
+
 @query(
     "op9_exact_dedup",
     f"""WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents),
