@@ -8,20 +8,21 @@
    shares more buckets than any copy does.  In a first pass every node is
    compared with the most popular node that it shares a bucket with, at most
    one pair per node, and the links found give provisional components.
-3. Only buckets that still hold two or more components have work left.  Up to
-   ``SMALL`` members, each pair across components is a candidate.  A larger
-   bucket is refined: its members are dealt again by a second, then a third
-   band they share; what is still large then is compared across components
-   whatever its size.  So a hot family, once joined, costs nothing more, and a
-   passage many unlike texts share falls apart by the second band.
-4. A candidate's signatures are compared in batches.  After n values of which
-   m agree, the similarity has a Beta(m + 1, n - m + 1) posterior; the pair is
-   dropped once the chance of reaching the threshold falls below ``miss``.
-   Survivors are verified on the full shingle sets.
+3. Only buckets that still hold two or more components have work left, and only
+   between components.  Their members' signatures meet in one task, those of a
+   bucket of more than ``CELL`` members in the cells of a grid of its parts, and
+   are compared there.  In buckets of more than ``FEW`` a pair is taken up in its
+   first common bucket only and its shingle sets are compared on the spot, in 32
+   bits a shingle, so that near misses of a large family are not listed.
+4. Signatures are compared in batches.  After n values of which m agree, the
+   similarity has a Beta(m + 1, n - m + 1) posterior; the pair is dropped once
+   the chance of reaching the threshold falls below ``miss``.  Survivors are
+   verified on the full shingle sets.
 
 Chance of a lost link at the threshold 0.8 with 40 bands of 5 rows: 1.3e-7 for
-the bands, ``miss`` per batch, and 2.3e-5 for a pair known only from buckets
-refined to three bands; all are smaller above the threshold.
+the bands and ``miss`` per batch; smaller above the threshold.  Texts that stay
+just below the threshold of a large family are compared with all its members
+they share a bucket with: the comparisons, not the rows, grow with their product.
 """
 
 from __future__ import annotations
@@ -39,9 +40,9 @@ from tideline.llm.components import components
 from tideline.llm.textbytes import Words, chunks, flat, mix, shingle_sets
 from tideline.session import stable
 
-BANDS, ROWS, MISS = 40, 5, 1e-6
-SMALL = 48  # largest bucket whose pairs are listed: at most 24 a member
-DEPTH = 3  # bands that refine a large bucket
+BANDS, ROWS, MISS = 40, 5, 1e-5
+FEW = 64  # members of a bucket whose surviving pairs are listed at once
+CELL = 2048  # members of a bucket, or of a part of one, that meet at most
 
 
 def _families(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -73,7 +74,7 @@ def signatures(
     weights = mix(np.arange(11, 11 + rows, dtype=np.uint64)) | np.uint64(1)
     for band in range(bands):
         joined = (low[band * rows : (band + 1) * rows] * weights[:, None]).sum(0, dtype=np.uint64)
-        keys[:, band] = mix(joined + np.uint64(band + 1) * weights[0])
+        keys[:, band] = mix(joined + weights[:1] * np.uint64(band + 1))
     # minima are small numbers: mix them before taking bits
     return (mix(low) >> np.uint64(56)).astype(np.uint8).T.copy(), keys
 
@@ -131,14 +132,18 @@ def sketch_documents(
     )
 
 
-def shingle_tables(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
-    """(id, values): sorted distinct shingle hashes as bytes."""
+def shingle_tables(
+    docs: DataFrame, id_col: str, text_col: str, shingle: int, width: int = 8
+) -> DataFrame:
+    """(id, values): sorted distinct shingle hashes, their upper ``width`` bytes, as bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole, "text"):
                 values, offsets = shingle_sets(Words(*flat(batch.column("text"))), shingle)
-                at = pa.array(offsets * 8, pa.int64())
+                if width == 4:
+                    values = (values >> np.uint64(32)).astype("<u4")
+                at = pa.array(offsets * width, pa.int64())
                 blob = pa.LargeBinaryArray.from_buffers(
                     pa.large_binary(), len(offsets) - 1,
                     [None, at.buffers()[1], pa.py_buffer(values.tobytes())],
@@ -157,8 +162,34 @@ def among(docs: DataFrame, id_col: str, ids: DataFrame, few: int = 500_000) -> D
     return docs.join(ids, id_col, "left_semi")
 
 
+def _alive(
+    left: np.ndarray, right: np.ndarray, i: np.ndarray, j: np.ndarray, needed: list[int],
+    batch: int, agreed: np.ndarray | None = None, block: int = 1 << 16,
+) -> np.ndarray:
+    """Places of the pairs (left[i], right[j]) that no batch rules out.
+
+    ``agreed``: matches in the first batch, if they are known and enough.
+    """
+    out = []
+    for start in range(0, len(i), block):
+        at = np.arange(start, min(start + block, len(i)))
+        count = np.zeros(len(at), np.int64) if agreed is None else agreed[at].astype(np.int64)
+        for step in range(agreed is not None, len(needed)):
+            own = slice(step * batch, (step + 1) * batch)
+            count += (left[i[at], own] == right[j[at], own]).sum(1)
+            stay = count >= needed[step]
+            at, count = at[stay], count[stay]
+        out.append(at)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    blobs = column.to_pylist()
+    return np.frombuffer(b"".join(blobs), np.uint8).reshape(len(blobs), -1)
+
+
 def _survivors(pairs: DataFrame, nodes: DataFrame, needed: list[int], batch: int) -> DataFrame:
-    """The pairs that no batch of their signatures rules out."""
+    """The listed pairs that no batch of their signatures rules out."""
     sig = nodes.select("node", "sig")
     joined = pairs.join(
         sig.select(F.col("node").alias("a"), F.col("sig").alias("sig_a")).hint("merge"), "a"
@@ -167,21 +198,11 @@ def _survivors(pairs: DataFrame, nodes: DataFrame, needed: list[int], batch: int
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
-            if not rows.num_rows:
-                continue
-            left, right = (
-                np.frombuffer(b"".join(rows.column(c).to_pylist()), np.uint8).reshape(
-                    rows.num_rows, -1
-                )
-                for c in ("sig_a", "sig_b")
-            )
-            alive, agreed = np.arange(rows.num_rows), np.zeros(rows.num_rows, np.int64)
-            for step, least in enumerate(needed):
-                at = slice(step * batch, (step + 1) * batch)
-                agreed += (left[alive, at] == right[alive, at]).sum(1)
-                stay = agreed >= least
-                alive, agreed = alive[stay], agreed[stay]
-            yield rows.select(["a", "b"]).take(pa.array(alive))
+            if rows.num_rows:
+                each = np.arange(rows.num_rows)
+                left, right = (_matrix(rows.column(c)) for c in ("sig_a", "sig_b"))
+                alive = _alive(left, right, each, each, needed, batch)
+                yield rows.select(["a", "b"]).take(pa.array(alive))
 
     return joined.select("a", "b", "sig_a", "sig_b").mapInArrow(run, f"a {kind}, b {kind}")
 
@@ -223,64 +244,200 @@ def _verified(
     )
 
 
-def _mixed(entries: DataFrame) -> DataFrame:
-    """The entries of buckets with two or more components, with the bucket's size."""
-    stats = entries.groupBy("key").agg(
-        F.count("*").alias("m"), F.min("comp").alias("c0"), F.max("comp").alias("c1")
+def _first_meeting(keys: np.ndarray, i: np.ndarray, j: np.ndarray, band: int) -> np.ndarray:
+    """Whether the pairs share no bucket of an earlier band, by 31 bits of its key."""
+    out = np.empty(len(i), bool)
+    for start in range(0, len(i), 1 << 15):
+        at = slice(start, start + (1 << 15))
+        out[at] = (keys[i[at], :band] == keys[j[at], :band]).any(1)
+    return ~out
+
+
+def _close(sets: list[np.ndarray], i: np.ndarray, j: np.ndarray, share: int) -> np.ndarray:
+    """Places of the pairs whose sets, of 32 bits a shingle, reach the threshold.
+
+    Shingles that agree in 32 bits only can add to the overlap, never take from it.
+    """
+    if not len(i):
+        return np.empty(0, np.int64)
+    out, order = [], np.argsort(i, kind="stable")
+    edges = np.flatnonzero(np.concatenate([[True], i[order][1:] != i[order][:-1], [True]]))
+    for first, last in zip(edges[:-1], edges[1:]):
+        own = sets[i[order[first]]]
+        for cut in range(first, last, 512):
+            at = order[cut : min(cut + 512, last)]
+            others = [sets[k] for k in j[at]]
+            size = np.array([len(o) for o in others])
+            flat = np.concatenate(others)
+            place = np.minimum(np.searchsorted(own, flat), len(own) - 1)
+            common = np.add.reduceat((own[place] == flat).astype(np.int64), np.cumsum(size) - size)
+            out.append(at[10_000 * common >= share * (len(own) + size - common)])
+    return np.concatenate(out)
+
+
+def _meet(
+    cell: dict[str, np.ndarray], bounds: np.ndarray, needed: list[int], batch: int, share: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the surviving pairs of different components within each cell.
+
+    A cell's rows stand between two bounds; side 0 meets side 1, and side 2
+    meets all of its own cell.
+    """
+    sig, comp, side = cell["sig"], cell["comp"], cell["side"]
+    few_i, few_j, found = [], [], []
+    for start, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        if cell["values"][start] is None:
+            i, j = np.triu_indices(end - start, 1)
+            few_i.append(i + start)
+            few_j.append(j + start)
+            continue
+        whole, rows = side[start] == 2, np.arange(start, end)
+        ones, others = (rows, rows) if whole else (rows[side[rows] == 0], rows[side[rows] == 1])
+        right = np.ascontiguousarray(sig[others, :batch].T)
+        keys = np.array([cell["keys"][r] for r in rows], np.int32)
+        sets = [np.frombuffer(cell["values"][r], "<u4") for r in rows]
+        for cut in range(0, len(ones), 256):
+            part = ones[cut : cut + 256]
+            left = np.ascontiguousarray(sig[part, :batch].T)
+            count = np.zeros((len(part), len(others)), np.uint8)
+            for k in range(batch):
+                count += left[k][:, None] == right[k]
+            fits = (count >= needed[0]) & (comp[part][:, None] != comp[others])
+            if whole:
+                fits &= part[:, None] < others
+            x, y = np.nonzero(fits)
+            i, j, agreed = part[x], others[y], count[x, y]
+            new = _first_meeting(keys, i - start, j - start, int(cell["band"][start]))
+            i, j = i[new], j[new]
+            alive = _alive(sig, sig, i, j, needed, batch, agreed[new])
+            i, j = i[alive], j[alive]
+            near = _close(sets, i - start, j - start, share)
+            found.append((i[near], j[near]))
+    if few_i:
+        i, j = np.concatenate(few_i), np.concatenate(few_j)
+        apart = comp[i] != comp[j]
+        i, j = i[apart], j[apart]
+        alive = _alive(sig, sig, i, j, needed, batch)
+        found.append((i[alive], j[alive]))
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64)
+    return tuple(np.concatenate(x) for x in zip(*found))
+
+
+def cross_survivors(
+    shared: DataFrame, labels: DataFrame, signed: DataFrame, sets_of, needed: list[int],
+    batch: int, share: int, few: int, cell: int,
+) -> DataFrame:
+    """Pairs (a < b) that share a bucket, differ in provisional component and survive.
+
+    ``shared``: (key, band, node, m) of all buckets of two or more; ``labels``:
+    (node, component); ``signed``: (node, sig, keys); ``sets_of``: the shingle
+    sets (id, values) of given ids.
+    """
+    entries = shared.join(labels.hint("merge"), "node", "left").select(
+        "key", "band", "node", "m", F.coalesce("component", "node").alias("comp")
     )
-    return entries.join(
-        stats.filter("c0 <> c1").select("key", "m").hint("merge"), "key"
+    mixed = entries.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    entries = stable(
+        entries.join(mixed.filter("c0 <> c1").select("key").hint("merge"), "key")
     )
+    columns = ["key", "x", "y", "side", "band", "node", "comp", "sig", "keys", "values"]
+    listed = entries.filter(F.col("m") <= few).join(
+        signed.select("node", "sig").hint("merge"), "node"
+    ).withColumns(
+        {"x": F.lit(0), "y": F.lit(0), "side": F.lit(2),
+         "keys": F.lit(None).cast("array<int>"), "values": F.lit(None).cast("binary")}
+    ).select(columns)
+    # a large bucket's parts meet pairwise: part i is side 0 of cells (i, j) and side 1 of (j, i)
+    large = entries.filter(F.col("m") > few)
+    sets = stable(sets_of(large.select("node")).withColumnRenamed("id", "node"))
+    parts = F.ceil(F.col("m") / cell).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    large = large.withColumn("parts", parts).withColumn("own", own).select(
+        "key", "band", "node", "comp", "own",
+        F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"),
+    ).select(
+        "key", F.least("own", "other").alias("x"), F.greatest("own", "other").alias("y"),
+        F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
+        .alias("side"),
+        "band", "node", "comp",
+    ).join(
+        signed.withColumn(
+            "keys", F.transform("keys", lambda k: k.bitwiseAND(F.lit(2**31 - 1)).cast("int"))
+        ).hint("merge"), "node",
+    ).join(sets.hint("merge"), "node").select(columns)
+    rows = listed.unionByName(large).repartition("key", "x", "y")
+    rows = rows.sortWithinPartitions("key", "x", "y")
+    kind = signed.schema["node"].dataType.simpleString()
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def settle(table: pa.Table, bounds: np.ndarray) -> pa.RecordBatch:
+            held = {c: table.column(c).to_numpy() for c in ("band", "node", "comp", "side")}
+            held |= {c: table.column(c).to_pylist() for c in ("keys", "values")}
+            held["sig"] = _matrix(table.column("sig"))
+            i, j = _meet(held, bounds, needed, batch, share)
+            node = held["node"]
+            low, high = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
+            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+
+        rest = None
+        for batch_rows in batches:
+            if not batch_rows.num_rows:
+                continue
+            table = pa.Table.from_batches([batch_rows])
+            table = pa.concat_tables([rest, table]) if rest is not None else table
+            cells = np.stack([table.column(c).to_numpy() for c in ("key", "x", "y")])
+            new = np.flatnonzero((cells[:, 1:] != cells[:, :-1]).any(0)) + 1
+            if len(new):
+                yield settle(table.slice(0, new[-1]), np.concatenate([[0], new]))
+                table = table.slice(new[-1])
+            rest = table.combine_chunks()
+        if rest is not None and rest.num_rows:
+            yield settle(rest, np.array([0, rest.num_rows]))
 
-def _across(entries: DataFrame) -> DataFrame:
-    """Pairs of a bucket whose components differ."""
-    other = entries.select(
-        "key", F.col("node").alias("b"), F.col("comp").alias("comp_b")
-    )
-    return entries.select("key", F.col("node").alias("a"), F.col("comp").alias("comp_a")).join(
-        other.hint("merge"), "key"
-    ).filter("a < b AND comp_a <> comp_b").select("a", "b")
+    return rows.mapInArrow(run, f"a {kind}, b {kind}").filter("a <> b").distinct()
 
 
-def cross_candidates(shared: DataFrame, labels: DataFrame, small: int, depth: int) -> DataFrame:
-    """Candidate pairs of nodes in one bucket whose provisional components differ.
+def roots(links: DataFrame) -> DataFrame:
+    """(node, component) from links (a, b) of nodes to more popular ones, at most one per node.
 
-    ``shared``: (key, node) of all buckets of two or more; ``labels``: (node, component).
+    Such links have no circle, so doubling the steps upward ends at the roots.
     """
-    entries = shared.select("key", "node").join(
-        labels.hint("merge"), "node", "left"
-    ).select("key", "node", F.coalesce("component", "node").alias("comp"))
-    mixed = stable(_mixed(entries))
-    bands, found = mixed.select(F.col("key").alias("next"), "node"), []
-    level = 1
+    up = stable(links.select(F.col("a").alias("node"), F.col("b").alias("component")).distinct())
     while True:
-        found.append(_across(mixed.filter(F.col("m") <= small)))
-        large = mixed.filter(F.col("m") > small)
-        if large.isEmpty():
-            break
-        if level == depth:
-            found.append(_across(large))
-            break
-        if level == 1:
-            large = large.withColumn("last", F.col("key"))
-        finer = large.select("key", "node", "comp", "last").join(
-            bands.hint("merge"), "node"
-        ).filter("next > last").select(
-            F.xxhash64("key", "next").alias("key"), "node", "comp", F.col("next").alias("last")
-        )
-        mixed = stable(_mixed(finer))
-        level += 1
-    pairs = found[0]
-    for more in found[1:]:
-        pairs = pairs.unionByName(more)
-    return pairs.distinct()
+        above = up.select(F.col("node").alias("component"), F.col("component").alias("next"))
+        step = stable(up.join(above.hint("merge"), "component", "left"))
+        up = step.select("node", F.coalesce("next", "component").alias("component"))
+        if step.filter("next IS NOT NULL").isEmpty():
+            return up
+
+
+def _smallest(members: DataFrame, labels: DataFrame, more: DataFrame) -> DataFrame:
+    """(node, component), component the smallest node, after joining trees by further links.
+
+    Only the trees' roots take part in the search for components.
+    """
+    def root(column: str) -> DataFrame:
+        return labels.select(F.col("node").alias(column), F.col("component").alias(f"root_{column}"))
+
+    ties = more.join(root("a").hint("merge"), "a", "left").join(root("b").hint("merge"), "b", "left")
+    joined = components(ties.select(
+        F.coalesce("root_a", "a").alias("a"), F.coalesce("root_b", "b").alias("b")
+    )).select(F.col("node").alias("root"), F.col("component").alias("joint"))
+    rooted = members.join(labels.hint("merge"), "node", "left").select(
+        "node", F.coalesce("component", "node").alias("root")
+    )
+    named = stable(rooted.join(joined.hint("merge"), "root", "left").select(
+        "node", F.coalesce("joint", "root").alias("joint")
+    ))
+    least = named.groupBy("joint").agg(F.min("node").alias("component"))
+    return named.join(least.hint("merge"), "joint").select("node", "component")
 
 
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 5,
     threshold: float = 0.8, bands: int = BANDS, rows: int = ROWS, miss: float = MISS,
-    batch: int = 40, small: int = SMALL, depth: int = DEPTH,
+    batch: int = 40, few: int = FEW, cell: int = CELL,
 ) -> DataFrame:
     """One row per document row: id, n_shingles, component_id, kept.
 
@@ -301,7 +458,7 @@ def near_dedup(
             F.min("id").alias("node"), F.first("sig").alias("sig"), F.first("keys").alias("keys")
         )
     )
-    entries = nodes.select(F.explode("keys").alias("key"), "node")
+    entries = nodes.select(F.posexplode("keys").alias("band", "key"), "node")
     sizes = entries.groupBy("key").agg(F.count("*").alias("m")).filter("m > 1")
     shared = stable(entries.join(sizes.hint("merge"), "key"))
 
@@ -318,21 +475,28 @@ def near_dedup(
 
     needed = fewest_matches(bands * rows, batch, threshold, miss)
     signed = stable(
-        nodes.select("node", "sig").join(
+        nodes.select("node", "sig", "keys").join(
             popular.select("node").hint("merge"), "node", "left_semi"
         )
     )
     check = (docs, id_col, text_col, shingle, threshold)
+
+    def sets_of(ids: DataFrame) -> DataFrame:
+        told = among(docs, id_col, ids.withColumnRenamed("node", id_col))
+        return shingle_tables(told, id_col, text_col, shingle, width=4)
+
     links = stable(_verified(stable(_survivors(stars, signed, needed, batch)), *check))
-    labels = stable(components(links))
+    labels = roots(links)
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    rest = cross_candidates(shared, labels, small, depth).join(
-        tested.distinct().hint("merge"), ["a", "b"], "left_anti"
+    rest = stable(
+        cross_survivors(
+            shared, labels, signed, sets_of, needed, batch, round(threshold * 10_000), few, cell
+        ).join(
+            tested.distinct().hint("merge"), ["a", "b"], "left_anti"
+        )
     )
-    rest = stable(_survivors(rest, signed, needed, batch))
-    if not rest.isEmpty():
-        more = stable(_verified(rest, *check))
-        labels = stable(components(links.unionByName(more)))
+    more = stable(_verified(rest, *check))
+    labels = _smallest(popular.select("node"), labels, more)
 
     found = nodes.select("set", "node").join(labels.hint("merge"), "node", "left").select(
         "set", F.coalesce("component", "node").alias("component")
