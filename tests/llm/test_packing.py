@@ -10,7 +10,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tideline.llm.packing import boundaries, pack, round_robin
-from tideline.llm.tokens import PieceEncoder
+from tideline.llm.tokens import ByteEncoder
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
 LIBRARY = Tokenizer.from_file(BYTE)
@@ -25,22 +25,22 @@ def ids_of(data):
     return np.frombuffer(data, "<u4").tolist()
 
 
-def test_piece_encoder_equals_library():
+def test_byte_encoder_equals_library():
     texts = ["", " ", "  ", "a  b", " a b ", "a \n b", "a\n b  ", "it's  we'll\t x", "\xa0 x", "x \xa0",
              "a <|endoftext|> b", "x" * 5000 + " y", "é è 漢字   z", "\x1c a\x1d b", "\n\n", " \n",
              "a" + " " * 300 + "b", " 1 2  3", "tail "]
-    encoder = PieceEncoder(BYTE)
+    encoder = ByteEncoder(BYTE)
     for _ in range(2):  # cold and warm
         assert [ids_of(x) for x in encoder.encode(texts)] == [library(t) for t in texts]
 
 
 @settings(max_examples=300, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t'sa1.é\xa0\x1c "), st.characters(codec="utf-8"))))
-def test_piece_encoder_on_any_text(text):
+def test_byte_encoder_on_any_text(text):
     assert ids_of(ENCODER.encode([text])[0]) == library(text)
 
 
-ENCODER = PieceEncoder(BYTE)
+ENCODER = ByteEncoder(BYTE)
 
 
 def check_pieces(rows, texts, length):
