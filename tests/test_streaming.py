@@ -30,6 +30,18 @@ def test_append_drops_repeated_ids(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out), "event_id") == [(1,), (2,), (3,)]
 
 
+def test_append_keeps_rows_of_any_age(spark, tmp_path, rows):
+    """Files in reverse order of time, one a batch, and one file twice."""
+    folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    march = [(1, "2026-03-01T08:00", "view"), (2, "2026-03-09T09:00", "view")]
+    for batch in (march, [(3, "2026-02-01T08:00", "view")], [(4, "2025-01-01T08:00", "view")], march):
+        write(spark, folder, batch)
+        stream_append(
+            event_stream(spark, folder, SCHEMA, per_trigger=1), out, marks, "ts", "event_id"
+        ).awaitTermination()
+    assert rows(spark.read.parquet(out), "event_id") == [(1,), (2,), (3,), (4,)]
+
+
 def test_late_rows_are_left_out(spark, tmp_path):
     folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     run = lambda: stream_pulse(

@@ -19,11 +19,15 @@ CAPACITIES = {"sports": 120, "food": 60, "library": 120}
     FROM events""",
 )
 def _(spark, sf):
-    schema = read_table(spark, sf, "events").schema
-    rows = event_stream(spark, f"{sf}/events*.parquet", schema)
+    # newest first, one file a batch, and the newest days once more at the end
+    events = read_table(spark, sf, "events")
+    folder = scratch_path(spark, "feed")
+    days = F.dayofmonth("ts")
+    for part in (days >= 20, days.between(10, 19), days < 10, days >= 28):
+        write_table(events.filter(part).coalesce(1), folder, mode="append")
+    rows = event_stream(spark, folder, events.schema, per_trigger=1)
     out, marks = scratch_path(spark, "append"), scratch_path(spark, "marks")
-    run = stream_append(rows, out, marks, "ts", "event_id")
-    run.awaitTermination()
+    stream_append(rows, out, marks, "ts", "event_id").awaitTermination()
     return spark.read.parquet(out).select(
         "event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "event_type", "value"
     )
@@ -55,7 +59,7 @@ def _(spark, sf):
         }
     )
     out, marks = scratch_path(spark, "clean"), scratch_path(spark, "marks")
-    stream_append(keyed, out, marks, "at", "id", "60 days").awaitTermination()
+    stream_append(keyed, out, marks, "at", "id").awaitTermination()
     return spark.read.parquet(out).select(
         "site_no", "date", "day_of_week", "starting_hour", "sports_visitor_count",
         "sports_load_pct", "library_load_pct",

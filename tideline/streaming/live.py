@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -92,20 +93,38 @@ def clean_rows(
     )
 
 
+def stored_ids(spark: SparkSession, path: str, id: str, schema) -> DataFrame:
+    """The ids that a Parquet table holds; none if there is no table yet."""
+    try:
+        return spark.read.parquet(path).select(id)
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return spark.createDataFrame([], schema).select(id)
+
+
 def stream_append(
     rows: DataFrame, path: str, checkpoint: str, event_time: str, id: str,
-    delay: str = "7 days", prepare: Callable[[DataFrame], DataFrame] | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
-    """Append new rows to a Parquet table, each id once within the delay.
+    """Append new rows to a Parquet table, each id once, however late it comes.
 
-    Exactly once: the file sink and the checkpoint commit together.
+    A batch's rows are held against the ids already stored, so a row may be of
+    any age, and a batch that is run again after a failure adds nothing twice.
+    Of rows of one batch with the same id one stays.  Only the id column of the
+    table is read.
     """
     stamped = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
-    fresh = stamped.withWatermark(event_time, delay).dropDuplicatesWithinWatermark([id])
-    out = prepare(fresh) if prepare else fresh
+
+    def add(batch: DataFrame, number: int) -> None:
+        fresh = prepare(batch) if prepare else batch
+        known = stored_ids(batch.sparkSession, path, id, fresh.schema)
+        fresh.dropDuplicates([id]).join(known, id, "left_anti").select(fresh.columns).write.mode(
+            "append"
+        ).parquet(path)
+
     return (
-        out.writeStream.format("parquet").outputMode("append")
-        .option("path", path).option("checkpointLocation", checkpoint)
+        stamped.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
         .trigger(availableNow=True).start()
     )
 
