@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from tideline import presets as P
 from tideline.functions import tails
 from tideline.functions.banding import availability, band, pulse_level, risk_level, slot_of_hour
-from tideline.functions.calendar import academic_calendar, calendar_columns, peak_flag, semester_week
+from tideline.functions.calendar import (
+    academic_calendar, calendar_columns, peak_flag, read_day, semester_week,
+)
 from tideline.functions.facility import (
     load_pct, prepared_qty, pulse_breakdown, pulse_index, supply_balance, supply_risk,
     threshold_flag, workload_points,
@@ -191,6 +193,9 @@ def test_t_tail(t, df, p):
 @pytest.mark.parametrize("u,n1,n2,p", [
     (0, 3, 3, 0.1), (0, 5, 5, 2 / 252), (12.5, 5, 5, 1.0), (25, 5, 5, 2 / 252),
     (1, 4, 4, 4 / 70), (0, 1, 9, 0.2),
+    # one of all subsets on either side, at any size
+    (0, 5, 50_000, 2 / math.comb(50_005, 5)), (0, 8, 10**9, 2 / math.comb(10**9 + 8, 8)),
+    (4 * 10**9, 8, 10**9, 1.0),
 ])
 def test_rank_sum_tail(u, n1, n2, p):
     assert tails.u_two_sided(u, n1, n2) == pytest.approx(p)
@@ -209,6 +214,15 @@ def test_rank_sum_tail_by_enumeration(n1, n2, data):
     assert tails.u_two_sided(u, n1, n2) == pytest.approx(p)
 
 
+def test_read_day(spark):
+    forms = ["2024-03-05", "03/05/2024", "15/03/2024", "3/5/2024 14:30", "2024/3/5", "20240305",
+             "5 Mar 2024", "March 5, 2024", " 2024-03-05T08:00:00 ", "soon", "", None]
+    df = spark.createDataFrame([(i, f) for i, f in enumerate(forms)], "i int, d string")
+    got = [r[0] for r in df.orderBy("i").select(read_day("d").cast("string")).collect()]
+    day = "2024-03-05"
+    assert got == [day, day, "2024-03-15", day, day, day, day, day, day, None, None, None]
+
+
 def test_beta_tail_symmetry():
     for a, b, x in [(0.5, 3.0, 0.2), (40.0, 0.5, 0.9), (7.0, 7.0, 0.5)]:
         assert tails.beta_tail(a, b, x) + tails.beta_tail(b, a, 1 - x) == pytest.approx(1.0)

@@ -14,6 +14,7 @@ from tideline.operators.flow import (
 from tideline.operators.ordering import (
     average_rank, global_row_number, neighbour, running_total, with_ranks,
 )
+from tideline.operators import quantiles
 from tideline.operators.quantiles import approx_quantiles, exact_quantiles, quantile_values
 from tideline.session import ensure_checkpoint_dir
 
@@ -52,11 +53,10 @@ def test_running_total(spark):
     assert [got[i] for i in s.id] == s.k.cumsum().tolist()
 
 
-@pytest.mark.parametrize("limit", [10_000, 3])
 @pytest.mark.parametrize("step", [-1, 1])
-def test_neighbour_with_a_hot_key(spark, limit, step):
+def test_neighbour_with_a_hot_key(spark, step):
     df, pdf = frame(spark)
-    out = neighbour(df, {"near": "x"}, ["t", "id"], ["k"], step, limit)
+    out = neighbour(df, {"near": "x"}, ["t", "id"], ["k"], step)
     got = {r.id: r.near for r in out.collect()}
     s = pdf.sort_values(["t", "id"])
     want = s.groupby("k").x.shift(-step)
@@ -65,6 +65,16 @@ def test_neighbour_with_a_hot_key(spark, limit, step):
         assert got[i] == (None if pd.isna(w) else w)
 
 
+def test_neighbour_of_ties_does_not_depend_on_partitions(spark):
+    df = spark.createDataFrame([("k", 1, i) for i in range(200)], "k string, t int, id int")
+    seen = [
+        {r.id: r.near for r in neighbour(df.repartition(n), {"near": "id"}, ["t"], ["k"]).collect()}
+        for n in (1, 7)
+    ]
+    assert seen[0] == seen[1]
+    assert sorted(seen[0].values(), key=lambda v: -1 if v is None else v)[0] is None
+
+
 def test_neighbour_without_keys(spark):
     df, pdf = frame(spark)
     got = {r.id: r.near for r in neighbour(df, {"near": "id"}, ["t", "id"]).collect()}
@@ -126,7 +136,8 @@ def test_pearson_of_constant_and_single_rows(spark):
 
 
 @pytest.mark.parametrize("limit", [10**6, 20])
-def test_quantiles_with_hot_values(spark, limit):
+def test_quantiles_with_hot_values(spark, limit, monkeypatch):
+    monkeypatch.setattr(quantiles, "ROW_LIMIT", limit)
     rng = np.random.default_rng(5)
     x = rng.normal(size=6000)
     x[:2000] = 0.25  # a third of the rows share a value
@@ -135,7 +146,7 @@ def test_quantiles_with_hot_values(spark, limit):
             enumerate(zip(x, y))]
     df = spark.createDataFrame(rows, "x double, y double, z double").repartition(5)
     probs = [0.0, 0.01, 0.25, 0.5, 0.613, 0.75, 0.999, 1.0]
-    got = quantile_values(df, ["x", "y", "z"], probs, limit)
+    got = quantile_values(df, ["x", "y", "z"], probs)
     z = np.array([r[2] for r in rows if r[2] is not None])
     for name, data in (("x", x), ("y", y), ("z", z)):
         for p in probs:
@@ -150,7 +161,9 @@ def test_quantiles_property(spark, values, p):
     df = spark.createDataFrame([(v,) for v in values], "x double")
     data = [v for v in values if v is not None]
     for limit in (10**6, 2):
-        got = [r.value for r in exact_quantiles(df, ["x"], [p], limit).collect()]
+        with pytest.MonkeyPatch.context() as patch:
+            patch.setattr(quantiles, "ROW_LIMIT", limit)
+            got = [r.value for r in exact_quantiles(df, ["x"], [p]).collect()]
         if not data:
             assert got == []
         else:
@@ -197,8 +210,21 @@ def test_random_split_is_stable(spark):
     assert exact.where("split = 'test'").count() == 200
 
 
-@pytest.mark.parametrize("limit", [10_000, 3])
-def test_lag_corr_and_transitions(spark, limit):
+@pytest.mark.parametrize("limit", [10**6, 3])
+def test_quantiles_with_nan_and_infinities(spark, limit, monkeypatch):
+    monkeypatch.setattr(quantiles, "ROW_LIMIT", limit)
+    inf, nan = float("inf"), float("nan")
+    rows = [(nan if i % 4 == 0 else float(i), inf if i < 20 else -inf, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "x double, y double, z double")
+    got = quantile_values(df, ["x", "y", "z"], [0.0, 0.25, 0.9, 1.0])
+    x = [r[0] for r in rows if r[0] == r[0]]
+    for p in (0.0, 0.25, 0.9, 1.0):
+        assert got["x", p] == pytest.approx(np.quantile(x, p))
+    assert [got["y", p] for p in (0.0, 0.25, 0.9, 1.0)] == [-inf, -inf, inf, inf]
+    assert not [k for k in got if k[0] == "z"]
+
+
+def test_lag_corr_and_transitions(spark):
     df, pdf = frame(spark)
     s = pdf.sort_values(["t", "id"]).reset_index(drop=True)
     row = lag_corr(df, "t", "x", ["t", "id"]).first()
@@ -208,7 +234,7 @@ def test_lag_corr_and_transitions(spark, limit):
 
     names = df.withColumn("state", F.concat(F.lit("s"), (F.col("id") % 3).cast("string")))
     got = {(r.from_state, r.to_state): (r.n, r.probability) for r in
-           transition_matrix(names, ["k"], "state", ["t", "id"], 6, limit).collect()}
+           transition_matrix(names, ["k"], "state", ["t", "id"], 6).collect()}
     s["state"] = "s" + (s.id % 3).astype(str)
     s["to"] = s.groupby("k").state.shift(-1)
     want = s.dropna(subset=["to"]).groupby(["state", "to"]).size()

@@ -184,7 +184,8 @@ def test_published_confusion_matrix(spark, rows):
     df = spark.createDataFrame(data, "label int, prediction int")
     m = classification_metrics(df).first()
     assert (m.accuracy, m.precision, m.recall, m.f1) == (0.9184, 0.5333, 0.8889, 0.6667)
-    assert rows(confusion_matrix(df)) == cells
+    assert rows(confusion_matrix(df, zeros=True)) == cells
+    assert rows(confusion_matrix(df)) == [c for c in cells if c[2]]
 
 
 def test_classification_edges(spark, rows):
@@ -193,7 +194,7 @@ def test_classification_edges(spark, rows):
     w = classification_metrics(df, average="weighted").first()
     # a: p 1/2 r 1 f 2/3; b: p 1 r 1/3 f 1/2; c has no labels
     assert tuple(w) == (4, 0.5, 0.875, 0.5, round((2 / 3 + 1.5) / 4, 4))
-    assert len(confusion_matrix(df).collect()) == 9
+    assert len(confusion_matrix(df, zeros=True).collect()) == 9
     none = classification_metrics(spark.createDataFrame([(0, 0)], "label int, prediction int"))
     assert tuple(none.first()) == (1, 1.0, 0.0, 0.0, 0.0)
     with pytest.raises(ValueError):

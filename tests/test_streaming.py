@@ -2,11 +2,13 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from tideline import presets as P
+from tideline.plans.ingest import HISTORY, LAGS, conform, ingest
 from tideline.plans.observations import (
     event_cells, observations, raw_uploads, read_table, site_observations,
 )
 from tideline.streaming.live import (
-    clean_rows, event_stream, pulse_windows, stream_append, stream_pulse,
+    clean_rows, event_stream, pulse_windows, read_pulse, stream_append, stream_pulse,
 )
 
 SCHEMA = "event_id long, ts timestamp_ntz, event_type string, user_id long, value double"
@@ -42,7 +44,7 @@ def test_append_keeps_rows_of_any_age(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out), "event_id") == [(1,), (2,), (3,), (4,)]
 
 
-def test_late_rows_are_left_out(spark, tmp_path):
+def test_late_rows_change_their_cell(spark, tmp_path):
     folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     run = lambda: stream_pulse(
         event_stream(spark, folder, SCHEMA), CAPACITIES, out, marks).awaitTermination()
@@ -51,23 +53,43 @@ def test_late_rows_are_left_out(spark, tmp_path):
     run()
     write(spark, folder, [(4, "2026-01-01T08:45", "view"), (5, "2026-01-20T10:00", "view")])
     run()
-    got = {(r.date, r.starting_hour): r for r in spark.read.parquet(out).collect()}
-    assert got["2026-01-01", 8].sports_visitor_count == 2
+    got = {(r.date, r.starting_hour): r for r in read_pulse(spark, out).collect()}
+    assert got["2026-01-01", 8].sports_visitor_count == 3
     assert got["2026-01-09", 17].library_load_pct == 10.0
-    assert len(got) == 2
+    assert got["2026-01-20", 10].sports_visitor_count == 1
+    assert len(got) == 3
 
 
-def test_stream_equals_batch_for_closed_days(spark, sf, tmp_path):
+def test_stream_equals_batch_for_all_days(spark, sf, tmp_path):
     events = read_table(spark, sf, "events")
     query = stream_pulse(event_stream(spark, f"{sf}/events*.parquet", events.schema), CAPACITIES,
                          str(tmp_path / "out"), str(tmp_path / "marks"))
     query.awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "out"))
-    want = pulse_windows(events, CAPACITIES)
-    last = events.agg(F.date_format(F.max("ts") - F.expr("INTERVAL 2 DAY"), "yyyy-MM-dd")).first()[0]
-    closed = want.where(F.col("date") <= last)
+    got = read_pulse(spark, str(tmp_path / "out"))
+    want = pulse_windows(events, CAPACITIES).select(got.columns)
     assert got.count() > 0
-    assert got.exceptAll(closed).count() == 0 and closed.exceptAll(got).count() == 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_clean_rows_equals_ingest(spark):
+    """Supplied loads, index, preparation and stage are kept alike; only lags, ids and history differ."""
+    upload = spark.createDataFrame(
+        [("2024-03-05", "8:00", "80", "33.3", "12.0", "150", "Mid-Term", "90"),
+         ("03/06/2024", "17:30", "75", None, None, None, "Finals", "400"),
+         ("soon", "10:15", "x", "140.5", "143.87", "10", "Early", "12")],
+        "date string, time_slot string, sports_visitor_count string, sports_load_pct string, "
+        "campus_pulse_index string, food_prepared_qty string, semester_stage string, "
+        "food_orders_demand string")
+    batch = ingest(upload, ["starting_hour"], "2024-03-05", label=P.SUBMIT_LABEL)
+    table_wide = {"record_id", *LAGS, *[name for name, _, _ in HISTORY]}
+    live = clean_rows(upload, "2024-03-05", today="2024-03-05")
+    live = conform(live.withColumns({c: F.lit(None).cast("string") for c in table_wide}))
+    same = [c for c in batch.columns if c not in table_wide]
+    assert {r.starting_hour for r in live.collect()} == {8, 10, 17}
+    assert len(same) > 40
+    key = lambda r: r.starting_hour
+    assert sorted(live.select(same).collect(), key=key) == sorted(
+        batch.select(same).collect(), key=key)
 
 
 def test_clean_rows_is_row_wise(spark, sf):

@@ -2,6 +2,7 @@ import json
 import os
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -12,7 +13,7 @@ from tideline.operators.mapping import (
     map_columns, normalize_names,
 )
 from tideline.operators.rows import latest, listwise, search_rows, top_features, top_k_per_group
-from tideline.plans.ingest import ingest
+from tideline.plans.ingest import ingest, upload_facts
 from tideline.sources.reports import sanitize, summary_json, summary_rows
 from tideline.sources.tables import (
     append_rows, append_table, assign_record_id, first_existing, read_observations, write_split,
@@ -125,11 +126,31 @@ def test_read_and_write(spark, rows, tmp_path):
     split = df.withColumn("split", F.when(F.col("n") == 1, "train").otherwise("test"))
     path = write_split(split, str(tmp_path / "split"))
     assert spark.read.parquet(f"{path}/split=train").first().s == "a"
-    with pytest.raises(FileNotFoundError):
+    with pytest.raises(AnalysisException):
         read_observations(spark, str(tmp_path / "none.csv"))
-    assert first_existing(["/none/x.csv", path]) == path
+    assert first_existing(spark, ["/none/x.csv", path]) == path
     with pytest.raises(FileNotFoundError):
-        first_existing(["/none/x.csv"])
+        first_existing(spark, ["/none/x.csv"])
+
+
+def test_csv_columns_go_by_name(spark, rows, tmp_path):
+    for name, text in (("a", "library,sports,other\n7,99,x\n"), ("b", "sports\n1\nbad\n")):
+        (tmp_path / f"{name}.csv").write_text(text)
+    paths = [str(tmp_path / f"{n}.csv") for n in "ab"]
+    got = read_observations(spark, paths, "sports int, library int")
+    assert rows(got) == [(1, None), (99, 7), (None, None)]
+    with pytest.raises(Exception, match="header"):
+        read_observations(spark, str(tmp_path / "*.csv"), "sports int, library int").collect()
+
+
+def test_mixed_day_formats_are_ingested(spark):
+    days = ["2024-03-04", "03/05/2024", "6 Mar 2024", "soon"]
+    df = spark.createDataFrame([(d, 8 + i) for i, d in enumerate(days)],
+                               "date string, starting_hour int")
+    out = {r.starting_hour: r.date for r in ingest(df, ["starting_hour"]).collect()}
+    assert [out[8], out[9], out[10]] == ["2024-03-04", "2024-03-05", "2024-03-06"]
+    assert len(out) == 4
+    assert upload_facts(df, "2024-01-01")["unread_days"] == 1
 
 
 def test_summary(spark, tmp_path):

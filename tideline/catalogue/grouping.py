@@ -79,7 +79,7 @@ def _swept(spark, sf) -> Sweep:
     key = (spark.sparkContext.applicationId, sf)
     if key not in _sweeps:
         customers = customer_features(spark, sf)
-        _sweeps[key] = kmeans_sweep(customers, "c_custkey", FEATURES, 2, 4, restarts=2)
+        _sweeps[key] = kmeans_sweep(customers, "c_custkey", FEATURES, 2, 6)
     return _sweeps[key]
 
 
@@ -99,7 +99,7 @@ def _profiles(spark, sf):
 @query("kmeans_fit")
 def _(spark, sf):
     rows = vectors(customer_features(spark, sf), FEATURES)
-    model = kmeans_fit(rows, 3, restarts=2)
+    model = kmeans_fit(rows, 3)
     return model.transform(rows).groupBy(CLUSTER).agg(
         F.count("*").alias("n"), *[F.avg(c).alias(c) for c in FEATURES]
     )

@@ -78,11 +78,15 @@ def _(spark, sf):
 
 @query(
     "label_index_single",
-    "SELECT * FROM (VALUES (0, 'Balanced'), (1, 'Shortage Risk')) t(label_index, risk)",
+    """WITH seen AS (SELECT DISTINCT o_orderstatus FROM orders WHERE o_orderstatus = 'F'),
+    joined AS (SELECT * FROM seen UNION SELECT 'P' WHERE (SELECT count(*) FROM seen) < 2)
+    SELECT o_orderstatus, CAST(row_number() OVER (ORDER BY o_orderstatus) - 1 AS INT)
+      AS label_index FROM joined""",
 )
 def _(spark, sf):
-    orders = read_table(spark, sf, "orders").select(F.lit(P.BALANCED).alias("risk"))
-    return label_index(orders, orders, "risk", (P.SHORTAGE, P.BALANCED))
+    orders = read_table(spark, sf, "orders").where("o_orderstatus = 'F'")
+    early = F.col("o_orderdate") < "2000-01-01"
+    return label_index(orders.where(early), orders.where(~early), "o_orderstatus", ("F", "P"))
 
 
 @query(
@@ -167,7 +171,7 @@ def _(spark, sf):
       AS n FROM l a, l b""",
 )
 def _(spark, sf):
-    return confusion_matrix(_guess(spark, sf))
+    return confusion_matrix(_guess(spark, sf), zeros=True)
 
 
 @query(
@@ -191,8 +195,7 @@ DEMAND = SuiteSpec(
 )
 RISKS = SuiteSpec(
     "risk", FEATURES, "amount", "risk", (10, 2000), 10.0, "weighted",
-    regressors=tuple(REGRESSORS[:1]), classifiers=tuple(CLASSIFIERS[:2]),
-    extra_classes=(P.SHORTAGE, P.BALANCED),
+    classifiers=tuple(CLASSIFIERS[:2]), extra_classes=(P.SHORTAGE, P.BALANCED),
 )
 _fits: dict[tuple, FittedSuite] = {}
 

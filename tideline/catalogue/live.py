@@ -8,7 +8,9 @@ from tideline.catalogue.registry import PULSE, SLOT_HOUR, query
 from tideline.plans.observations import raw_uploads, read_table
 from tideline.session import scratch_path
 from tideline.sources.tables import write_table
-from tideline.streaming.live import clean_rows, event_stream, stream_append, stream_pulse
+from tideline.streaming.live import (
+    clean_rows, event_stream, read_pulse, stream_append, stream_pulse,
+)
 
 CAPACITIES = {"sports": 120, "food": 60, "library": 120}
 
@@ -82,12 +84,11 @@ def _(spark, sf):
       * least(100.0::DOUBLE, food_orders_demand / 60::DOUBLE * 100) + 0.10::DOUBLE * 60)), 2)
       AS campus_pulse_index FROM l)
     SELECT strftime(day, '%Y-%m-%d') AS date, p.* EXCLUDE (day),
-      {PULSE.format(c='campus_pulse_index')} AS campus_activity_status FROM p
-    WHERE day + INTERVAL 2 DAY <= (SELECT max(ts) FROM events)""",
+      {PULSE.format(c='campus_pulse_index')} AS campus_activity_status FROM p""",
 )
 def _(spark, sf):
     schema = read_table(spark, sf, "events").schema
     events = event_stream(spark, f"{sf}/events*.parquet", schema)
     out, marks = scratch_path(spark, "pulse"), scratch_path(spark, "marks")
     stream_pulse(events, CAPACITIES, out, marks).awaitTermination()
-    return spark.read.parquet(out)
+    return read_pulse(spark, out)

@@ -10,6 +10,20 @@ from tideline.functions.numbers import clip, col
 from tideline.presets import PEAK_HOURS
 
 
+# --- Fixed values: ways of writing a day, tried in this order after yyyy-MM-dd ---
+DAY_FORMATS = [
+    "M/d/yyyy[ H:mm[:ss]]", "M-d-yyyy[ H:mm[:ss]]", "d/M/yyyy[ H:mm[:ss]]", "d-M-yyyy[ H:mm[:ss]]",
+    "yyyy/M/d[ H:mm[:ss]]", "yyyyMMdd", "d MMM yyyy", "d MMMM yyyy", "MMM d, yyyy", "MMMM d, yyyy",
+]
+
+
+def read_day(c: str | Column) -> Column:
+    """A date from text in any of the usual forms, month first where both fit; else NULL."""
+    text = F.trim(col(c).cast("string"))
+    tried = [F.try_to_timestamp(text, F.lit(f)).cast("date") for f in DAY_FORMATS]
+    return F.coalesce(text.try_cast("date"), *tried)
+
+
 def calendar_columns(day: str | Column) -> dict[str, Column]:
     """Day name, weekday number (Monday is 0), weekend flag, month, date text."""
     d = F.to_date(col(day))

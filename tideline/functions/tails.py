@@ -17,8 +17,6 @@ from pyspark.sql import functions as F, types as T
 # workers get these helpers with the task, so they need no copy of the package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-EXACT_LIMIT = 200_000
-
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
     """Continued fraction of the incomplete beta function (Lentz's method)."""
@@ -63,25 +61,50 @@ def t_two_sided(t: float, df: float) -> float:
     return beta_tail(df / 2.0, 0.5, df / (df + t * t))
 
 
+def _numerator(small: int) -> tuple[int, list[int]]:
+    """Step M and polynomial P with P / (1 - q^M)^(small + 1) = 1 / ((1 - q) * prod(1 - q^i)).
+
+    The right side counts partitions of at most k into parts of 1 to ``small``.
+    """
+    step = math.lcm(*range(1, small + 1))
+    poly = np.array([1], dtype=object)
+    for part in (1, *range(1, small + 1)):
+        # times (1 - q^M) / (1 - q^part)
+        longer = np.concatenate([poly, np.zeros(step, dtype=object)])
+        longer[step:] = longer[step:] - poly
+        for r in range(part):
+            longer[r::part] = np.cumsum(longer[r::part])
+        poly = np.trim_zeros(longer, "b")
+    return step, poly.tolist()
+
+
+def _partitions_upto(k: int, small: int, step: int, poly: list[int]) -> int:
+    """Partitions of the numbers up to k into parts of 1 to ``small``."""
+    if k < 0:
+        return 0
+    return sum(
+        poly[j] * math.comb((k - j) // step + small, small)
+        for j in range(k % step, min(k + 1, len(poly)), step)
+    )
+
+
 def u_two_sided(u: float, n1: int, n2: int) -> float:
     """Exact two-sided p of the rank-sum statistic when there are no ties.
 
-    Counts, for each value of U, the subsets of ranks that give it.
+    The subsets of ranks with a U of at most k are the partitions of the numbers
+    up to k into at most ``small`` parts of at most ``large``; the bound on the
+    parts is taken out by inclusion and exclusion.  The work depends on the
+    smaller sample alone.
     """
     small, large = min(n1, n2), max(n1, n2)
-    size = small * large
-    # ways[k]: partitions of k into at most `small` parts of at most `large`,
-    # the Gaussian binomial coefficient, in exact integers
-    ways = np.zeros(size + 1, dtype=object)
-    ways[0] = 1
+    k = int(min(u, small * large - u))
+    shifts = {0: 1}
     for i in range(1, small + 1):
-        step = large + i
-        if step <= size:
-            ways[step:] = ways[step:] - ways[: size + 1 - step]
-        for r in range(i):
-            ways[r::i] = np.cumsum(ways[r::i])
-    tail = int(ways[int(max(u, size - u)):].sum()) / int(ways.sum())
-    return min(1.0, 2.0 * tail)
+        for at, sign in list(shifts.items()):
+            shifts[at + large + i] = shifts.get(at + large + i, 0) - sign
+    terms = _numerator(small)
+    ways = sum(sign * _partitions_upto(k - at, small, *terms) for at, sign in shifts.items())
+    return min(1.0, 2.0 * (ways / math.comb(small + large, small)))
 
 
 def three_digits(p: float) -> float:
@@ -108,7 +131,7 @@ def u_p_value(
     def one(u_, a, b, z_, ties):
         if pd.isna(u_) or pd.isna(a) or pd.isna(b) or a == 0 or b == 0:
             return None
-        if min(a, b) <= 8 and ties == 0 and a * b <= EXACT_LIMIT:
+        if min(a, b) <= 8 and ties == 0:
             return three_digits(u_two_sided(float(u_), int(a), int(b)))
         if pd.isna(z_):
             return None

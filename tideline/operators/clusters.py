@@ -221,11 +221,12 @@ class Sweep:
 
 def kmeans_sweep(
     df: DataFrame, id: str, features: Sequence[str], k_min: int = 2, k_max: int = 7,
-    restarts: int = RESTARTS, seed: int = SEED, silhouette: str = "euclidean",
+    restarts: int = RESTARTS, seed: int = SEED, silhouette: str = "squared",
 ) -> Sweep:
     """Fit each k on z-scores and choose the highest silhouette.
 
-    ``silhouette="squared"`` scores with squared distances, in linear time.
+    Scores use squared distances, in linear time; ``silhouette="euclidean"``
+    compares all pairs of rows.  A k that leaves one populated cluster has none.
     """
     if silhouette not in ("euclidean", "squared"):
         raise ValueError("silhouette is euclidean or squared")
@@ -243,10 +244,10 @@ def kmeans_sweep(
             s = score.first().silhouette
             spread = calinski_harabasz(placed, CLUSTER, "_point").first().calinski_harabasz
             scores.append(
-                {"k": k, "silhouette": round(s, 4), "calinski_harabasz": spread,
+                {"k": k, "silhouette": None if s is None else round(s, 4), "calinski_harabasz": spread,
                  "inertia": round(model.summary.trainingCost, 2)}
             )
-            if best is None or s > best:
+            if chosen is None or (s is not None and (best is None or s > best)):
                 best, chosen = s, (k, model)
     finally:
         data.unpersist()

@@ -7,10 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tideline.functions.numbers import clip, half_even
-
-# A confusion table is a table of class pairs; far more labels than this are
-# not classes but a mistaken column.
-MAX_CLASSES = 10_000
+from tideline.operators.ordering import global_row_number
 
 
 def standardize(
@@ -52,17 +49,16 @@ def label_index(
 
     If there is one class only, the first of ``extra`` that differs is added.
     """
-    seen = train.select(label).union(test.select(label)).where(F.col(label).isNotNull())
-    classes = F.array_sort(F.collect_set(label))
-    found = seen.distinct().limit(MAX_CLASSES + 1).agg(classes.alias("c"))
-    full = F.col("c")
+    both = train.select(label).union(test.select(label)).where(F.col(label).isNotNull())
+    seen = both.distinct()
     if extra:
-        added = F.slice(F.array_except(F.array(*[F.lit(x) for x in extra]), full), 1, 1)
-        full = F.when(F.size("c") < 2, F.array_sort(F.concat(F.col("c"), added))).otherwise(full)
-    full = F.when(
-        F.size("c") > MAX_CLASSES, F.raise_error(F.lit("too many classes"))
-    ).otherwise(full)
-    return found.select(F.posexplode(full).alias("label_index", label))
+        # two classes are enough to know that there is more than one
+        two = seen.limit(2).agg(F.collect_set(label).alias("c"))
+        others = F.slice(F.array_except(F.array(*[F.lit(x) for x in extra]), "c"), 1, 1)
+        seen = seen.union(two.where(F.size("c") < 2).select(F.explode(others)))
+    return global_row_number(seen, [label], "_rn").select(
+        (F.col("_rn") - 1).cast("int").alias("label_index"), label
+    )
 
 
 def clip_predictions(
@@ -161,17 +157,22 @@ def classification_metrics(
 
 
 def confusion_matrix(
-    df: DataFrame, label: str = "label", prediction: str = "prediction"
+    df: DataFrame, label: str = "label", prediction: str = "prediction", zeros: bool = False
 ) -> DataFrame:
-    """Counts for every pair of classes seen on either side, zero cells included."""
+    """Counts of the pairs of classes that occur.
+
+    ``zeros`` adds the other pairs of the classes seen on either side; that
+    table has the square of the classes in rows by definition.
+    """
     pairs = _pair_counts(df, label, prediction, ())
+    if not zeros:
+        return pairs.select(
+            F.col("_y").alias("label"), F.col("_p").alias("prediction"), F.col("_n").alias("n")
+        )
     # classes only, from the pair counts
     seen = pairs.select(F.explode(F.array("_y", "_p")).alias("c")).distinct()
-    classes = seen.limit(MAX_CLASSES + 1).agg(F.array_sort(F.collect_set("c")).alias("c"))
-    checked = F.when(
-        F.size("c") > MAX_CLASSES, F.raise_error(F.lit("too many classes"))
-    ).otherwise(F.col("c"))
-    grid = classes.select(F.explode(checked).alias("_y"), "c").select(
+    classes = seen.agg(F.array_sort(F.collect_set("c")).alias("c"))
+    grid = classes.select(F.explode("c").alias("_y"), "c").select(
         "_y", F.explode("c").alias("_p")
     )
     return grid.join(pairs, ["_y", "_p"], "left").select(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tideline.functions.numbers import half_even
 from tideline.operators.association import pearson
-from tideline.operators.ordering import GROUP_LIMIT, global_row_number, neighbour
+from tideline.operators.ordering import global_row_number, neighbour
 
 SPLIT = "split"
 HASH_STEPS = 1_000_000
@@ -21,10 +21,9 @@ def lag_feature(
     columns: Mapping[str, str],
     order: Sequence[str],
     by: Sequence[str] = (),
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """New columns with the previous row's value; the first row has its own."""
-    out = neighbour(df, dict(columns), order, by, -1, limit)
+    out = neighbour(df, dict(columns), order, by, -1)
     return out.withColumns({new: F.coalesce(new, old) for new, old in columns.items()})
 
 
@@ -123,11 +122,10 @@ def lag_corr(
     order: Sequence[str],
     by: Sequence[str] = (),
     digits: int = 3,
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Correlation of ``a`` with the next row's ``b``."""
     columns = list(dict.fromkeys([*by, *order, a, b]))
-    pairs = neighbour(df.select(*columns), {"_next": b}, order, by, 1, limit)
+    pairs = neighbour(df.select(*columns), {"_next": b}, order, by, 1)
     x, y = F.col(a).cast("double"), F.col("_next").cast("double")
     both = x.isNotNull() & y.isNotNull()
     return pairs.agg(
@@ -142,11 +140,10 @@ def transition_matrix(
     state: str,
     order: Sequence[str],
     digits: int | None = 4,
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """How often each state of an entity is followed by each other, and with what share."""
     columns = list(dict.fromkeys([*entity, *order, state]))
-    steps = neighbour(df.select(*columns), {"to_state": state}, order, entity, 1, limit)
+    steps = neighbour(df.select(*columns), {"to_state": state}, order, entity, 1)
     counts = (
         steps.where(F.col("to_state").isNotNull() & F.col(state).isNotNull())
         .groupBy(F.col(state).alias("from_state"), "to_state")

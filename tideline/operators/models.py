@@ -222,7 +222,8 @@ def train_suite(train: DataFrame, test: DataFrame, spec: SuiteSpec) -> FittedSui
 
     ready = scaler.transform(ready)
     if spec.label:
-        indexed = label_index(train, test, spec.label, spec.extra_classes).collect()
+        indexed = label_index(train, test, spec.label, spec.extra_classes)
+        indexed = indexed.orderBy("label_index").collect()
         fitted.classes = [r[spec.label] for r in indexed]
         ready = ready.withColumn(INDEX, _class_index(spec.label, fitted.classes))
         weights = {r[spec.label]: r.weight for r in class_weights(train, spec.label).collect()}

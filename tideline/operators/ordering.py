@@ -17,7 +17,6 @@ from tideline.session import stable
 PART, POS = "_part", "_pos"
 # monotonically_increasing_id keeps the position within the partition here
 POS_MASK = (1 << 33) - 1
-GROUP_LIMIT = 2_000_000
 BROADCAST_ROWS = 200_000
 
 
@@ -160,24 +159,16 @@ def neighbour(
     order: Sequence[str],
     by: Sequence[str] = (),
     step: int = -1,
-    limit: int = GROUP_LIMIT,
 ) -> DataFrame:
     """Values of the previous (``step=-1``) or next (``step=1``) row in ``order``.
 
     ``columns`` maps new names to source columns; rows at the edge of their
-    group get NULL.  Groups of at most ``limit`` rows are handled by a plain
-    window; if one is larger, or there are no groups, rows are range-partitioned.
+    group get NULL.  Rows are range-partitioned on group and order, so a hot
+    group is split; rows equal in both follow a hash of the whole row.
     """
     if step not in (-1, 1):
         raise ValueError("step is -1 or 1")
-    fetch = F.lag if step < 0 else F.lead
     by = list(by)
-    if by:
-        largest = df.groupBy(*by).count().agg(F.max("count")).first()[0] or 0
-        if largest <= limit:
-            w = Window.partitionBy(*by).orderBy(*order)
-            return df.withColumns({new: fetch(old).over(w) for new, old in columns.items()})
-
     return _adjacent(ranged(df, [*by, *order]), columns, by, step).drop(PART, POS)
 
 

@@ -14,9 +14,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tideline.operators.ordering import long_form
+from tideline.functions.numbers import number
 
 ACCURACY = 10_000
+# rows of a bracket that are few enough to be counted by value
 ROW_LIMIT = 1_000_000
 
 
@@ -28,8 +29,8 @@ class Target:
     prob: float
     n: int
     between: int
-    floor: float = -math.inf
-    ceil: float = math.inf
+    floor: float | None = None
+    ceil: float | None = None
     below: int = 0
     at_floor: int = 0
 
@@ -47,13 +48,23 @@ class Target:
 
     @property
     def value(self):
-        return F.col(self.metric).cast("double")
+        return number(self.metric)
 
     def inside(self):
-        return F.when((self.value > self.floor) & (self.value < self.ceil), self.value)
+        kept = F.lit(True)
+        if self.floor is not None:
+            kept = kept & (self.value > self.floor)
+        if self.ceil is not None:
+            kept = kept & (self.value < self.ceil)
+        return F.when(kept, self.value)
 
     def enclosed(self):
-        return F.when((self.value >= self.floor) & (self.value <= self.ceil), self.value)
+        kept = F.lit(True)
+        if self.floor is not None:
+            kept = kept & (self.value >= self.floor)
+        if self.ceil is not None:
+            kept = kept & (self.value <= self.ceil)
+        return F.when(kept, self.value)
 
 
 def _narrow(df: DataFrame, targets: list[Target], slack: float) -> bool:
@@ -73,7 +84,7 @@ def _narrow(df: DataFrame, targets: list[Target], slack: float) -> bool:
             start = t.below + t.at_floor
             lo = (t.low - start) / t.between - slack
             hi = (t.high - start + 1) / t.between + slack
-            wanted.append((t, lo >= 0 or math.isinf(t.floor), hi <= 1 or math.isinf(t.ceil)))
+            wanted.append((t, lo >= 0 or t.floor is None, hi <= 1 or t.ceil is None))
             ends += [min(max(lo, 0.0), 1.0), min(max(hi, 0.0), 1.0)]
         sketches.append(F.percentile_approx(group[0].inside(), ends, ACCURACY))
     found = df.agg(*[s.alias(f"s{i}") for i, s in enumerate(sketches)]).first()
@@ -103,94 +114,72 @@ def _narrow(df: DataFrame, targets: list[Target], slack: float) -> bool:
     return moved
 
 
-def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int = ROW_LIMIT
-) -> DataFrame:
-    """Rows (metric, prob, value) with linear interpolation; NULLs are left out."""
-    columns, probs = list(columns), [float(p) for p in probs]
-    sizes = df.agg(*[F.count(F.col(c).cast("double")).alias(c) for c in columns]).first()
-    if max(sizes) <= limit:
-        return _small(df, columns, probs)
+def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """Rows (metric, prob, value) with linear interpolation; NULL and NaN are left out.
 
+    A column without values has no rows.
+    """
+    columns, probs = list(columns), [float(p) for p in probs]
+    sizes = df.agg(*[F.count(number(c)).alias(c) for c in columns]).first()
     targets = [
         Target(c, p, sizes[c], between=sizes[c]) for c in columns for p in probs if sizes[c]
     ]
-    slack = 3.0 / ACCURACY
-    open_ = [t for t in targets if t.between > limit]
-    while open_ and slack < 0.5:
-        if not _narrow(df, open_, slack):
+    if not targets:
+        return df.sparkSession.createDataFrame([], "metric string, prob double, value double")
+    slack = first = 3.0 / ACCURACY
+    open_ = [t for t in targets if t.between > ROW_LIMIT]
+    while open_:
+        if _narrow(df, open_, slack):
+            slack = first
+        elif slack < 0.5:
             slack *= 4
-        open_ = [t for t in open_ if t.between > limit]
+        else:
+            raise RuntimeError("the sketch does not enclose the wanted ranks")
+        open_ = [t for t in open_ if t.between > ROW_LIMIT]
+
+    # targets with one bracket share its rows
+    brackets: dict[tuple, list[Target]] = {}
+    for t in targets:
+        brackets.setdefault((t.metric, t.floor, t.ceil), []).append(t)
+    groups = list(brackets.values())
     cells = [
-        F.struct(F.lit(i).alias("target"), t.enclosed().alias("value"))
-        for i, t in enumerate(targets)
+        F.struct(F.lit(i).alias("bracket"), group[0].enclosed().alias("value"))
+        for i, group in enumerate(groups)
     ]
     counts = (
         df.select(F.inline(F.array(*cells)))
         .where(F.col("value").isNotNull())
-        .groupBy("target", "value")
+        .groupBy("bracket", "value")
         .agg(F.count("*").alias("cnt"))
     )
-    # about `limit` distinct values per target
-    upto = F.sum("cnt").over(Window.partitionBy("target").orderBy("value"))
-    facts = F.array(
-        *[
-            F.struct(
-                F.lit(t.metric).alias("metric"), F.lit(t.prob).alias("prob"),
-                F.lit(t.low - t.below).alias("low"), F.lit(t.high - t.below).alias("high"),
-                F.lit(t.position).alias("position"), F.lit(t.low).alias("floor"),
-            )
-            for t in targets
-        ]
-    )
-    ends = (
-        counts.withColumn("upto", upto)
-        .withColumn("t", F.get(facts, F.col("target")))
-        .groupBy("target")
-        .agg(
-            F.first("t").alias("t"),
-            F.min(F.when(F.col("upto") > F.col("t.low"), F.col("value"))).alias("a"),
-            F.min(F.when(F.col("upto") > F.col("t.high"), F.col("value"))).alias("b"),
-        )
-    )
-    part = F.col("t.position") - F.col("t.floor")
-    return ends.select(
-        F.col("t.metric").alias("metric"),
-        F.col("t.prob").alias("prob"),
-        (F.col("a") + (F.col("b") - F.col("a")) * part).alias("value"),
-    )
-
-
-def _small(df: DataFrame, columns: list[str], probs: list[float]) -> DataFrame:
-    """All values counted; the caller has checked that there are few."""
-    counts = long_form(df, columns).groupBy("metric", "value").agg(F.count("*").alias("cnt"))
-    by = Window.partitionBy("metric")
-    placed = counts.withColumn("upto", F.sum("cnt").over(by.orderBy("value"))).withColumn(
-        "n", F.sum("cnt").over(by)
+    # at most ROW_LIMIT distinct values and two ends per bracket
+    upto = F.sum("cnt").over(Window.partitionBy("bracket").orderBy("value"))
+    fact = lambda j, make: F.get(
+        F.array(*[make(g[j]) if j < len(g) else F.lit(None) for g in groups]), F.col("bracket")
     )
-    ends = []
-    for i, p in enumerate(probs):
-        position = (F.col("n") - 1) * F.lit(p)
-        for end, at in (("a", F.floor(position)), ("b", F.ceil(position))):
-            ends.append(F.min(F.when(F.col("upto") > at, F.col("value"))).alias(f"{end}{i}"))
-    cells = []
-    for i, p in enumerate(probs):
-        position = (F.col("n") - 1) * F.lit(p)
-        gap = F.col(f"b{i}") - F.col(f"a{i}")
-        cells.append(
+    ends, picked = [], []
+    for j in range(max(map(len, groups))):
+        for end, at in (("a", "low"), ("b", "high")):
+            rank = fact(j, lambda t: F.lit(getattr(t, at) - t.below))
+            ends.append(F.min(F.when(F.col("upto") > rank, F.col("value"))).alias(f"{end}{j}"))
+        low, high = F.col(f"a{j}"), F.col(f"b{j}")
+        part = fact(j, lambda t: F.lit(t.position - t.low))
+        value = F.when(low == high, low).otherwise(low + (high - low) * part)
+        picked.append(
             F.struct(
-                F.lit(p).alias("prob"),
-                (F.col(f"a{i}") + gap * (position - F.floor(position))).alias("value"),
+                fact(j, lambda t: F.lit(t.metric)).alias("metric"),
+                fact(j, lambda t: F.lit(t.prob)).alias("prob"), value.alias("value"),
             )
         )
-    return placed.groupBy("metric", "n").agg(*ends).select("metric", F.inline(F.array(*cells)))
+    found = counts.withColumn("upto", upto).groupBy("bracket").agg(*ends)
+    return found.select(F.inline(F.array(*picked))).where(F.col("metric").isNotNull())
 
 
 def quantile_values(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], limit: int = ROW_LIMIT
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float]
 ) -> dict[tuple[str, float], float]:
     """The quantiles as numbers, for use as literals that a scan can push down."""
-    rows = exact_quantiles(df, columns, probs, limit).collect()
+    rows = exact_quantiles(df, columns, probs).collect()
     return {(r.metric, r.prob): r.value for r in rows}
 
 

@@ -75,13 +75,13 @@ def train_all(
 
 def batch_tables(
     table: DataFrame, order: Sequence[str] = ORDER, suites: Sequence[SuiteSpec] = SUITES,
-    k_range: tuple[int, int] = (2, 6), restarts: int = 10, silhouette: str = "euclidean",
+    k_range: tuple[int, int] = (2, 6), restarts: int = 10, silhouette: str = "squared",
     requested_hour: int = 18,
 ) -> dict[str, DataFrame]:
     """All result tables by name; pass them to ``summary_json`` to publish them.
 
     The table is written once and read by every step.  On large tables pass
-    ``silhouette="squared"``: the Euclidean score takes the square of the rows.
+    ``silhouette="euclidean"`` takes the square of the rows.
     """
     spark = table.sparkSession
     table = stable(table)

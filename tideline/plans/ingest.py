@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tideline import presets as P
 from tideline.functions.banding import availability, pulse_level, risk_level, slot_of_hour
-from tideline.functions.calendar import calendar_columns, peak_flag, semester_week
+from tideline.functions.calendar import calendar_columns, peak_flag, read_day, semester_week
 from tideline.functions.facility import (
     load_pct, prepared_qty, pulse_index, supply_balance, supply_risk, threshold_flag,
 )
@@ -35,7 +35,7 @@ def clean_calendar(
     With ``timed`` the hour is read from the slot text and replaces a given hour.
     """
     df = default_columns(df, {"date": str(today)})
-    out = df.withColumn("_day", F.to_date(F.col("date")))
+    out = df.withColumn("_day", read_day("date"))
     if timed:
         out = out.withColumn("starting_hour", parse_hour("time_slot"))
         out = out.withColumn("time_slot", slot_of_hour("starting_hour"))
@@ -110,7 +110,10 @@ def upload_facts(df: DataFrame, today: str | datetime.date) -> dict:
     looks_timed = F.bool_or(F.col("time_slot").cast("string").rlike("[:-]"))
     aggs = {
         "rows": F.count("*"),
-        "first_day": given("date", F.min(F.to_date(F.col("date"))), str(today)),
+        "first_day": given("date", F.min(read_day("date")), str(today)),
+        "unread_days": given(
+            "date", F.count_if(F.col("date").isNotNull() & read_day("date").isNull()), 0
+        ),
         "timed": given("time_slot", F.coalesce(looks_timed, F.lit(False)), False),
         "reported": given("food_risk_category", F.count("food_risk_category") > 0, False),
         "indexed": given("campus_pulse_index", F.count("campus_pulse_index") > 0, False),
@@ -156,11 +159,7 @@ def ingest(
     timed = facts["timed"] if parse == "auto" else bool(parse) and "time_slot" in df.columns
     first_day = F.lit(facts["first_day"]).cast("date")
 
-    df = clean_events(clean_academics(clean_calendar(df, today, first_day, timed)))
-    constants = {c: v for c, v in P.COLUMN_DEFAULTS.items() if c not in ("event_type",)}
-    df = default_columns(df, constants)
-    counts = ("sports_visitor_count", "food_orders_demand", "library_occupancy")
-    df = coerce_numeric(df, {c: P.NUMBER_DEFAULTS[c] for c in counts})
+    df = clean_cells(df, today, first_day, timed)
     df = df.withColumns({name: F.lit(facts[name]) for name, _, _ in HISTORY})
 
     # one range shuffle gives the record numbers and the previous rows
@@ -169,6 +168,26 @@ def ingest(
     df = df.withColumns({n: F.coalesce(n, c) for n, c in absent.items()})
     df = df.withColumn("record_id", F.format_string(f"{prefix}-%04d", F.col("_rn")))
 
+    df = derive_cells(df, facts["reported"], facts["indexed"], label)
+    return conform(df, keep)
+
+
+def clean_cells(
+    df: DataFrame, today: str | datetime.date, first_day: Column, timed: bool
+) -> DataFrame:
+    """Calendar, academics, events, constants and counts; each row by itself."""
+    df = clean_events(clean_academics(clean_calendar(df, today, first_day, timed)))
+    constants = {c: v for c, v in P.COLUMN_DEFAULTS.items() if c not in ("event_type",)}
+    df = default_columns(df, constants)
+    counts = ("sports_visitor_count", "food_orders_demand", "library_occupancy")
+    return coerce_numeric(df, {c: P.NUMBER_DEFAULTS[c] for c in counts})
+
+
+def derive_cells(df: DataFrame, reported: bool, indexed: bool, label: str) -> DataFrame:
+    """Loads, supply, index and levels after ``clean_cells``; each row by itself.
+
+    ``reported`` supply labels are kept; a supplied index has gaps of 50.
+    """
     # loads from counts and capacities where none were supplied
     for load, count, capacity in (
         ("sports_load_pct", "sports_visitor_count", "sports_capacity"),
@@ -177,15 +196,15 @@ def ingest(
         df = coalesce_derived(df, load, load_pct(count, capacity))
     crowded = threshold_flag("sports_load_pct")
     df = coalesce_derived(df, "sports_overcrowded_flag", crowded, 0)
-    df = clean_supply(df, facts["reported"])
+    df = clean_supply(df, reported)
     index = pulse_index(
         "sports_load_pct", "library_load_pct", "food_orders_demand", "academic_workload",
         clamp=False,
     )
-    if facts["indexed"]:
+    if indexed:
         index = F.lit(50.0)
     df = coalesce_derived(df, "campus_pulse_index", index, 2)
-    df = df.withColumns(
+    return df.withColumns(
         {
             "sports_risk_level": risk_level("sports_load_pct"),
             "library_high_demand_flag": threshold_flag("library_load_pct"),
@@ -194,7 +213,6 @@ def ingest(
             "data_source_label": F.lit(label),
         }
     )
-    return conform(df, keep)
 
 
 def conform(df: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

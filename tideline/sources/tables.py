@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Mapping, Sequence
-from glob import glob
+from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tideline import presets as P
@@ -14,12 +15,16 @@ from tideline.operators.flow import SPLIT
 from tideline.operators.ordering import global_row_number
 
 
-def first_existing(candidates: Iterable[str]) -> str:
-    """First local path or pattern that exists."""
+def first_existing(spark: SparkSession, candidates: Iterable[str]) -> str:
+    """First path or pattern that exists, on whatever file system it names."""
     candidates = list(candidates)
     for path in candidates:
-        if glob(path):
+        try:
+            spark.read.format("binaryFile").load(path)
             return path
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
     raise FileNotFoundError(f"none of these exists: {', '.join(candidates)}")
 
 
@@ -33,21 +38,38 @@ def read_observations(
 
     The form follows from the file ending unless given.  Pass ``schema=None``
     to keep a Parquet schema, or all text columns of a CSV with a header.
+    Columns of a CSV go by its header, in any order: those the schema lacks are
+    left out, those the file lacks and unreadable values are NULL.  Each given
+    path may have its own header; files under one path must share it.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    for p in paths:
-        # a path with a scheme, or a relative one on a cluster, is checked by Spark
-        if os.path.isabs(p) and not glob(p):
-            raise FileNotFoundError(p)
     ending = form or os.path.splitext(paths[0].rstrip("/*"))[1].lstrip(".").lower() or "parquet"
+    if ending == "csv":
+        parts = [_read_csv(spark, p, schema) for p in paths]
+        union = lambda a, b: a.unionByName(b, allowMissingColumns=True)
+        return nan_to_null(reduce(union, parts))
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    if ending == "csv":
-        return nan_to_null(reader.option("header", True).csv(paths))
     return nan_to_null(reader.format(ending).load(paths))
 
 
+def _read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None) -> DataFrame:
+    # a file whose header differs from that of its neighbours ends the read
+    text = spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    if schema is None:
+        return text
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    given = set(text.columns)
+    return text.select(
+        *[
+            (F.col(f"`{f.name}`") if f.name in given else F.lit(None).cast("string"))
+            .try_cast(f.dataType).alias(f.name)
+            for f in fields
+        ]
+    )
+
+
 def assign_record_id(
     df: DataFrame,
     order: Sequence[str | Column],

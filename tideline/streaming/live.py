@@ -2,94 +2,58 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import datetime
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tideline import presets as P
-from tideline.functions.banding import availability, pulse_level, risk_level, slot_of_hour
-from tideline.functions.calendar import calendar_columns, peak_flag, semester_week
-from tideline.functions.facility import (
-    load_pct, prepared_qty, pulse_index, supply_balance, supply_risk, threshold_flag,
-)
-from tideline.functions.numbers import whole
-from tideline.functions.text import event_columns, parse_hour, workload_level
+from tideline.functions.banding import pulse_level
+from tideline.functions.facility import load_pct, pulse_index
 from tideline.operators.mapping import map_columns
+from tideline.plans.ingest import clean_cells, derive_cells
 from tideline.plans.observations import EVENT_COLUMNS, slot_hour
 
+CELL = ["date", "starting_hour"]
+
 
 def event_stream(
     spark: SparkSession, path: str, schema, form: str = "parquet", per_trigger: int | None = None
 ) -> DataFrame:
-    """A folder of files as a stream; event time is a zoned timestamp, as watermarks need."""
+    """A folder of files as a stream.
+
+    A CSV whose header differs from the schema ends the stream; nothing is read by position.
+    """
     reader = spark.readStream.schema(schema)
     if per_trigger:
         reader = reader.option("maxFilesPerTrigger", per_trigger)
     if form == "csv":
-        reader = reader.option("header", True)
+        reader = reader.option("header", True).option("enforceSchema", False)
     return reader.format(form).load(path)
 
 
 def clean_rows(
     raw: DataFrame, first_day: str, history: dict[str, float] | None = None,
-    keep: tuple[str, ...] = (),
+    keep: Sequence[str] = (), timed: bool | None = None, today: str | datetime.date | None = None,
+    label: str = P.SUBMIT_LABEL,
 ) -> DataFrame:
     """The row-wise part of ingest: no value depends on another row.
 
     Table-wide values (first day of term, means and peaks) come from a batch
-    snapshot.  Works on a stream and on a batch alike.
+    snapshot.  Where ingest looks at the whole upload, the columns decide: a
+    slot column is read as times unless ``timed`` is False, a supply label or an
+    index that is there counts as supplied.  Works on a stream and on a batch alike.
     """
     df = map_columns(raw, {**P.COLUMN_ALIASES, **{k: [k] for k in keep}})
     given = set(df.columns)
-    pick = lambda c: F.col(c) if c in given else F.lit(None).cast("string")
-    number = lambda c: whole(pick(c), P.NUMBER_DEFAULTS[c])
-    hour = (
-        parse_hour("time_slot") if "time_slot" in given else number("starting_hour")
-    )
-    made = calendar_columns("date")
-    events = event_columns(pick("event_type"))
-    out = df.withColumns({k: c for k, c in made.items() if k != "date"})
-    out = out.withColumns(
-        {
-            "semester_week": semester_week("date", F.lit(first_day).cast("date")),
-            "starting_hour": hour,
-            "academic_workload": workload_level(pick("academic_workload"), "Medium"),
-            **{c: number(c) for c in ("classes_ending_near", "sports_visitor_count",
-                                      "food_orders_demand", "library_occupancy")},
-            **{c: (whole(pick(c), P.COLUMN_DEFAULTS[c]))
-               for c in ("sports_capacity", "library_capacity")},
-            **events,
-            **{c: F.lit(v) for c, v in (history or {}).items()},
-        }
-    )
-    out = out.withColumns(
-        {
-            "time_slot": slot_of_hour("starting_hour"),
-            "is_peak_hour": peak_flag("starting_hour"),
-            "sports_load_pct": load_pct("sports_visitor_count", "sports_capacity"),
-            "library_load_pct": load_pct("library_occupancy", "library_capacity"),
-            "food_prepared_qty": prepared_qty("food_orders_demand"),
-        }
-    )
-    out = out.withColumns(
-        {
-            "sports_overcrowded_flag": threshold_flag("sports_load_pct"),
-            "sports_risk_level": risk_level("sports_load_pct"),
-            "study_space_availability": availability("library_load_pct"),
-            **supply_balance("food_prepared_qty", "food_orders_demand"),
-            "campus_pulse_index": pulse_index(
-                "sports_load_pct", "library_load_pct", "food_orders_demand", "academic_workload"
-            ),
-        }
-    )
-    return out.withColumns(
-        {
-            "food_risk_category": supply_risk("food_surplus_pct", "food_shortage_qty"),
-            "campus_activity_status": pulse_level("campus_pulse_index"),
-            "data_source_label": F.lit(P.SUBMIT_LABEL),
-        }
+    timed = "time_slot" in given and timed is not False
+    start = F.lit(first_day).cast("date")
+    df = clean_cells(df, today or datetime.date.today(), start, timed)
+    df = df.withColumns({c: F.lit(v) for c, v in (history or {}).items()})
+    return derive_cells(
+        df, "food_risk_category" in given, "campus_pulse_index" in given, label
     )
 
 
@@ -130,14 +94,15 @@ def stream_append(
 
 
 def pulse_windows(
-    events: DataFrame, capacities: dict[str, int], delay: str = "1 day",
-    workload: str | Column = "Medium", ts: str = "ts",
+    events: DataFrame, capacities: dict[str, int], workload: str | Column = "Medium",
+    ts: str = "ts",
 ) -> DataFrame:
-    """Counts, loads and index per day and slot; rows later than the delay are left out.
+    """Counts, loads and index per day and slot.
 
-    On a batch the watermark has no effect.
+    There is no watermark: rows count however late they come, and the state is
+    one row per slot of a day, whatever the number of events.
     """
-    stamped = events.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
+    stamped = events.withColumn(ts, F.col(ts).cast("timestamp"))
     counts = [
         F.count_if(F.col("event_type") == kind).cast("int").alias(name)
         for name, kind in EVENT_COLUMNS.items()
@@ -163,12 +128,29 @@ def pulse_windows(
 
 
 def stream_pulse(
-    events: DataFrame, capacities: dict[str, int], path: str, checkpoint: str,
-    delay: str = "1 day",
+    events: DataFrame, capacities: dict[str, int], path: str, checkpoint: str
 ) -> StreamingQuery:
-    """Write each day's cells once the watermark has passed them."""
+    """Keep the cells of all days up to date; ``read_pulse`` reads them.
+
+    Every batch replaces the cells it touched, so a batch that is run again after
+    a failure changes nothing.
+    """
+
+    def put(batch: DataFrame, number: int) -> None:
+        batch.write.partitionBy(*CELL).option("partitionOverwriteMode", "dynamic").mode(
+            "overwrite"
+        ).parquet(path)
+
     return (
-        pulse_windows(events, capacities, delay).writeStream.format("parquet")
-        .outputMode("append").option("path", path).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
+        pulse_windows(events, capacities).writeStream.foreachBatch(put).outputMode("update")
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def read_pulse(spark: SparkSession, path: str) -> DataFrame:
+    """The cells ``stream_pulse`` wrote; the folder names hold day and slot."""
+    cells = spark.read.parquet(path)
+    rest = [c for c in cells.columns if c not in CELL]
+    return cells.select(
+        F.col("date").cast("string"), F.col("starting_hour").cast("int"), *rest
     )
