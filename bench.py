@@ -21,7 +21,7 @@ HEADLINE = [
     "iqr_outliers", "histogram", "kde", "group_profile", "assign_record_id", "chrono_split",
     "lag_feature", "transition_matrix", "corr_pearson", "corr_spearman", "mann_whitney_u",
     "welch_t", "standardize", "classification_weighted", "fit_linear", "calinski_harabasz",
-    "top_k_per_group", "recommended_slots", "explain_factors", "stream_pulse",
+    "kmeans_fit", "pca_project", "silhouette_squared", "top_k_per_group", "recommended_slots", "explain_factors", "stream_pulse",
 ]
 
 

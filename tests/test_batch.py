@@ -40,6 +40,15 @@ def test_whole_batch(table, spark, tmp_path):
     assert counts["cluster_scores"] == 2 and counts["cluster_points"] == 200
     assert counts["models"] == 3 * 2 + 3 + 2 + 2
     assert 1 <= counts["advice_sports"] <= 3
+    assert counts["advice_food"] == 1 and counts["index_weights"] == 4
+    assert counts["cluster_variance"] == 2
+    fits = {(r.suite, r.candidate) for r in results["importances"].collect()}
+    assert {s for s, _ in fits} == {"sports", "food", "library"}
+    # candidates of a one-class target are reported, not fitted
+    models = results["models"].where("NOT coalesce(degenerate, false)")
+    assert fits == {(r.suite, r.candidate) for r in models.collect()}
+    advice = results["advice_food"].first()
+    assert advice.recommended_preparation_qty >= 10 and advice.waste_risk in ("Low", "Moderate", "High")
     first = json.loads(spark.read.text(f"{path}/section=dataset").first().value)
     assert first["total_records"] == table.count()
     assert first["train_records"] == int(table.count() * 0.8)

@@ -84,8 +84,11 @@ def _(spark, sf):
 
 @query(
     "corr_constant",
-    """SELECT * FROM (VALUES ('value', 'value', 1.0::DOUBLE), ('value', 'flat', 0.0::DOUBLE),
-      ('flat', 'value', 0.0::DOUBLE), ('flat', 'flat', 0.0::DOUBLE)) t(a, b, r)""",
+    """WITH s AS (SELECT 'value' AS name, value AS x, event_id FROM events
+      UNION ALL SELECT 'flat', 0.1::DOUBLE, event_id FROM events)
+    SELECT p.name AS a, q.name AS b, CASE WHEN min(p.x) = max(p.x) OR min(q.x) = max(q.x)
+      THEN 0.0::DOUBLE ELSE round_even(corr(p.x, q.x), 4) END AS r
+    FROM s p JOIN s q USING (event_id) GROUP BY 1, 2""",
 )
 def _(spark, sf):
     events = read_table(spark, sf, "events").select("value", F.lit(0.1).alias("flat"))

@@ -117,6 +117,18 @@ def _(spark, sf):
     return projection.apply(rows).select("c_custkey", "pca_1", "pca_2")
 
 
+@query(
+    "pca_variance",
+    """WITH c AS (SELECT abs(corr(l_quantity, l_extendedprice)) AS r FROM lineitem)
+    SELECT 1::INT AS component, round_even((1 + r) / 2, 4) AS explained_variance FROM c
+    UNION ALL SELECT 2::INT, round_even((1 - r) / 2, 4) FROM c""",
+)
+def _(spark, sf):
+    # of two standardised columns the axes explain (1 + |r|) / 2 and (1 - |r|) / 2
+    rows = vectors(read_table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
+    return pca_project(rows, 2).frame(spark)
+
+
 @query("cluster_profiles")
 def _(spark, sf):
     return _profiles(spark, sf)

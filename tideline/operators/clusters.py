@@ -260,6 +260,13 @@ class Projection:
     signs: list[float]
     variance: list[float]
 
+    def frame(self, spark: SparkSession) -> DataFrame:
+        """Share of the variance that each axis explains."""
+        return spark.createDataFrame(
+            [(i + 1, v) for i, v in enumerate(self.variance)],
+            "component int, explained_variance double",
+        )
+
     def apply(self, df: DataFrame, digits: int | None = 3) -> DataFrame:
         """Add ``pca_1``, ``pca_2`` and so on."""
         out = self.model.transform(df).withColumn("_pca", vector_to_array("_pca"))

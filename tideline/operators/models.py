@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
@@ -368,6 +369,20 @@ def feature_importance(
     )
 
 
+def all_importances(
+    spark: SparkSession, suites: Sequence[FittedSuite], digits: int = 4
+) -> DataFrame:
+    """Rows (suite, candidate, feature, importance) of every fitted model of the suites."""
+    parts = [
+        feature_importance(spark, s, name, digits).select(
+            F.lit(s.spec.name).alias("suite"), F.lit(name).alias("candidate"),
+            "feature", "importance",
+        )
+        for s in suites for name in s.models
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def save_suite(spark: SparkSession, fitted: FittedSuite, path: str) -> str:
     """One folder per model and a description."""
     names = list(fitted.models)

@@ -19,11 +19,12 @@ from tideline.operators.flow import SPLIT, chrono_split, lag_corr
 from tideline.operators.hypothesis import preset_tests, two_sample_report
 from tideline.operators.mapping import impute
 from tideline.operators.models import (
-    FOOD_SUITE, LIBRARY_SUITE, SPORTS_SUITE, FittedSuite, SuiteSpec, feature_importance,
-    model_report, train_suite,
+    FOOD_SUITE, LIBRARY_SUITE, SPORTS_SUITE, FittedSuite, SuiteSpec, all_importances,
+    feature_importance, model_report, train_suite,
 )
 from tideline.operators.recommend import (
-    expand_slots, listed_slots, recommend_slots, recommend_study, score_crowd, score_occupancy,
+    expand_slots, listed_slots, recommend_prep, recommend_slots, recommend_study, score_crowd,
+    score_demand, score_occupancy,
 )
 from tideline.operators.rows import latest
 from tideline.session import stable
@@ -91,6 +92,10 @@ def batch_tables(
     for name, suite in fitted.items():
         forest = "Random Forest Regressor"
         results[f"importance_{name}"] = feature_importance(spark, suite, forest)
+    results["importances"] = all_importances(spark, list(fitted.values()))
+    results["index_weights"] = spark.createDataFrame(
+        list(P.PULSE_WEIGHTS.items()), "part string, weight double"
+    )
 
     # record ids are unique
     points = table.withColumn("_id", F.xxhash64("record_id"))
@@ -103,9 +108,9 @@ def batch_tables(
     results["cluster_profiles"] = profiles
     keep = ["record_id", "sports_load_pct", "library_load_pct", "food_orders_demand",
             "campus_pulse_index", "time_slot", "is_exam_week"]
-    results["cluster_points"] = cluster_points(
-        placed, profiles, pca_project(placed, 2), order, keep
-    )
+    projection = pca_project(placed, 2)
+    results["cluster_variance"] = projection.frame(spark)
+    results["cluster_points"] = cluster_points(placed, profiles, projection, order, keep)
 
     # advice for the latest situation
     context = latest(split.drop(SPLIT), order, 1)
@@ -114,6 +119,14 @@ def batch_tables(
         results["advice_sports"] = listed_slots(
             recommend_slots(crowd, ["record_id"], requested_hour), ["record_id"]
         )
+    if "food" in fitted:
+        plan = "food_prepared_qty"
+        demand = score_demand(fitted["food"].predict(context), plan=plan)
+        results["advice_food"] = recommend_prep(demand, plan).select(
+            "record_id", "predicted_orders_demand", "recommended_preparation_qty",
+            "predicted_risk_category", plan, "planned_prep_evaluation", "waste_risk",
+            "shortage_risk",
+        )
     if "library" in fitted:
         slots = fitted["library"].predict(expand_slots(context, peak=None))
         seats = recommend_study(score_occupancy(slots.drop("library_capacity")), ["record_id"])
