@@ -130,3 +130,74 @@ def test_deficits_come_from_earlier_blocks():
         if at == 400:
             break
     assert first == {0: 100, 1: 300}
+
+
+def mixed(spark):
+    """9,000 documents of 20 to 400 words, sources a, b and c at about 5, 3 and 2 tenths."""
+    return spark.range(9000, numPartitions=4).selectExpr(
+        "id AS doc_id", "repeat('word ', 20 + int(pmod(xxhash64(id, 1), 380))) AS text",
+        "CASE WHEN pmod(xxhash64(id, 2), 10) < 5 THEN 'a' WHEN pmod(xxhash64(id, 2), 10) < 8 THEN 'b' ELSE 'c' END AS source",
+    )
+
+
+def full_windows(rows, window):
+    """(block, tokens of earlier windows, tokens by source) of the whole windows of a packing."""
+    found = {}
+    for r in rows:
+        block, sequence = r.sequence_id >> 32, r.sequence_id & 0xFFFFFFFF
+        got = found.setdefault((block, sequence // 16), {})
+        got[r.source] = got.get(r.source, 0) + r.length
+    at, out = 0, []
+    for (block, _), got in sorted(found.items()):
+        if sum(got.values()) == window:
+            out.append((block, at, got))
+        at += sum(got.values())
+    return out
+
+
+def test_windows_of_late_blocks_follow_the_mixture(spark):
+    rows = pack(mixed(spark), BYTE, block_bytes=100_000, length=128).collect()
+    total = {s: sum(r.length for r in rows if r.source == s) for s in "abc"}
+    everything = sum(total.values())
+    windows = full_windows(rows, 16 * 128)
+    late = [got for b, _, got in windows if b >= 40]
+    assert len(late) > 200
+    for got in late:
+        for s in "abc":
+            assert abs(got.get(s, 0) / 2048 - total[s] / everything) < 0.05
+    # at the end of every block each source is about one document off
+    at, own = 0, dict.fromkeys("abc", 0)
+    for block in range(max(r.sequence_id >> 32 for r in rows)):
+        for r in rows:
+            if r.sequence_id >> 32 == block:
+                at, own[r.source] = at + r.length, own[r.source] + r.length
+        assert all(abs(own[s] - total[s] / everything * at) < 1000 for s in "abc")
+
+
+def test_windows_of_late_blocks_follow_a_target(spark):
+    """a runs dry last of the two named; c, not named, comes when both have."""
+    rows = pack(mixed(spark), BYTE, block_bytes=100_000, length=128, target={"a": 2, "b": 2}).collect()
+    assert len({r.doc_id for r in rows}) == 9000
+    total = {s: sum(r.length for r in rows if r.source == s) for s in "abc"}
+    phases = {"both": 0, "a": 0, "c": 0}
+    for _, at, got in full_windows(rows, 16 * 128):
+        if at < 2 * total["b"] - 20_000:
+            assert abs(got.get("a", 0) / 2048 - 0.5) < 0.05 and "c" not in got
+            phases["both"] += 1
+        elif 2 * total["b"] + 20_000 < at < total["a"] + total["b"] - 40_000:
+            assert got == {"a": 2048}
+            phases["a"] += 1
+        elif at > total["a"] + total["b"] + 20_000:
+            assert got == {"c": 2048}
+            phases["c"] += 1
+    assert min(phases.values()) > 50
+
+
+def test_sources_of_one_document_spread_over_blocks(spark):
+    docs = spark.range(2000, numPartitions=4).selectExpr(
+        "id AS doc_id", "repeat('word ', 100) AS text", "string(id) AS source"
+    )
+    held = {}
+    for r in pack(docs, BYTE, block_bytes=50_000).collect():
+        held[r.sequence_id >> 32] = held.get(r.sequence_id >> 32, 0) + r.length
+    assert len(held) == 20 and max(held.values()) < 2 * min(held.values())

@@ -1,16 +1,21 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-Documents are dealt by a hash of their whole row text into blocks of about
-``BLOCK`` bytes, so that neither a source nor a partition of the input decides
-where a document goes; a block is a queue of documents per source.  Each window
-of a block adds its share of tokens to every source's deficit, then takes from
-the queues in turn up to their deficits, cutting documents freely; tokens that
-an empty queue cannot give are lent by the others, whose deficits go below
-zero.  Deficits go on from window to window.  Between blocks they are known
-before any block is packed: a first pass counts tokens per block and source,
-and prefix sums give what each source was short of or ahead by in all earlier
-blocks.  So blocks are packed independently and a lost one is packed again in
-the same way.
+The corpus is one timeline of tokens on which every source is served at its
+share.  A source's documents stand in the order of a hash of id and text, and
+prefix sums of their tokens, within and between lanes of that hash, give the
+stretch of the timeline that each document fills.  A point of that stretch, set
+by the hash, names the block of about ``BLOCK`` bytes that the document goes to.
+So at the end of any block a source is at most about one document away from
+its target, however many blocks came before, and neither a source nor a
+partition of the input decides where a document goes.  Wherever a source with
+a wanted share runs dry, the others' shares grow and a new block begins.
+
+A block is a queue of documents per source.  Each window of a block adds to
+every source's deficit its share of the block's tokens, then takes from the
+queues in turn up to their deficits, cutting documents freely; tokens that an
+empty queue cannot give are lent by the others, whose deficits go below zero.
+Deficits go on from window to window.  Blocks are packed independently and a
+lost one is packed again in the same way.
 
 Sequences hold ``LENGTH`` tokens; the rest of a block is cut into sequences of
 powers of two, so nothing is padded.
@@ -18,6 +23,7 @@ powers of two, so nothing is padded.
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -102,40 +108,52 @@ def round_robin(
         yield last
 
 
-def _before(sums: DataFrame, value: str, name: str, *by: str) -> DataFrame:
-    """Sum of ``value`` over all earlier blocks, by prefix sums within and between lanes."""
-    rows = Window.unboundedPreceding, -1
-    inner = Window.partitionBy("lane", *by).orderBy("block").rowsBetween(*rows)
-    outer = Window.partitionBy(*by).orderBy("lane").rowsBetween(*rows)
-    lanes = sums.groupBy("lane", *by).agg(F.sum(value).alias("__v")).select(
-        "lane", *by, F.coalesce(F.sum("__v").over(outer), F.lit(0)).alias("__base")
-    )
-    return sums.withColumn("__in", F.coalesce(F.sum(value).over(inner), F.lit(0))).join(
-        lanes, ["lane", *by]
-    ).withColumn(name, F.col("__in") + F.col("__base")).drop("__in", "__base")
-
-
-def block_plan(counts: DataFrame, target: dict[str, float] | None) -> DataFrame:
-    """(block, source, share, carry) from (block, source, tokens)."""
-    counts = counts.withColumn("lane", F.floor(F.col("block") / LANE))
-    by_block = counts.groupBy("lane", "block").agg(F.sum("tokens").alias("all"))
-    by_block = _before(by_block, "all", "all_before").select("block", "all_before")
-    own = _before(counts, "tokens", "own_before", "source")
-    if target is None:
-        total = counts.agg(F.sum("tokens").alias("total"))
-        shares = counts.groupBy("source").agg(F.sum("tokens").alias("n")).join(
-            F.broadcast(total)  # one row
-        ).select("source", (F.col("n") / F.col("total")).alias("share"))
-        own = own.join(shares, "source")
-    else:
-        weight = sum(target.values()) or 1.0
-        pairs = [F.lit(x) for s, w in target.items() for x in (s, float(w) / weight)]
-        known = F.create_map(*pairs) if pairs else F.lit(None).cast("map<string,double>")
-        own = own.withColumn("share", F.coalesce(F.try_element_at(known, "source"), F.lit(0.0)))
-    return own.join(by_block, "block").select(
-        "block", "source", "share",
-        (F.col("share") * F.col("all_before") - F.col("own_before")).alias("carry"),
+def deal(
+    counts: DataFrame, rows: int, block_tokens: float, tokens: int,
+    named: dict[str, tuple[float, int]],
+) -> DataFrame:
+    """(source, h, block) from (source, h, tokens), one row per source and h.
+
+    ``tokens`` is the sum over all rows; ``named`` has weight and tokens of
+    sources that are served first, at their weights.  The others follow, each
+    at its part of what they hold together.
+    """
+    bits = max(1, (rows // LANE).bit_length())
+    counts = counts.withColumn("lane", F.shiftright("h", 64 - bits))
+    before = Window.unboundedPreceding, -1
+    inner = Window.partitionBy("lane", "source").orderBy("h").rowsBetween(*before)
+    whole = Window.partitionBy("source")
+    lanes = counts.groupBy("lane", "source").agg(F.sum("tokens").alias("__v")).select(
+        "lane", "source", F.sum("__v").over(whole).alias("own"),
+        F.coalesce(F.sum("__v").over(whole.orderBy("lane").rowsBetween(*before)), F.lit(0)).alias("base"),
     )
+    point = F.shiftrightunsigned(F.xxhash64("h"), 11) / F.lit(float(1 << 53))
+    placed = counts.withColumn("in", F.coalesce(F.sum("tokens").over(inner), F.lit(0))).join(
+        lanes, ["lane", "source"]
+    ).withColumn("at", F.col("base") + F.col("in") + point * F.col("tokens"))
+
+    # rounds at which named sources run dry, tokens taken by then, blocks between
+    dry = sorted({n / w for w, n in named.values()})
+    taken = [sum(min(n, w * v) for w, n in named.values()) for v in [0.0, *dry]]
+    spans = [b - a for a, b in zip(taken, taken[1:])] + [max(0.0, tokens - taken[-1])]
+    sizes = [max(1, math.ceil(x / block_tokens)) for x in spans]
+    first = [sum(sizes[:i]) for i in range(len(sizes))]
+    last = len(dry)
+    begun = [0.0, *dry[:-1]] if dry else []
+    turn = F.col("at") / F.col("own")  # of the source itself
+    phase, part = F.lit(last), turn
+    if named:
+        weights = F.create_map(*[F.lit(x) for s, (w, _) in named.items() for x in (s, float(w))])
+        weight = F.try_element_at(weights, "source")
+        at = F.col("at") / weight
+        phase = F.when(weight.isNull(), last).otherwise(F.least(
+            F.size(F.filter(F.lit(dry), lambda v: v <= at)), F.lit(last - 1)
+        ))
+        begin, end = (F.get(F.lit(x), phase) for x in ([*begun, 0.0], [*dry, 1.0]))
+        part = (F.coalesce(at, turn) - begin) / (end - begin)
+    of = F.get(F.lit(sizes), phase)
+    block = F.get(F.lit(first), phase) + F.least(F.floor(part * of), of - 1)
+    return placed.select("source", "h", block.cast("long").alias("block"))
 
 
 def pack(
@@ -149,8 +167,8 @@ def pack(
     Tokens of a document are the ids of its whole text and ``end_id``; NULL and
     empty texts have that one token.  ``target`` gives the wanted share of
     tokens per source, the shares of the whole input if None; sources it does
-    not name follow when the others have run dry.  A NULL source is a source of
-    its own.  Every token is in one piece; sequences are gapless from offset 0
+    not name follow when the others have run dry, each at its part of their
+    tokens.  A NULL source is a source of its own.  Every token is in one piece; sequences are gapless from offset 0
     and hold ``length`` tokens or a smaller power of two.  Rows without an id
     are packed like others.  ``with_ids`` adds the ids.  An empty table gives an
     empty result; other columns are ignored.  The tokenizer file must be at
@@ -166,9 +184,7 @@ def pack(
         F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"),
         F.coalesce(source, F.lit("\0")).alias("source"),
     )
-    size = rows.agg(F.sum(F.octet_length("text")).alias("n")).first()["n"] or 0
-    blocks = max(1, -(-size // block_bytes))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("id", "text"), F.lit(blocks)))
+    rows = rows.withColumn("h", F.xxhash64("id", "text"))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -176,17 +192,30 @@ def pack(
                 ids = encoder(tokenizer).encode(batch.column("text").to_pylist())
                 tokens = pa.array([len(x) // 4 + 1 for x in ids], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("block"), batch.column("source"), tokens],
-                    ["block", "source", "tokens"],
+                    [*(batch.column(c) for c in ("source", "h", "bytes")), tokens],
+                    ["source", "h", "bytes", "tokens"],
                 )
 
-    counts = rows.select("block", "source", "text").mapInArrow(
-        count, "block bigint, source string, tokens bigint"
-    ).groupBy("block", "source").agg(F.sum("tokens").alias("tokens"))
-    plan = block_plan(stable(counts), target)
+    counts = stable(
+        rows.select("source", "h", F.octet_length("text").cast("long").alias("bytes"), "text")
+        .mapInArrow(count, "source string, h bigint, bytes bigint, tokens bigint")
+        .groupBy("source", "h").agg(F.sum("tokens").alias("tokens"), F.sum("bytes").alias("bytes"))
+    )
+    total = counts.agg(
+        F.count("*").alias("rows"), F.sum("tokens").alias("tokens"), F.sum("bytes").alias("bytes")
+    ).first()
+    wanted = {s: w for s, w in (target or {}).items() if w > 0}
+    named = {
+        r["source"]: (wanted[r["source"]], r["n"])
+        for r in counts.filter(F.col("source").isin(list(wanted))).groupBy("source")
+        .agg(F.sum("tokens").alias("n")).collect()
+    } if wanted else {}
+    tokens = total["tokens"] or 0
+    blocks = max(1, -(-(total["bytes"] or 0) // block_bytes))
+    dealt = deal(counts, total["rows"], max(1.0, tokens / blocks), tokens, named)
     end = np.array([end_id], "<u4").tobytes()
 
-    def fill(left: pa.Table, right: pa.Table) -> pa.Table:
+    def fill(left: pa.Table) -> pa.Table:
         left = left.combine_chunks()
         batches = left.to_batches() or []
         ids = [
@@ -198,12 +227,11 @@ def pack(
         queues: dict[str, list[tuple[int, int]]] = {}
         for i in order:
             queues.setdefault(sources[i], []).append((i, len(ids[i]) // 4))
-        told = right.to_pydict()
-        share = dict(zip(told["source"], told["share"]))
-        carry = dict(zip(told["source"], told["carry"]))
-        ends = boundaries(sum(len(x) // 4 for x in ids), length)
+        held = sum(len(x) // 4 for x in ids)
+        share = {s: sum(n for _, n in q) / held for s, q in queues.items()}
+        ends = boundaries(held, length)
         base = (left.column("block")[0].as_py() << 32) if len(ids) else 0
-        out = list(round_robin(queues, share, carry, window * length, ends))
+        out = list(round_robin(queues, share, {}, window * length, ends))
         starts = [0, *ends]
         columns = {
             id_col: pa.array([names[d] for d, *_ in out], left.schema.field("id").type),
@@ -232,6 +260,7 @@ def pack(
         + (", ids array<int>" if with_ids else "")
     )
     return (
-        rows.groupBy("block").cogroup(plan.groupBy("block")).applyInArrow(fill, schema)
+        rows.join(dealt.hint("shuffle_hash"), ["source", "h"]).select("block", "id", "text", "source")
+        .groupBy("block").applyInArrow(fill, schema)
         .withColumn("source", F.nullif("source", F.lit("\0")))
     )
