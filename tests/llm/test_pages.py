@@ -134,6 +134,40 @@ def test_licences(spark):
     assert {r.license for r in scan_licences(df, known=[]).collect()} == {None}
 
 
+def test_licences_in_any_wrapping(spark):
+    import textwrap
+    full = {}
+    for name, text in KNOWN:
+        if len(text) > 200:
+            title, _, body = text.partition("\n\n") if name != "0BSD" else ("", "", text)
+            full[name] = title, body
+    mine = ["Copyright (c) 2020 Some One", "Copyright 2019-2021 John Q. Public and others. All rights reserved.",
+            "Copyright Foo Inc.", "(c) 2020 X", "Copyright (c) <year> <owner>. All rights reserved."]
+    rows = []
+    for name, (title, body) in full.items():
+        for width in (30, 50, 60, 64, 68, 72, 76, 78, 80, 90, 100, 120):
+            rows.append((name, "\n\n".join([title, mine[0], textwrap.fill(body, width)])))
+        for statement in mine:
+            rows.append((name, f"{statement}\n\n{body}"))
+        for statement in (mine[0], mine[1], mine[4], "Copyright (c) 2020 X, Inc."):
+            rows.append((name, " ".join(f"{title} {statement} {body}".split())))
+        rows.append((name, f"The {title} ({name})\n{body}") if name in ("MIT", "ISC") else (name, body))
+        rows.append((name, body))
+    isc = full["ISC"][1]
+    rows.append(("ISC", "Copyright (c) 2020 X\n" + isc.replace("above copyright", "above\ncopyright")))
+    notice = "Copyright (c) 2020 X. Licensed under the Apache License, Version 2.0."
+    rows += [("Apache-2.0", notice), ("Apache-2.0", notice.replace("X", "X, Inc"))]
+    other = [("", "(c) you must keep this.\nend"), ("", "(c) you may drop this.\nend"), ("", "end"),
+             ("", "copyright law of 1976 is old.\nend"), ("", "copyright notices stay.\nend"),
+             ("", "It was copyright (c) 2020 by me, I like cats."), ("", "It was copyright (c) 2020 by me, I like dogs.")]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows + other)], "doc_id int, text string")
+    got = {r.doc_id: r for r in scan_licences(df).collect()}
+    assert [(n, t) for i, (n, t) in enumerate(rows) if got[i].license != n] == []
+    rest = [got[len(rows) + i] for i in range(len(other))]
+    assert all(r.license is None for r in rest) and len({r.canonical_sha256 for r in rest}) == len(other)
+    assert got[len(rows) - 1].notices == "Apache-2.0"
+
+
 def test_licence_notices_in_given_documents(spark, sf):
     import re
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}

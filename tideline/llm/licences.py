@@ -1,8 +1,9 @@
 """Licence scan by canonical digest: whole texts hash-joined to known licences.
 
-A text's canonical form is lower case, without copyright lines, with words of
-equivalent spelling made one, and with everything but letters and digits turned
-into single spaces.  Its SHA-256 is joined to the digests of known licences, a
+A text's canonical form is lower case, without copyright statements, with words
+of equivalent spelling made one, and with everything but letters and digits
+turned into single spaces.  A known text that opens with its title is looked up
+with any of its usual titles and without one.  Its SHA-256 is joined to the digests of known licences, a
 table with a row per known text that is broadcast.  Lines that are a licence
 notice by themselves are found in the same way among the lines that mention a
 licence.  All of it is column expressions; no row of the documents moves.
@@ -94,20 +95,64 @@ KNOWN = (
 )
 
 MENTION = "licen[sc]|permission|released under|redistribution"
-_RIGHTS = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright|\(c\)|©|all rights reserved)[^\n]*$"
+# Titles under which the known texts usually stand, the first that of KNOWN if it has one.
+TITLES = {
+    "MIT": ("MIT License", "The MIT License", "The MIT License (MIT)", "MIT License (MIT)", "MIT",
+            "Expat License", "License: MIT"),
+    "ISC": ("ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"),
+    "0BSD": ("BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "0BSD",
+             "BSD Zero Clause License (0BSD)"),
+    "BSD-2-Clause": ("BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License",
+                     "2-Clause BSD License", "Simplified BSD License", "BSD License", "FreeBSD License",
+                     'BSD 2-Clause "Simplified" License', "The BSD License", "BSD-2-Clause"),
+    "BSD-3-Clause": ("BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License",
+                     "3-Clause BSD License", "New BSD License", "Modified BSD License", "BSD License",
+                     'BSD 3-Clause "New" or "Revised" License', "The BSD License", "BSD-3-Clause"),
+}
+
+# A copyright statement ends where its line, a sentence or a licence's opening words say so.
+_YEAR = r"(?:(?:19|20)\d\d\b|[<\[{]+ ?(?:year|yyyy))"
+_LEGAL = r"(?:notice|holder|owner|law|licen[sc]e|act|statement|claim|interest|protection)s?\b"
+_OPENING = (
+    r"\b(?:permission (?:is hereby|to use)|redistributions? |licen[sc]ed (?:under|to)|released under|"
+    r"(?:distributed|available|published) under|dedicated to|the above copyright|"
+    r"this (?:work|software|program|library|file|project|code) (?:is|may)|use of this)"
+)
+_LAST = r"(?<=[\p{L}\p{N}>)]{3}\.)(?<!\b(?:inc|ltd|corp|llc|pty|bros|gmbh|esq)\.)(?=\s+\p{L})"
+_MARKED = (
+    rf"(?:copyright[ \t:,]*(?:\(c\)|©|[<\[{{]|{_YEAR})|(?:\(c\)|©)[ \t]*(?:copyright[ \t:,]*)?{_YEAR})"
+)
+_NAMED = rf"copyright(?! {_LEGAL})[^\n.]{{0,80}}?\b{_YEAR}"
+_RESERVED = r"all rights reserved(?:\.|(?=[^\p{L}\p{N}\n]*$))"
+_RIGHTS = (
+    rf"(?im)^[^\p{{L}}\p{{N}}\n]*(?:©|{_MARKED}|{_NAMED})[^\n]*?(?:$|(?={_OPENING})|(?=\b{_RESERVED})|{_LAST})"
+    rf"|\b{_MARKED}[^\n]{{0,200}}?(?=\b{_RESERVED}|{_OPENING})"
+)
+# a holder without a year is known by its capitals
+_HOLDER = (
+    rf"(?m)^[^\p{{L}}\p{{N}}\n]*Copyright (?:by )?(?!(?i:{_LEGAL}))\p{{Lu}}[^\n]*?"
+    rf"(?:$|(?=(?i:{_OPENING}))|(?=\b(?i:{_RESERVED}))|{_LAST})"
+)
+_ALL_RIGHTS = rf"(?im)(?:^[^\p{{L}}\p{{N}}\n]*|(?<=\x00)[^\p{{L}}\p{{N}}\n]*){_RESERVED}"
 _VARIANTS = "|".join(a for a, _ in SPELLINGS)
 
 
 def canonical(text: Column) -> Column:
     """Canonical form of a text; NULL counts as empty.
 
-    A line that starts, after marks and blanks, with "copyright", "(c)", the
-    copyright sign or "all rights reserved" is a copyright line.
+    A copyright statement is "copyright" with "(c)", the sign, a year or a
+    placeholder, or one of the signs with a year.  At the start of a line, after
+    marks and blanks, it goes up to the end of the line or sentence or the
+    opening words of a licence, elsewhere only up to such words; at the start of
+    a line the sign alone and "Copyright" with a name in capitals count too.
+    "All rights reserved" goes after a statement or at the start of a line.
     """
-    low = F.lower(F.coalesce(text, F.lit("")))
+    whole = F.coalesce(text, F.lit(""))
+    low = F.lower(whole)
     marks = [F.contains(low, F.lit(m)) for m in ("copyright", "(c)", "©", "all rights reserved")]
     any_mark = marks[0] | marks[1] | marks[2] | marks[3]
-    bare = F.when(any_mark, F.regexp_replace(low, _RIGHTS, "")).otherwise(low)
+    bare = F.regexp_replace(F.regexp_replace(whole, _RIGHTS, "\0"), _HOLDER, "\0")
+    bare = F.when(any_mark, F.lower(F.regexp_replace(bare, _ALL_RIGHTS, " "))).otherwise(low)
     words = F.trim(F.regexp_replace(bare, r"[^\p{L}\p{N}]+", " "))
     # spellings are changed only where one occurs
     changed = words
@@ -116,9 +161,22 @@ def canonical(text: Column) -> Column:
     return F.when(F.regexp_like(words, F.lit(rf"\b(?:{_VARIANTS})\b")), changed).otherwise(words)
 
 
+def with_titles(known: Sequence[tuple[str, str]]) -> list[tuple[str, str]]:
+    """Known texts, each also without its title and with the other usual ones."""
+    out = list(known)
+    for name, text in known:
+        titles = TITLES.get(name, ())
+        opening, _, body = text.partition("\n\n")
+        if not (titles and opening == titles[0]):
+            body = text if name == "0BSD" else ""
+        if body:
+            out += [(name, body), *((name, f"{t}\n\n{body}") for t in titles)]
+    return out
+
+
 def known_digests(docs: DataFrame, known: Sequence[tuple[str, str]]) -> DataFrame:
     """(known_digest, license), one row per known canonical text."""
-    rows = docs.sparkSession.createDataFrame(list(known), "license string, text string")
+    rows = docs.sparkSession.createDataFrame(with_titles(known), "license string, text string")
     return rows.select(
         F.sha2(canonical(F.col("text")), 256).alias("known_digest"), "license"
     ).groupBy("known_digest").agg(F.min("license").alias("license"))
