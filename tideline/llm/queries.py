@@ -6,11 +6,13 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tideline.llm.bpe import round_trip
 from tideline.llm.chat import flat, format_preferences, mask, swapped_endings
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.licences import scan_licences
+from tideline.llm.merkle import lower_ascii, verified_manifest
 from tideline.llm.near_dedup import near_dedup
 from tideline.llm.packing import pack
 from tideline.llm.quality import quality_scores
@@ -163,3 +165,63 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"), shingle=4)
+
+
+def _leaf_sql(text: str) -> str:
+    fields = (f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
+              for c in ("doc_id", "source", "lang", "n_chars", text))
+    return f"sha256({' || '.join(fields)})"
+
+
+def _levels_sql(name: str) -> str:
+    """All levels of the trees over ``name`` (g, pos, n, digest), with the siblings of each node."""
+    return f"""{name}_level AS (SELECT 0 AS lv, g, pos, n, digest FROM {name}
+      UNION ALL SELECT lv + 1, g, pos // 8, any_value((n + 7) // 8),
+        sha256(string_agg(digest, '' ORDER BY pos)) FROM {name}_level WHERE n > 1
+        GROUP BY lv, g, pos // 8),
+    {name}_near AS (SELECT lv, g, pos, n,
+        coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN UNBOUNDED PRECEDING
+          AND 1 PRECEDING), '') AS l,
+        coalesce(string_agg(digest, '') OVER (run ROWS BETWEEN 1 FOLLOWING
+          AND UNBOUNDED FOLLOWING), '') AS r
+      FROM {name}_level WINDOW run AS (PARTITION BY lv, g, pos // 8 ORDER BY pos)),
+    {name}_path AS (SELECT 0 AS lv, doc_id, g, pos, n, proof, fold FROM {name}_start
+      UNION ALL SELECT p.lv + 1, doc_id, p.g, p.pos // 8, (p.n + 7) // 8, proof || l || r,
+        sha256(l || fold || r) FROM {name}_path p JOIN {name}_near s
+        ON p.lv = s.lv AND p.g = s.g AND p.pos = s.pos WHERE p.n > 1)"""
+
+
+_LOWER_SQL = LOWER.replace("coalesce(text, '')", "text")
+# unsigned CRC-32 of the id's digits, eight steps for each byte
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(
+      string_split(doc_id::VARCHAR, ''), lambda c: [ord(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+      lambda c, x: CASE WHEN xor(c, x) & 1 = 1 THEN xor(xor(c, x) >> 1, 3988292384)
+        ELSE xor(c, x) >> 1 END), 4294967295)"""
+
+
+@query(
+    "op12_merkle_manifest",
+    f"""WITH RECURSIVE hashed AS (SELECT doc_id, coalesce('=' || lang, '') AS g,
+      {_leaf_sql("text")} AS digest, CASE WHEN {_CRC_SQL} % 3 = 0 THEN {_leaf_sql(_LOWER_SQL)}
+        ELSE {_leaf_sql("text")} END AS changed FROM documents),
+    one AS (SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id) - 1 AS pos,
+      count(*) OVER (PARTITION BY g) AS n FROM hashed),
+    one_start AS (SELECT doc_id, g, pos, n, '' AS proof, changed AS fold FROM one),
+    {_levels_sql("one")},
+    two AS (SELECT '' AS g, g AS part, digest, row_number() OVER (ORDER BY g) - 1 AS pos,
+      count(*) OVER () AS n FROM one_level WHERE n = 1),
+    two_start AS (SELECT doc_id, two.g, two.pos, two.n, proof, fold
+      FROM one_path p JOIN two ON p.g = two.part WHERE p.n = 1),
+    {_levels_sql("two")},
+    root AS (SELECT digest AS root FROM two_level WHERE n = 1)
+    SELECT doc_id, one.digest AS leaf, two.digest AS subroot, root, sha256(proof) AS proof_sha256,
+      fold AS folded_root, fold = root AS verified
+    FROM two_path p JOIN one USING (doc_id) JOIN two ON one.g = two.part CROSS JOIN root
+    WHERE p.n = 1""",
+)
+def _(spark, sf_dir):
+    return verified_manifest(
+        table(spark, sf_dir, "documents"),
+        tampered=F.crc32(F.col("doc_id").cast("string")) % 3 == 0,
+        changed_text=lower_ascii(F.col("text")),
+    )
