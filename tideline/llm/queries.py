@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.bpe import round_trip
 from tideline.llm.chat import flat, format_preferences, mask, swapped_endings
+from tideline.llm.covertree import hard_negatives
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.licences import scan_licences
 from tideline.llm.merkle import lower_ascii, verified_manifest
@@ -167,6 +168,33 @@ def _(spark, sf_dir):
     return near_dedup(table(spark, sf_dir, "documents"), shingle=4)
 
 
+@query(
+    "op11_hard_negatives",
+    """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END
+        AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::DOUBLE) AS v
+      FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same,
+        list_inner_product(a.v, c.v)::BIGINT AS score
+      FROM v a JOIN v c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v) WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER (PARTITION BY anchor_id, positive_id
+        ORDER BY score DESC, vec_id) AS INT) AS rank, vec_id AS negative_id, positive_score,
+      score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT same
+      AND 100 * score BETWEEN 30 * positive_score AND 90 * positive_score
+    QUALIFY rank <= 10""",
+)
+def _(spark, sf_dir):
+    vec_id, label = F.col("vec_id"), F.col("label")
+    return hard_negatives(
+        table(spark, sf_dir, "embeddings"),
+        label=F.when(vec_id % 7 == 0, (label + 1) % 10).otherwise(label),
+        is_anchor=vec_id % 100 == 0,
+    )
+
+
 def _leaf_sql(text: str) -> str:
     fields = (f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')"
               for c in ("doc_id", "source", "lang", "n_chars", text))
