@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tideline.llm.bpe import round_trip
 from tideline.llm.chat import flat, format_preferences, mask, swapped_endings
+from tideline.llm.collisions import near_vectors
 from tideline.llm.covertree import hard_negatives
 from tideline.llm.exact_dedup import exact_dedup
 from tideline.llm.licences import scan_licences
@@ -253,3 +254,22 @@ def _(spark, sf_dir):
         tampered=F.crc32(F.col("doc_id").cast("string")) % 3 == 0,
         changed_text=lower_ascii(F.col("text")),
     )
+
+
+@query(
+    "op13_embedding_near_dedup",
+    """WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    p AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id
+      AND len(a.v) = len(b.v) WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+    r AS (SELECT vec_id, vec_id AS c FROM embeddings
+      UNION SELECT p.b, r.c FROM r JOIN p ON p.a = r.vec_id),
+    n AS (SELECT a AS vec_id, count(*) AS n FROM p GROUP BY a)
+    SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, min(c) AS component_id,
+      vec_id = min(c) AS kept
+    FROM r LEFT JOIN n USING (vec_id) GROUP BY vec_id, n""",
+)
+def _(spark, sf_dir):
+    return near_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
