@@ -1,5 +1,6 @@
 import datetime as dt
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tideline import presets as P
@@ -44,6 +45,49 @@ def test_append_keeps_rows_of_any_age(spark, tmp_path, rows):
     assert rows(spark.read.parquet(out), "event_id") == [(1,), (2,), (3,), (4,)]
 
 
+def test_append_keeps_all_rows_without_an_id(spark, tmp_path, rows):
+    folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    nameless = [(None, "2026-03-01T08:00", "view"), (None, "2026-03-01T08:00", "view")]
+    for batch in ([(1, "2026-03-01T08:00", "view"), *nameless], nameless[:1], [(1, "2026-01-01T08:00", "view")]):
+        write(spark, folder, batch)
+        stream_append(event_stream(spark, folder, SCHEMA), out, marks, "ts", "event_id").awaitTermination()
+    assert rows(spark.read.parquet(out), "event_id") == [(1,), (None,), (None,), (None,)]
+
+
+def test_append_costs_its_batch(spark, tmp_path):
+    """Neither the rows read nor the state written follow the table."""
+    folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    write(spark, folder, [(i, "2026-01-01T08:00", "view") for i in range(2000)])
+    run = lambda: stream_append(event_stream(spark, folder, SCHEMA), out, marks, "ts", "event_id")
+    run().awaitTermination()
+    write(spark, folder, [(i, "2026-01-02T08:00", "view") for i in (5, 7777)])
+    second = run()
+    second.awaitTermination()
+    progress = second.lastProgress
+    assert progress["numInputRows"] <= 4  # two rows, by two branches
+    (state,) = [s for s in progress["stateOperators"]]
+    assert state["numRowsUpdated"] == 1 and state["numRowsTotal"] == 2001
+    assert "rocksdb" in str(state["customMetrics"]).lower()
+    assert spark.read.parquet(out).count() == 2001
+
+
+def test_append_survives_a_batch_that_fails(spark, tmp_path, rows):
+    """Files of a batch that never was committed are not part of the table."""
+    folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
+    write(spark, folder, [(1, "2026-03-01T08:00", "view"), (2, "2026-03-01T08:00", "view")])
+    broken = lambda df: df.withColumn(
+        "value", F.when(F.col("event_id") == 2, F.raise_error(F.lit("no"))).otherwise(F.col("value"))
+    )
+    query = stream_append(event_stream(spark, folder, SCHEMA), out, marks, "ts", "event_id", broken)
+    try:
+        query.awaitTermination()
+        raise AssertionError("the batch should have failed")
+    except StreamingQueryException:
+        pass
+    stream_append(event_stream(spark, folder, SCHEMA), out, marks, "ts", "event_id").awaitTermination()
+    assert rows(spark.read.parquet(out), "event_id") == [(1,), (2,)]
+
+
 def test_late_rows_change_their_cell(spark, tmp_path):
     folder, out, marks = (str(tmp_path / n) for n in ("in", "out", "marks"))
     run = lambda: stream_pulse(

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -57,14 +56,24 @@ def clean_rows(
     )
 
 
-def stored_ids(spark: SparkSession, path: str, id: str, schema) -> DataFrame:
-    """The ids that a Parquet table holds; none if there is no table yet."""
-    try:
-        return spark.read.parquet(path).select(id)
-    except AnalysisException as e:
-        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return spark.createDataFrame([], schema).select(id)
+# ids live in RocksDB on the executors' disks; a batch writes its changes only
+STATE_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def each_once(rows: DataFrame, id: str) -> DataFrame:
+    """Rows of a stream, of those with the same id the first to come; rows without an id all stay.
+
+    The state is one entry per id, kept without end, so a row may be of any age.
+    Rows without an id are not looked up and leave no state.  (Their branch reads
+    the source once more; files of Parquet without a missing id are skipped by
+    their statistics.)
+    """
+    named = rows.filter(F.col(id).isNotNull()).dropDuplicates([id])
+    return named.unionByName(rows.filter(F.col(id).isNull()))
 
 
 def stream_append(
@@ -73,24 +82,28 @@ def stream_append(
 ) -> StreamingQuery:
     """Append new rows to a Parquet table, each id once, however late it comes.
 
-    A batch's rows are held against the ids already stored, so a row may be of
-    any age, and a batch that is run again after a failure adds nothing twice.
-    Of rows of one batch with the same id one stays.  Only the id column of the
-    table is read.
+    Exactly once: ids are state of the stream, and the files of a batch belong to
+    the table when the batch is committed in its log, which readers go by; a
+    batch that is run again after a failure finds the state as it was before and
+    replaces its files.  A batch costs its own rows, since nothing that is stored
+    is read.  Rows without an id are all appended.  ``prepare`` is a row-wise
+    step.  The folder belongs to the stream: rows that exist already come in as
+    one more folder of its source.
     """
     stamped = rows.withColumn(event_time, F.col(event_time).cast("timestamp"))
-
-    def add(batch: DataFrame, number: int) -> None:
-        fresh = prepare(batch) if prepare else batch
-        known = stored_ids(batch.sparkSession, path, id, fresh.schema)
-        fresh.dropDuplicates([id]).join(known, id, "left_anti").select(fresh.columns).write.mode(
-            "append"
-        ).parquet(path)
-
-    return (
-        stamped.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True).start()
-    )
+    fresh = each_once(prepare(stamped) if prepare else stamped, id)
+    conf = rows.sparkSession.conf
+    before = {k: conf.get(k, None) for k in STATE_CONF}
+    for key, value in STATE_CONF.items():
+        conf.set(key, value)
+    try:  # a query takes its settings when it starts
+        return (
+            fresh.writeStream.format("parquet").outputMode("append").option("path", path)
+            .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        )
+    finally:
+        for key, value in before.items():
+            conf.unset(key) if value is None else conf.set(key, value)
 
 
 def pulse_windows(
