@@ -4,7 +4,10 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from tideline.operators.models import FOOD_SUITE, LIBRARY_SUITE, REGRESSORS, SPORTS_SUITE
+from tideline.operators.clusters import load_clusters
+from tideline.operators.models import (
+    FOOD_SUITE, LIBRARY_SUITE, REGRESSORS, SPORTS_SUITE, load_suite,
+)
 from tideline.plans.batch import batch_tables, clean_table
 from tideline.plans.ingest import ingest
 from tideline.plans.observations import raw_uploads, read_table
@@ -32,7 +35,7 @@ def test_clean_table(table):
 def test_whole_batch(table, spark, tmp_path):
     small = [replace(s, trees=3, rounds=2, regressors=tuple(REGRESSORS[:2]))
              for s in (SPORTS_SUITE, FOOD_SUITE, LIBRARY_SUITE)]
-    results = batch_tables(table, suites=small, k_range=(2, 3), restarts=1)
+    results = batch_tables(table, suites=small, k_range=(2, 3), restarts=1, models_path=str(tmp_path / "models"))
     path = summary_json(results, str(tmp_path / "summary"))
     counts = {r.section: r["count"] for r in spark.read.text(path).groupBy("section").count().collect()}
     assert counts["dataset"] == 1 and counts["descriptive"] == 9 and counts["tests"] == 6
@@ -49,6 +52,14 @@ def test_whole_batch(table, spark, tmp_path):
     assert fits == {(r.suite, r.candidate) for r in models.collect()}
     advice = results["advice_food"].first()
     assert advice.recommended_preparation_qty >= 10 and advice.waste_risk in ("Low", "Moderate", "High")
+    # what was saved places rows as the batch did
+    clusters = load_clusters(spark, str(tmp_path / "models/clusters"))
+    assert clusters.best_k == results["cluster_scores"].where("is_best").first().k
+    again = clusters.assign(table).select("record_id", "cluster", "pca_1", "pca_2")
+    shown = results["cluster_points"].select("record_id", "cluster", "pca_1", "pca_2")
+    assert shown.exceptAll(again).count() == 0
+    assert counts["cluster_axes"] == table.count() and counts.get("explanations", 0) >= 0
+    assert load_suite(spark, small[0], str(tmp_path / "models/sports")).models
     first = json.loads(spark.read.text(f"{path}/section=dataset").first().value)
     assert first["total_records"] == table.count()
     assert first["train_records"] == int(table.count() * 0.8)

@@ -7,13 +7,17 @@ from pyspark.sql import functions as F
 
 from tideline import presets as P
 from tideline.operators.clusters import (
-    CLUSTER, assign_cluster, calinski_harabasz, cluster_points, cluster_profiles, inertia,
-    kmeans_sweep, nearest_centre, pca_project, silhouette_euclidean, silhouette_squared, vectors,
+    CLUSTER, ClusterSuite, assign_cluster, calinski_harabasz, cluster_pipeline, cluster_points,
+    cluster_profiles, inertia, kmeans_fit, kmeans_sweep, load_clusters, nearest_centre,
+    pca_project, save_clusters, silhouette_euclidean, silhouette_squared, vectors,
 )
+from tideline.operators.lloyd import fit_from
 from tideline.operators.models import (
     CLASSIFIERS, FOOD_SUITE, LIBRARY_SUITE, REGRESSORS, SPORTS_SUITE, SuiteSpec,
     feature_importance, fit_logistic, load_suite, save_suite, train_suite, TrainSize,
 )
+from tideline.operators.stages import fit_scale
+from tideline.session import stable
 
 SMALL = dict(trees=10, rounds=8)
 FEATURES = ["a", "b", "c"]
@@ -202,6 +206,51 @@ def test_sweep_rejects_unknown_scores(blobs):
         kmeans_sweep(blobs, "id", ["x"], silhouette="cosine")
 
 
+def test_saved_clusters_place_rows_alike(spark, blobs, tmp_path):
+    features = ["x", "y", "flat", "absent"]
+    scale = fit_scale(blobs, features)
+    model = kmeans_fit(scale.transform(blobs), 3, restarts=3)
+    placed = model.transform(scale.transform(blobs))
+    projection = pca_project(placed, 2)
+    profiles = spark.createDataFrame(
+        [(c, f"name {c}", "text", "do") for c in range(2)],
+        "cluster int, label string, description string, recommended_action string")
+    suite = ClusterSuite(cluster_pipeline(scale, model, profiles, projection), [{"k": 3}], 3, [0.5])
+    save_clusters(spark, suite, str(tmp_path / "c"))
+    loaded = load_clusters(spark, str(tmp_path / "c"))
+    assert (loaded.scores, loaded.best_k, loaded.variance) == ([{"k": 3}], 3, [0.5])
+    new = blobs.drop("flat").withColumn("x", F.when(F.col("id") % 7 != 0, F.col("x")))
+    a, b = suite.assign(new), loaded.assign(new)
+    assert a.columns == b.columns and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    direct = assign_cluster(new, features, blobs, model, profiles, projection).select(a.columns)
+    assert direct.exceptAll(b).count() == 0
+    assert P.UNKNOWN_PERSONA in {r.label for r in b.collect()}
+
+
+def test_all_fits_share_their_scans(spark):
+    rng = np.random.default_rng(3)
+    x = np.concatenate([rng.normal(c, 0.3, (60, 2)) for c in ((0, 0), (6, 0), (0, 6))])
+    points = spark.createDataFrame([(p.tolist(),) for p in x], "point array<double>").repartition(3)
+    points = stable(points)  # as the operators do, so that a scan is no shuffle of its own
+    starts = [x[:2], x[[0, 70, 130]], x[[5, 6, 7]], np.array([[0.0, 0.0], [99.0, 99.0]])]
+    tracker, group = spark.sparkContext, "lloyd"
+    tracker.setJobGroup(group, group)
+    fits = fit_from(points, starts, tol=1e-9)
+    jobs = len(tracker.statusTracker().getJobIdsForGroup(group))
+    tracker.setJobGroup("other", "other")
+    for start, fit in zip(starts, fits):
+        c = np.array(start, float)
+        for _ in range(fit.rounds):
+            near = ((x[:, None] - c[None]) ** 2).sum(2).argmin(1)
+            c = np.array([x[near == k].mean(0) if (near == k).any() else c[k] for k in range(len(c))])
+        assert np.allclose(fit.centres, c)
+        assert fit.cost == pytest.approx(((x[:, None] - c[None]) ** 2).sum(2).min(1).sum())
+    assert fits[3].centres[1].tolist() == [99.0, 99.0]  # a centre without rows stays
+    scans = max(f.rounds for f in fits) + 1
+    # a scan is two jobs, its partial sums and what adds them up; fit by fit there would be more
+    assert jobs <= 2 * scans < 2 * sum(f.rounds + 1 for f in fits)
+
+
 def test_nearest_centre(spark, rows):
     df = spark.createDataFrame([(0.0, 0.0), (9.0, 1.0), (5.0, 0.0)], "x double, y double")
     out = nearest_centre(df, ["x", "y"], {0: (0, 0), 1: (10, 0)})

@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from tideline.catalogue.registry import query
+from tideline import presets as P
 from tideline.operators.clusters import (
-    CLUSTER, Sweep, assign_cluster, calinski_harabasz, cluster_points, cluster_profiles, inertia,
-    kmeans_fit, kmeans_sweep, nearest_centre, pca_project, silhouette_euclidean,
-    silhouette_squared, vectors,
+    CLUSTER, ClusterSuite, Sweep, assign_cluster, calinski_harabasz, cluster_pipeline,
+    cluster_points, cluster_profiles, inertia, kmeans_fit, kmeans_sweep, load_clusters,
+    nearest_centre, pca_project, save_clusters, silhouette_euclidean, silhouette_squared, vectors,
 )
+from tideline.operators.lloyd import fit_from
+from tideline.operators.stages import NearestCentre, fit_scale
 from tideline.plans.observations import customer_features, read_table
+from tideline.session import scratch_path
 
 FEATURES = ["c_acctbal", "n_orders", "mean_price", "n_closed"]
 ELEMENTS = """e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x,
@@ -105,6 +111,74 @@ def _(spark, sf):
     )
 
 
+STARTS = (((5.0, 10.0), (45.0, 70.0)), ((5.0, 5.0), (25.0, 40.0), (50.0, 90.0)))
+START_ROWS = ", ".join(
+    f"({s}, {c}, {q}::DOUBLE, {p}::DOUBLE)" for s, cs in enumerate(STARTS) for c, (q, p) in enumerate(cs)
+)
+
+
+@query(
+    "kmeans_rounds",
+    f"""WITH RECURSIVE d AS (SELECT row_number() OVER () AS n, l_quantity AS q,
+      l_extendedprice / 1000 AS p FROM lineitem),
+    c AS (SELECT 0 AS r, * FROM (VALUES {START_ROWS}) t(s, c, q, p)
+      UNION ALL SELECT r + 1, s, m, avg(q), avg(p) FROM
+        (SELECT c.r, c.s, d.n, arg_min(c.c, (d.q - c.q) ** 2 + (d.p - c.p) ** 2) AS m,
+          any_value(d.q) AS q, any_value(d.p) AS p FROM c, d WHERE c.r < 5 GROUP BY 1, 2, 3)
+      GROUP BY r, s, m)
+    SELECT s AS fit, c AS cluster, round_even(q, 4) AS quantity, round_even(p, 4) AS price
+    FROM c WHERE r = 5""",
+)
+def _(spark, sf):
+    # two fits from given centres, five rounds of both in the same five scans
+    lines = read_table(spark, sf, "lineitem")
+    points = lines.select(
+        F.array("l_quantity", F.col("l_extendedprice") / 1000).cast("array<double>").alias("point")
+    )
+    fits = fit_from(points, STARTS, rounds=5, tol=0.0)
+    rows = [(i, c, float(q), float(p)) for i, f in enumerate(fits) for c, (q, p) in enumerate(f.centres)]
+    out = spark.createDataFrame(rows, "fit int, cluster int, quantity double, price double")
+    return out.withColumns({c: F.rint(F.col(c) * 1e4) / 1e4 for c in ("quantity", "price")})
+
+
+CENTRES = ((-1.0, -1.0), (0.4, 0.2), (1.3, 1.5))
+
+
+@query(
+    "saved_clusters",
+    f"""WITH z AS (SELECT l_orderkey, l_linenumber, l_extendedprice,
+        (l_quantity - avg(l_quantity) OVER ()) / stddev_pop(l_quantity) OVER () AS a,
+        (l_extendedprice - avg(l_extendedprice) OVER ()) / stddev_pop(l_extendedprice) OVER () AS b
+      FROM lineitem),
+    p AS (SELECT *, (SELECT arg_min(c, (a - x) ** 2 + (b - y) ** 2) FROM (VALUES
+      {", ".join(f"({i}, {x}, {y})" for i, (x, y) in enumerate(CENTRES))}) t(c, x, y)) AS cluster
+      FROM z)
+    SELECT l_orderkey, l_linenumber, l_extendedprice, cluster,
+      CASE cluster WHEN 0 THEN 'small' WHEN 1 THEN 'usual' ELSE '{P.UNKNOWN_PERSONA}' END AS label,
+      CASE cluster WHEN 0 THEN 'few and cheap' WHEN 1 THEN 'most lines' ELSE '' END AS description,
+      round_even((a + b) / sqrt(2), 3) AS pca_1 FROM p""",
+)
+def _(spark, sf):
+    # of two standardised, positively correlated columns the first axis is their mean direction
+    lines = read_table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"
+    )
+    scale = fit_scale(lines, ["l_quantity", "l_extendedprice"])
+    profiles = spark.createDataFrame(
+        [(0, "small", "few and cheap", "a"), (1, "usual", "most lines", "b")],
+        "cluster int, label string, description string, recommended_action string",
+    )
+    projection = pca_project(scale.transform(lines), 2)
+    centres = NearestCentre(centres=json.dumps(CENTRES))
+    suite = ClusterSuite(
+        cluster_pipeline(scale, centres, profiles, projection), [], 3, projection.variance
+    )
+    loaded = load_clusters(spark, save_clusters(spark, suite, scratch_path(spark, "clusters")))
+    return loaded.assign(lines).select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", CLUSTER, "label", "description", "pca_1"
+    )
+
+
 @query("kmeans_sweep")
 def _(spark, sf):
     return _swept(spark, sf).frame(spark)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import math
 import sys
 from collections.abc import Mapping, Sequence
@@ -9,22 +10,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark import StorageLevel, cloudpickle
-from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark import cloudpickle
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA, VectorAssembler
+from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tideline import presets as P
 from tideline.functions.numbers import half_even
 from tideline.operators.distribution import group_profile
-from tideline.operators.evaluation import standardize
-from tideline.session import side_by_side
+from tideline.operators.lloyd import Fit, fit_all
+from tideline.sources.reports import load_model, save_model
+from tideline.operators.stages import (
+    AXES, CLUSTER, VECTOR, NearestCentre, Scale, SignedAxes, fit_scale, profile_texts,
+)
+from tideline.session import stable
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-VECTOR, CLUSTER = "_vector", "cluster"
 SEED, RESTARTS = 42, 10
 BLOCK_ROWS = 2048  # a block pair takes some 100 MB in a task
 
@@ -33,29 +36,25 @@ def vectors(
     df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None
 ) -> DataFrame:
     """Add the z-scores of ``features`` as a vector; a missing number counts as 0."""
-    filled = lambda d: d.withColumns(
-        {f"_f_{c}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in d.columns
-         else F.lit(0.0) for c in features}
+    return fit_scale(df if fit_on is None else fit_on, features).transform(df)
+
+
+def _points(df: DataFrame, column: str) -> DataFrame:
+    """The vectors as one array column, written once for all rounds."""
+    return stable(df.select(vector_to_array(column).alias("point")))
+
+
+def _model(fit: Fit, column: str = VECTOR) -> NearestCentre:
+    return NearestCentre(
+        centres=json.dumps(fit.centres.tolist()), cost=fit.cost, featuresCol=column
     )
-    inputs = [f"_f_{c}" for c in features]
-    base = None if fit_on is None else filled(fit_on)
-    scaled = standardize(filled(df), inputs, base, "_z")
-    assembler = VectorAssembler(inputCols=[f"{c}_z" for c in inputs], outputCol=VECTOR)
-    return assembler.transform(scaled).drop(*inputs, *[f"{c}_z" for c in inputs])
 
 
 def kmeans_fit(
     df: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, column: str = VECTOR
-) -> KMeansModel:
-    """Best of several seeded runs by within-cluster sum of squares, the first one on ties."""
-    runs = [
-        KMeans(
-            featuresCol=column, predictionCol=CLUSTER, k=k, seed=seed + i, maxIter=300, tol=1e-4
-        )
-        for i in range(restarts)
-    ]
-    models = side_by_side(df.sparkSession, [lambda r=r: r.fit(df) for r in runs])
-    return min(models, key=lambda m: m.summary.trainingCost)
+) -> NearestCentre:
+    """Best of several seeded starts by within-cluster sum of squares, the first one on ties."""
+    return _model(fit_all(_points(df, column), [k], restarts, seed)[k], column)
 
 
 def _elements(df: DataFrame, label: str, point: str | Sequence[str]) -> DataFrame:
@@ -208,7 +207,7 @@ class Sweep:
 
     scores: list[dict]
     best_k: int
-    model: KMeansModel
+    model: NearestCentre
 
     def frame(self, spark: SparkSession) -> DataFrame:
         return spark.createDataFrame(
@@ -225,32 +224,30 @@ def kmeans_sweep(
 ) -> Sweep:
     """Fit each k on z-scores and choose the highest silhouette.
 
+    All starts of all k share the scans of the table, one a round.
     Scores use squared distances, in linear time; ``silhouette="euclidean"``
     compares all pairs of rows.  A k that leaves one populated cluster has none.
     """
     if silhouette not in ("euclidean", "squared"):
         raise ValueError("silhouette is euclidean or squared")
-    data = vectors(df, features).select(F.col(id).alias("_id"), VECTOR)
-    data = data.persist(StorageLevel.MEMORY_AND_DISK)
+    data = stable(vectors(df, features).select(F.col(id).alias("_id"), VECTOR))
+    fits = fit_all(_points(data, VECTOR), range(k_min, k_max + 1), restarts, seed)
     scores, best, chosen = [], None, None
-    try:
-        for k in range(k_min, k_max + 1):
-            model = kmeans_fit(data, k, restarts, seed)
-            placed = model.transform(data).withColumn("_point", vector_to_array(VECTOR))
-            if silhouette == "euclidean":
-                score = silhouette_euclidean(placed, "_id", CLUSTER, "_point", None)
-            else:
-                score = silhouette_squared(placed, CLUSTER, VECTOR, None)
-            s = score.first().silhouette
-            spread = calinski_harabasz(placed, CLUSTER, "_point").first().calinski_harabasz
-            scores.append(
-                {"k": k, "silhouette": None if s is None else round(s, 4), "calinski_harabasz": spread,
-                 "inertia": round(model.summary.trainingCost, 2)}
-            )
-            if chosen is None or (s is not None and (best is None or s > best)):
-                best, chosen = s, (k, model)
-    finally:
-        data.unpersist()
+    for k, fit in fits.items():
+        model = _model(fit)
+        placed = model.transform(data).withColumn("_point", vector_to_array(VECTOR))
+        if silhouette == "euclidean":
+            score = silhouette_euclidean(placed, "_id", CLUSTER, "_point", None)
+        else:
+            score = silhouette_squared(placed, CLUSTER, VECTOR, None)
+        s = score.first().silhouette
+        spread = calinski_harabasz(placed, CLUSTER, "_point").first().calinski_harabasz
+        scores.append(
+            {"k": k, "silhouette": None if s is None else round(s, 4), "calinski_harabasz": spread,
+             "inertia": round(fit.cost, 2)}
+        )
+        if chosen is None or (s is not None and (best is None or s > best)):
+            best, chosen = s, (k, model)
     return Sweep(scores, *chosen)
 
 
@@ -267,20 +264,17 @@ class Projection:
             "component int, explained_variance double",
         )
 
+    def stages(self, digits: int | None = 3) -> list:
+        return [self.model, SignedAxes(signs=self.signs, digits=-1 if digits is None else digits)]
+
     def apply(self, df: DataFrame, digits: int | None = 3) -> DataFrame:
         """Add ``pca_1``, ``pca_2`` and so on."""
-        out = self.model.transform(df).withColumn("_pca", vector_to_array("_pca"))
-        for i, sign in enumerate(self.signs):
-            value = F.get("_pca", F.lit(i)) * sign
-            out = out.withColumn(
-                f"pca_{i + 1}", value if digits is None else half_even(value, digits)
-            )
-        return out.drop("_pca")
+        return PipelineModel(self.stages(digits)).transform(df)
 
 
 def pca_project(df: DataFrame, k: int = 2, column: str = VECTOR) -> Projection:
     """Principal axes of a centred vector column; the largest loading of each is positive."""
-    model = PCA(k=k, inputCol=column, outputCol="_pca").fit(df)
+    model = PCA(k=k, inputCol=column, outputCol=AXES).fit(df)
     axes = model.pc.toArray()
     signs = [1.0 if axes[np.abs(axes[:, i]).argmax(), i] >= 0 else -1.0 for i in range(k)]
     return Projection(model, signs, [round(float(v), 4) for v in model.explainedVariance])
@@ -305,23 +299,49 @@ def cluster_points(
     )
 
 
+def cluster_pipeline(
+    scale: Scale, model: NearestCentre, profiles: DataFrame, projection: Projection | None = None
+) -> PipelineModel:
+    """Scaling, nearest centre, coordinates and profile texts as one model."""
+    axes = [] if projection is None else projection.stages()
+    return PipelineModel([scale, model, *axes, profile_texts(profiles)])
+
+
 def assign_cluster(
-    contexts: DataFrame, features: Sequence[str], fit_on: DataFrame, model: KMeansModel,
+    contexts: DataFrame, features: Sequence[str], fit_on: DataFrame, model: NearestCentre,
     profiles: DataFrame, projection: Projection | None = None,
 ) -> DataFrame:
     """Cluster, profile texts and coordinates of new rows, scaled like ``fit_on``."""
-    placed = model.transform(vectors(contexts, features, fit_on))
-    if projection is not None:
-        placed = projection.apply(placed)
-    texts = profiles.select(CLUSTER, "label", "description", "recommended_action")
-    joined = placed.join(F.broadcast(texts), CLUSTER, "left").drop(VECTOR)
-    return joined.withColumns(
-        {
-            "label": F.coalesce("label", F.lit(P.UNKNOWN_PERSONA)),
-            "description": F.coalesce("description", F.lit("")),
-            "recommended_action": F.coalesce("recommended_action", F.lit("")),
-        }
-    )
+    pipeline = cluster_pipeline(fit_scale(fit_on, features), model, profiles, projection)
+    return pipeline.transform(contexts).drop(VECTOR)
+
+
+@dataclass
+class ClusterSuite:
+    """What clustering learned: the pipeline that places new rows, and the facts about it."""
+
+    pipeline: PipelineModel
+    scores: list[dict]
+    best_k: int
+    variance: list[float]
+
+    def assign(self, contexts: DataFrame) -> DataFrame:
+        """Cluster, profile texts and coordinates of new rows."""
+        return self.pipeline.transform(contexts).drop(VECTOR)
+
+
+def save_clusters(spark: SparkSession, suite: ClusterSuite, path: str) -> str:
+    """One folder for the pipeline and one for the facts."""
+    save_model(suite.pipeline, f"{path}/pipeline")
+    about = {"scores": suite.scores, "best_k": suite.best_k, "variance": suite.variance}
+    text = spark.createDataFrame([(json.dumps(about),)], "value string")
+    text.coalesce(1).write.mode("overwrite").text(f"{path}/about")
+    return path
+
+
+def load_clusters(spark: SparkSession, path: str) -> ClusterSuite:
+    about = json.loads(spark.read.text(f"{path}/about", wholetext=True).first().value)
+    return ClusterSuite(load_model(f"{path}/pipeline"), **about)
 
 
 def nearest_centre(

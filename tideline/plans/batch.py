@@ -10,7 +10,8 @@ from tideline import presets as P
 from tideline.functions.calendar import cyclic
 from tideline.operators.association import corr_matrix
 from tideline.operators.clusters import (
-    cluster_points, cluster_profiles, kmeans_sweep, pca_project, vectors,
+    CLUSTER, ClusterSuite, cluster_pipeline, cluster_points, cluster_profiles, kmeans_sweep,
+    pca_project, save_clusters,
 )
 from tideline.operators.distribution import (
     describe_stats, group_shift, iqr_bounds, iqr_outliers, rate_and_mean, trend_by, trend_by_event,
@@ -20,13 +21,15 @@ from tideline.operators.hypothesis import preset_tests, two_sample_report
 from tideline.operators.mapping import impute
 from tideline.operators.models import (
     FOOD_SUITE, LIBRARY_SUITE, SPORTS_SUITE, FittedSuite, SuiteSpec, all_importances,
-    feature_importance, model_report, train_suite,
+    feature_importance, model_report, save_suite, train_suite,
 )
 from tideline.operators.recommend import (
-    expand_slots, listed_slots, recommend_prep, recommend_slots, recommend_study, score_crowd,
+    expand_slots, explain_factors, listed_slots, recommend_prep, recommend_slots, recommend_study, score_crowd,
     score_demand, score_occupancy,
 )
+from tideline.operators.ordering import global_row_number
 from tideline.operators.rows import latest
+from tideline.operators.stages import fit_scale
 from tideline.session import stable
 
 ORDER = ("date", "starting_hour", "record_id")
@@ -77,12 +80,13 @@ def train_all(
 def batch_tables(
     table: DataFrame, order: Sequence[str] = ORDER, suites: Sequence[SuiteSpec] = SUITES,
     k_range: tuple[int, int] = (2, 6), restarts: int = 10, silhouette: str = "squared",
-    requested_hour: int = 18,
+    requested_hour: int = 18, models_path: str | None = None,
 ) -> dict[str, DataFrame]:
     """All result tables by name; pass them to ``summary_json`` to publish them.
 
-    The table is written once and read by every step.  On large tables pass
-    ``silhouette="euclidean"`` takes the square of the rows.
+    The table is written once and read by every step.  ``silhouette="euclidean"``
+    takes the square of the rows.  With ``models_path`` the suites are saved under
+    their names and what places rows in clusters under ``clusters``.
     """
     spark = table.sparkSession
     table = stable(table)
@@ -97,12 +101,13 @@ def batch_tables(
         list(P.PULSE_WEIGHTS.items()), "part string, weight double"
     )
 
-    # record ids are unique
-    points = table.withColumn("_id", F.xxhash64("record_id"))
+    # numbers, since hashes of record ids may meet
+    points = global_row_number(table.select("record_id", *P.CLUSTER_FEATURES), ["record_id"], "_id")
     sweep = kmeans_sweep(
         points, "_id", P.CLUSTER_FEATURES, *k_range, restarts=restarts, silhouette=silhouette
     )
-    placed = stable(sweep.model.transform(vectors(table, P.CLUSTER_FEATURES)))
+    scale = fit_scale(table, P.CLUSTER_FEATURES)
+    placed = stable(sweep.model.transform(scale.transform(table)))
     profiles = stable(cluster_profiles(placed))
     results["cluster_scores"] = sweep.frame(spark)
     results["cluster_profiles"] = profiles
@@ -111,6 +116,17 @@ def batch_tables(
     projection = pca_project(placed, 2)
     results["cluster_variance"] = projection.frame(spark)
     results["cluster_points"] = cluster_points(placed, profiles, projection, order, keep)
+    results["cluster_axes"] = pca_project(placed, 3).apply(placed).select(
+        "record_id", CLUSTER, "pca_1", "pca_2", "pca_3"
+    )
+    clusters = ClusterSuite(
+        cluster_pipeline(scale, sweep.model, profiles, projection), sweep.scores, sweep.best_k,
+        projection.variance,
+    )
+    if models_path:
+        for name, suite in fitted.items():
+            save_suite(spark, suite, f"{models_path}/{name}")
+        save_clusters(spark, clusters, f"{models_path}/clusters")
 
     # advice for the latest situation
     context = latest(split.drop(SPLIT), order, 1)
@@ -119,6 +135,9 @@ def batch_tables(
         results["advice_sports"] = listed_slots(
             recommend_slots(crowd, ["record_id"], requested_hour), ["record_id"]
         )
+        results["explanations"] = explain_factors(
+            context, ["record_id"], results["importance_sports"]
+        ).drop("ord", "feature")
     if "food" in fitted:
         plan = "food_prepared_qty"
         demand = score_demand(fitted["food"].predict(context), plan=plan)
