@@ -1,5 +1,6 @@
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.errors import AnalysisException
@@ -19,6 +20,7 @@ from tideline.sources.tables import (
     append_rows, append_table, assign_record_id, first_existing, read_observations, write_split,
     write_table,
 )
+from tideline.sources.versions import State, VersionedTable
 
 
 def test_every_canonical_name_is_its_own_first_alias(spark):
@@ -217,3 +219,68 @@ def test_ingest_of_an_empty_upload(spark):
         ingest(spark.createDataFrame([], "date string, hour int"))
     with pytest.raises(ValueError):
         ingest(spark.createDataFrame([(1,)], "nothing_known int"))
+
+
+def frame(spark, values):
+    return spark.createDataFrame([(v,) for v in values], "x string")
+
+
+def numbers(df):
+    return sorted((r.record_id, r.x) for r in df.collect())
+
+
+def test_versions_stay_readable(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    assert table.state() == State()
+    with pytest.raises(FileNotFoundError):
+        table.read()
+    one = table.replace(frame(spark, "ba"), ["x"])
+    two = table.append(frame(spark, "c"), ["x"])
+    table.submit([{"x": "d", "note": "n"}, {"x": None}])
+    table.append(frame(spark, ""), ["x"])  # no rows, no numbers
+    last = table.replace(frame(spark, "z"), ["x"])
+    assert numbers(table.read(one.version)) == [("CIQ-0001", "a"), ("CIQ-0002", "b")]
+    assert numbers(table.read(two.version))[-1] == ("CIQ-0003", "c")
+    told = {r.record_id: r for r in table.read(last.version - 1).collect()}
+    assert (told["CIQ-0004"].x, told["CIQ-0004"].note) == ("d", "n")
+    assert told["CIQ-0005"].x is None and told["CIQ-0001"].data_source_label is None
+    assert told["CIQ-0005"].data_source_label == P.SUBMIT_LABEL and "_no" not in told["CIQ-0005"]
+    assert numbers(table.read()) == [("CIQ-0001", "z")] and last.next == 2
+
+
+def test_writers_never_share_a_number(spark, tmp_path):
+    path = str(tmp_path / "t")
+    VersionedTable(spark, path).replace(frame(spark, "ab"), ["x"])
+    add = lambda i: VersionedTable(spark, path).append(frame(spark, [f"{i}-{k}" for k in range(3)]), ["x"])
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(add, range(6)))
+    rows = numbers(VersionedTable(spark, path).read())
+    assert [r[0] for r in rows] == [f"CIQ-{i:04d}" for i in range(1, 21)]
+    for k in range(2, 20, 3):  # each writer's rows have its own range, in order
+        assert [x.split("-")[1] for _, x in rows[k : k + 3]] == ["0", "1", "2"]
+
+
+def test_a_record_is_never_overwritten(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(frame(spark, "a"), ["x"])
+    assert not table._put(State(version=1, next=99))
+    assert table.state().next == 2
+    left = [n for n in os.listdir(tmp_path / "t" / "_versions") if not n.endswith(".crc")]
+    assert left == ["000000000001.json"]
+
+
+def test_append_begun_before_a_replacement_is_numbered_anew(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(frame(spark, "abcd"), ["x"])
+    pending = table.begin(frame(spark, "xy"), ["x"])
+    table.replace(frame(spark, "k"), ["x"])
+    pending.publish()
+    assert numbers(table.read()) == [("CIQ-0001", "k"), ("CIQ-0002", "x"), ("CIQ-0003", "y")]
+
+
+def test_a_writer_that_dies_leaves_a_gap_only(spark, tmp_path):
+    table = VersionedTable(spark, str(tmp_path / "t"))
+    table.replace(frame(spark, "a"), ["x"])
+    table.begin(frame(spark, "bc"), ["x"])
+    table.append(frame(spark, "d"), ["x"])
+    assert numbers(table.read()) == [("CIQ-0001", "a"), ("CIQ-0004", "d")]

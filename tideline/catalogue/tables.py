@@ -15,6 +15,7 @@ from tideline.sources.tables import (
     append_rows, append_table, assign_record_id, read_observations, replace_table, write_split,
     write_table,
 )
+from tideline.sources.versions import VersionedTable
 
 
 @query(
@@ -217,6 +218,39 @@ def _(spark, sf):
     return append_rows(table, loose, ["name"])
 
 
+@query(
+    "append_versions",
+    """WITH p AS (SELECT event_id, event_type, event_id % 4 AS part,
+        row_number() OVER (PARTITION BY event_id % 4 ORDER BY event_id) AS n,
+        count(*) OVER (PARTITION BY event_id % 4) AS size FROM events),
+    s AS (SELECT max(CASE WHEN part = 0 THEN size END) AS a, max(CASE WHEN part = 1 THEN size END)
+        AS b, max(CASE WHEN part = 2 THEN size END) AS c FROM p),
+    r AS (SELECT *, printf('CIQ-%04d', n + CASE part WHEN 0 THEN 0 WHEN 1 THEN a WHEN 2 THEN a + b
+        ELSE a + b + c END) AS record_id FROM p, s)
+    SELECT 'first' AS version, record_id, event_id, event_type FROM r WHERE part = 0
+    UNION ALL SELECT 'before the first writer', record_id, event_id, event_type FROM r
+      WHERE part IN (0, 2)
+    UNION ALL SELECT 'last', record_id, event_id,
+      CASE WHEN part = 3 THEN NULL ELSE event_type END FROM r""",
+)
+def _(spark, sf):
+    # two writers at a time: the one that began first publishes last
+    events = read_table(spark, sf, "events").select("event_id", "event_type")
+    part = lambda i: events.filter(F.col("event_id") % 4 == i)
+    table = VersionedTable(spark, scratch_path(spark, "versions"))
+    first = table.replace(part(0), ["event_id"]).version
+    slow = table.begin(part(1), ["event_id"])
+    between = table.append(part(2), ["event_id"]).version
+    slow.publish()
+    table.append(part(3).select("event_id"), ["event_id"])  # a column less
+    shown = {"first": first, "before the first writer": between, "last": None}
+    out = [
+        table.read(v).select(F.lit(name).alias("version"), "record_id", "event_id",
+                             "event_type") for name, v in shown.items()
+    ]
+    return out[0].unionByName(out[1]).unionByName(out[2])
+
+
 @query(
     "sanitize_numbers",
     """SELECT event_id, CASE WHEN event_type IN ('error', 'signup', 'view') THEN 0.0::DOUBLE
