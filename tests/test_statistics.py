@@ -17,6 +17,8 @@ from tideline.operators.evaluation import (
 from tideline.operators.hypothesis import (
     TwoSample, binary_split, cohens_d, mann_whitney_u, preset_tests, two_sample_report, welch_t,
 )
+from tideline.operators.quantiles import quantile_values
+from tideline.sources.sketches import DaySketches
 
 
 @pytest.fixture(scope="module")
@@ -224,3 +226,46 @@ def test_labels_weights_scaling_and_choice(spark, rows):
     scores = spark.createDataFrame([("a", 0, 0.5), ("b", 1, 0.9), ("c", 2, 0.9)],
                                    "candidate string, ord int, s double")
     assert select_best(scores, "s").first().best == "b"
+
+
+def test_day_sketches(spark, tmp_path):
+    import datetime as dt
+
+    rng = np.random.default_rng(6)
+    days = [dt.date(2026, 1, 1) + dt.timedelta(i) for i in range(5)]
+    data = [(d, float(v) if v > -1 else None, float(k)) for i, d in enumerate(days)
+            for v, k in zip(rng.normal(i, 1, 400), rng.integers(0, 3, 400))]
+    data += [(None, 99.0, 1.0), (days[0], float("nan"), 1.0)]
+    df = spark.createDataFrame(data, "d date, x double, k double")
+    store = DaySketches(spark, str(tmp_path / "s"), ["x", "k"], size=64)
+    store.add(df.where(F.col("d") < "2026-01-04"), "d")
+    files = lambda: {str(p): p.stat().st_mtime_ns for p in tmp_path.rglob("*.parquet")}
+    before = files()
+    late = df.where((F.col("d") >= "2026-01-04") | F.col("d").isNull())
+    store.add(late, "d")
+    store.add(late, "d")  # again: nothing counts twice
+    assert before.items() <= files().items()  # a new day touches no other
+    sizes = {r.metric: r.n for r in store.merged().collect()}
+    x = np.array([r[1] for r in data if r[1] is not None and r[1] == r[1]])
+    assert sizes == {"x": len(x), "k": len(data)}
+    probs = [0.0, 0.1, 0.5, 0.99, 1.0]
+    got = {(r.metric, r.prob): r.value for r in store.exact(df, probs).collect()}
+    for p in probs:
+        assert got["x", p] == pytest.approx(np.quantile(x, p))
+        assert got["k", p] == pytest.approx(np.quantile([r[2] for r in data], p))
+    near = {(r.metric, r.prob): r.value for r in store.approximate([0.5], "2026-01-02", "2026-01-04").collect()}
+    mid = np.array([r[1] for r in data if r[0] in days[1:4] and r[1] is not None])
+    assert abs((mid <= near["x", 0.5]).mean() - 0.5) < 0.06
+    # rows that no sketch knows: still exact
+    more = df.unionByName(spark.createDataFrame([(days[0], 50.0, 7.0)] * 300, df.schema))
+    fresh = {(r.metric, r.prob): r.value for r in store.exact(more, [0.9]).collect()}
+    assert fresh["x", 0.9] == pytest.approx(np.quantile(np.r_[x, [50.0] * 300], 0.9))
+    empty = DaySketches(spark, str(tmp_path / "none"), ["x"])
+    assert empty.exact(df.select("x"), [0.5]).count() == 1
+
+
+def test_shared_quartiles_give_the_same(spark):
+    df = spark.range(100).selectExpr("CAST(id AS DOUBLE) * id AS x", "CAST(NULL AS DOUBLE) AS y")
+    known = quantile_values(df, ["x", "y"], (0.25, 0.5, 0.75))
+    for make in (lambda **k: describe_stats(df, ["x", "y"], **k), lambda **k: iqr_bounds(df, ["x", "y"], **k)):
+        assert sorted(map(str, make().collect())) == sorted(map(str, make(known=known).collect()))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tideline import presets as P
 from tideline.catalogue.registry import query, with_obs
+from tideline.functions.numbers import half_even
 from tideline.operators.distribution import (
     box_stats, describe_stats, group_profile, group_shift, histogram, iqr_bounds, iqr_outliers,
     kde, mode_per_group, normalized_profile, outlier_context, rate_and_mean, trend_by,
@@ -14,6 +15,8 @@ from tideline.operators.distribution import (
 from tideline.operators.flow import chrono_split
 from tideline.operators.quantiles import approx_quantiles
 from tideline.plans.observations import observation_table, read_table
+from tideline.session import scratch_path
+from tideline.sources.sketches import DaySketches
 
 LINE_COLUMNS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
@@ -389,3 +392,29 @@ def _(spark, sf):
         "closed", (F.col("l_linestatus") == "F").cast("int")
     )
     return group_shift(lines, "closed", {"price_shift": "l_extendedprice"})
+
+
+@query(
+    "daily_quantiles",
+    """WITH m AS (SELECT 'value' AS metric, value AS x, CAST(ts AS DATE) AS d FROM events
+      UNION ALL SELECT 'user_id', user_id::DOUBLE, CAST(ts AS DATE) FROM events),
+    q AS (SELECT span, metric, quantile_cont(x, [0.0, 0.25, 0.5, 0.9, 1.0]) AS v FROM (
+      SELECT 'all' AS span, * FROM m UNION ALL SELECT 'second half', * FROM m WHERE day(d) >= 16)
+      GROUP BY 1, 2)
+    SELECT span, metric, unnest([0.0::DOUBLE, 0.25, 0.5, 0.9, 1.0]) AS prob,
+      round_even(unnest(v), 6) AS value FROM q""",
+)
+def _(spark, sf):
+    # a sketch per day, added day by day in two lots, the second lot twice
+    events = read_table(spark, sf, "events").withColumn("day", F.to_date("ts"))
+    store = DaySketches(spark, scratch_path(spark, "sketches"), ["value", "user_id"])
+    early, late = (events.filter(c) for c in (F.dayofmonth("day") < 16, F.dayofmonth("day") >= 16))
+    for lot in (early, late, late):
+        store.add(lot, "day")
+    first = events.filter(F.dayofmonth("day") >= 16).agg(F.min("day").cast("string")).first()[0]
+    probs = (0.0, 0.25, 0.5, 0.9, 1.0)
+    out = store.exact(events, probs).withColumn("span", F.lit("all"))
+    half = store.exact(late, probs, first).withColumn("span", F.lit("second half"))
+    return out.unionByName(half).select(
+        "span", "metric", "prob", half_even("value", 6).alias("value")
+    )

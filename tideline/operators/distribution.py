@@ -11,6 +11,7 @@ from tideline.functions.numbers import half_even, ratio
 from tideline.operators.quantiles import approx_quantiles, exact_quantiles, quantile_values
 
 QUARTILES = (0.25, 0.5, 0.75)
+Quantiles = Mapping[tuple[str, float], float]
 
 
 def _rounded(df: DataFrame, columns: Sequence[str], digits: int | None) -> DataFrame:
@@ -35,10 +36,12 @@ def describe_stats(
     columns: Sequence[str] = P.DESCRIBE_COLUMNS,
     digits: int | None = 2,
     approximate: bool = False,
+    known: Quantiles | None = None,
 ) -> DataFrame:
     """Count, mean, sample deviation, quartiles, range and bias-corrected skewness.
 
     Columns that ``df`` lacks are skipped; NULLs are left out per column.
+    ``known`` are quartiles found before, as ``quantile_values`` gives them.
     """
     have = [c for c in columns if c in df.columns]
     aggs = []
@@ -59,7 +62,14 @@ def describe_stats(
             ).alias(f"m{i}")
         )
     moments = df.agg(*aggs).select(F.inline(F.array(*[F.col(f"m{i}") for i in range(len(have))])))
-    out = moments.join(F.broadcast(quartiles(df, have, approximate)), "metric", "left").withColumn(
+    if known is None:
+        found = quartiles(df, have, approximate)
+    else:
+        rows = [(c, *[known.get((c, p)) for p in QUARTILES]) for c in have]
+        found = df.sparkSession.createDataFrame(
+            rows, "metric string, q25 double, median double, q75 double"
+        )
+    out = moments.join(F.broadcast(found), "metric", "left").withColumn(
         "iqr", F.col("q75") - F.col("q25")
     )
     numbers = ["mean", "std", "median", "q25", "q75", "iqr", "min", "max", "skewness"]
@@ -129,9 +139,10 @@ def iqr_bounds(
     factor: float = 1.5,
     floor_zero: bool = False,
     digits: int | None = 2,
+    known: Quantiles | None = None,
 ) -> DataFrame:
     """Quartiles, fences and the number of values outside them, per column."""
-    q = quantile_values(df, columns, [0.25, 0.75])
+    q = quantile_values(df, columns, [0.25, 0.75]) if known is None else known
     rows, counts = [], []
     for i, c in enumerate(columns):
         q25, q75 = q.get((c, 0.25)), q.get((c, 0.75))
@@ -175,12 +186,13 @@ def iqr_outliers(
     factor: float = 1.5,
     context: Column | None = None,
     keep: Sequence[str] = ("record_id", "date", "time_slot"),
+    known: Quantiles | None = None,
 ) -> DataFrame:
     """Rows outside the fences, with fences and context; nothing is removed from the table.
 
     The fences are literals, so the scan can skip row groups inside them.
     """
-    q = quantile_values(df, [column], [0.25, 0.75])
+    q = quantile_values(df, [column], [0.25, 0.75]) if known is None else known
     low, high = _fences(q.get((column, 0.25)), q.get((column, 0.75)), factor, False)
     if context is None:
         rules = [(c, label) for c, label in P.OUTLIER_CONTEXT if c in df.columns]

@@ -9,7 +9,7 @@ round keeps about one row in a thousand; it repeats until the rest is small.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Window, functions as F
@@ -93,6 +93,11 @@ def _narrow(df: DataFrame, targets: list[Target], slack: float) -> bool:
         (t, ends[2 * i] if left else t.floor, ends[2 * i + 1] if right else t.ceil)
         for i, (t, left, right) in enumerate(wanted)
     ]
+    return _enclose(df, tried)
+
+
+def _enclose(df: DataFrame, tried: list[tuple[Target, float, float]]) -> bool:
+    """Take over the values that counts prove to enclose their targets; False if none do."""
     counts = []
     for i, (t, lo, hi) in enumerate(tried):
         v = t.value
@@ -114,18 +119,30 @@ def _narrow(df: DataFrame, targets: list[Target], slack: float) -> bool:
     return moved
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float],
+    known: Mapping[tuple[str, float], tuple[int, float, float]] | None = None,
+) -> DataFrame:
     """Rows (metric, prob, value) with linear interpolation; NULL and NaN are left out.
 
-    A column without values has no rows.
+    A column without values has no rows.  ``known`` gives, from a sketch that is
+    there already, the number of values of (metric, prob) and two that should
+    enclose its rank: no pass counts or sketches then, one proves the two.
     """
     columns, probs = list(columns), [float(p) for p in probs]
-    sizes = df.agg(*[F.count(number(c)).alias(c) for c in columns]).first()
+    known = known or {}
+    rest = [c for c in columns if any((c, p) not in known for p in probs)]
+    sizes = {c: n for (c, _), (n, _, _) in known.items()}
+    if rest:
+        sizes.update(df.agg(*[F.count(number(c)).alias(c) for c in rest]).first().asDict())
     targets = [
-        Target(c, p, sizes[c], between=sizes[c]) for c in columns for p in probs if sizes[c]
+        Target(c, p, sizes[c], between=sizes[c]) for c in columns for p in probs if sizes.get(c)
     ]
     if not targets:
         return df.sparkSession.createDataFrame([], "metric string, prob double, value double")
+    tried = [(t, *known[t.metric, t.prob][1:]) for t in targets if (t.metric, t.prob) in known]
+    if tried:
+        _enclose(df, tried)
     slack = first = 3.0 / ACCURACY
     open_ = [t for t in targets if t.between > ROW_LIMIT]
     while open_:

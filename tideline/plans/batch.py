@@ -14,7 +14,7 @@ from tideline.operators.clusters import (
     pca_project, save_clusters,
 )
 from tideline.operators.distribution import (
-    describe_stats, group_shift, iqr_bounds, iqr_outliers, rate_and_mean, trend_by, trend_by_event,
+    QUARTILES, describe_stats, group_shift, iqr_bounds, iqr_outliers, rate_and_mean, trend_by, trend_by_event,
 )
 from tideline.operators.flow import SPLIT, chrono_split, lag_corr
 from tideline.operators.hypothesis import preset_tests, two_sample_report
@@ -23,6 +23,7 @@ from tideline.operators.models import (
     FOOD_SUITE, LIBRARY_SUITE, SPORTS_SUITE, FittedSuite, SuiteSpec, all_importances,
     feature_importance, model_report, save_suite, train_suite,
 )
+from tideline.operators.quantiles import quantile_values
 from tideline.operators.recommend import (
     expand_slots, explain_factors, listed_slots, recommend_prep, recommend_slots, recommend_study, score_crowd,
     score_demand, score_occupancy,
@@ -50,12 +51,15 @@ def statistics(table: DataFrame, order: Sequence[str] = ORDER) -> dict[str, Data
     """Descriptions, correlations, outliers, tests, trends and flows of the raw table."""
     columns = [c for c in P.CORRELATION_COLUMNS if c in table.columns]
     watched = ["sports_visitor_count", "food_orders_demand"]
+    # one search for all that goes by quartiles
+    described = [c for c in P.DESCRIBE_COLUMNS if c in table.columns]
+    known = quantile_values(table, list(dict.fromkeys(described + watched)), QUARTILES)
     return {
-        "descriptive": describe_stats(table),
+        "descriptive": describe_stats(table, known=known),
         "pearson": corr_matrix(table, columns, undefined=0.0),
         "spearman": corr_matrix(table, columns, "spearman", undefined=0.0),
-        "outlier_bounds": iqr_bounds(table, watched),
-        **{f"outliers_{c}": iqr_outliers(table, c) for c in watched},
+        "outlier_bounds": iqr_bounds(table, watched, known=known),
+        **{f"outliers_{c}": iqr_outliers(table, c, known=known) for c in watched},
         "tests": two_sample_report(table, preset_tests()),
         "trend_by_day": trend_by(table, "day_of_week", order=P.DAY_ORDER),
         "trend_by_slot": trend_by(table, "time_slot", order=P.SLOT_ORDER),
