@@ -6,9 +6,12 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.catalogue import QUERIES
+from tideline.operators.association import corr_matrix
 from tideline.operators.distribution import describe_stats, iqr_outliers
 from tideline.operators.flow import chrono_split
+from tideline.operators.ordering import ranks_by_row
 from tideline.plans.observations import read_table
+from tideline.session import stable
 
 
 def plan(df) -> str:
@@ -45,3 +48,33 @@ def test_only_needed_columns_are_read(spark, sf):
 def test_top_k_is_cut_before_the_shuffle(spark, sf):
     text = plan(QUERIES["top_k_per_group"](spark, sf))
     assert text.count("WindowGroupLimit") == 2
+
+
+@pytest.mark.parametrize("deletion", ["listwise", "pairwise"])
+@pytest.mark.parametrize("columns", [2, 5])
+def test_spearman_moves_rows_twice(spark, monkeypatch, columns, deletion):
+    """One range shuffle for all lists and one regroup, however many columns."""
+    written = []
+    monkeypatch.setattr(
+        "tideline.operators.ordering.stable", lambda df: written.append(plan(df)) or stable(df)
+    )
+    df = spark.range(300).select(*[((F.col("id") * (i + 3)) % (7 + i)).alias(f"c{i}") for i in range(columns)])
+    result = plan(corr_matrix(df, df.columns, "spearman", deletion))
+    before, ranked = written
+    assert "Exchange" not in before
+    assert ranked.count("Exchange rangepartitioning") == 1 and ranked.count("Exchange") == 1
+    # what follows moves rows by their number once; the rest are sums, one row a partition, list or hot value
+    assert result.count("Exchange hashpartitioning(row") == 1
+    small = re.findall(r"Exchange (hashpartitioning\(list|SinglePartition|hashpartitioning\(_part)", result)
+    others = result.count("Exchange ") - result.count("BroadcastExchange ") - result.count("ReusedExchange ")
+    assert others - len(small) == 1
+
+
+def test_spearman_splits_a_hot_value(spark):
+    rows = [(float(i % 3 == 0), float(i * 7919 % 1000)) for i in range(3000)]
+    df = spark.createDataFrame(rows, "x double, y double")
+    pdf = df.toPandas()
+    got = {r["ranks"][0]: r["ranks"][1] for r in ranks_by_row(df, [F.col("x"), F.col("y")]).collect()}
+    assert set(got) == set(pdf.x.rank())
+    (r,) = [r.r for r in corr_matrix(df, ["x", "y"], "spearman", digits=None).collect() if r.a < r.b]
+    assert r == pytest.approx(pdf.corr("spearman").loc["x", "y"], abs=1e-9)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import combinations
+from functools import reduce
+from itertools import combinations_with_replacement
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tideline.functions.numbers import half_even
-from tideline.operators.ordering import with_ranks
+from tideline.operators.ordering import ranks_by_row
 
 
 def pearson(x: Column, y: Column, where: Column | None = None) -> Column:
@@ -39,26 +40,12 @@ def corr_matrix(
     if method not in ("pearson", "spearman") or deletion not in ("listwise", "pairwise"):
         raise ValueError("method is pearson or spearman, deletion listwise or pairwise")
     columns = list(columns)
+    if method == "spearman":
+        return _spearman(df, columns, deletion, digits, undefined)
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
     if deletion == "listwise":
         data = data.na.drop()
-    if method == "spearman":
-        if deletion == "pairwise" and len(columns) > 2:
-            pairs = [
-                corr_matrix(df, pair, method, "listwise", digits, undefined).where(
-                    F.col("a") != F.col("b")
-                )
-                for pair in combinations(columns, 2)
-            ]
-            own = [corr_matrix(df, [c], method, "listwise", digits, undefined) for c in columns]
-            out = own[0]
-            for part in own[1:] + pairs:
-                out = out.unionByName(part)
-            return out
-        data = with_ranks(data.na.drop(), columns).select(
-            *[F.col(f"{c}_rank").alias(c) for c in columns]
-        )
-    gaps = deletion == "pairwise" and method == "pearson"
+    gaps = deletion == "pairwise"
     aggs, rows = [], []
     for i, a in enumerate(columns):
         for j in range(i, len(columns)):
@@ -74,7 +61,40 @@ def corr_matrix(
                         F.col(name).alias("r"),
                     )
                 )
-    out = data.agg(*aggs).select(F.inline(F.array(*rows)))
+    return _told(data.agg(*aggs).select(F.inline(F.array(*rows))), digits, undefined)
+
+
+def _told(out: DataFrame, digits: int | None, undefined: float | None) -> DataFrame:
     if digits is not None:
         out = out.withColumn("r", half_even("r", digits))
     return out if undefined is None else out.na.fill(undefined, subset=["r"])
+
+
+def _spearman(
+    df: DataFrame, columns: list[str], deletion: str, digits: int | None, undefined: float | None
+) -> DataFrame:
+    """Correlation of ranks; pairwise, each pair is ranked among the rows that have both."""
+    value = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in columns}
+    whole = reduce(lambda a, b: a & b, [v.isNotNull() for v in value.values()])
+    lists, pairs = [], []
+    if deletion == "listwise":
+        lists = [F.when(whole, v) for v in value.values()]
+        pairs = [(i, j, i, j) for i, j in combinations_with_replacement(range(len(columns)), 2)]
+    else:
+        for i, j in combinations_with_replacement(range(len(columns)), 2):
+            x, y = value[columns[i]], value[columns[j]]
+            if i == j:
+                lists.append(x)
+                pairs.append((i, i, len(lists) - 1, len(lists) - 1))
+            else:
+                lists += [F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)]
+                pairs.append((i, j, len(lists) - 2, len(lists) - 1))
+    ranked = ranks_by_row(df, lists).select(
+        *[F.try_element_at("ranks", F.lit(n)).alias(f"k{n}") for n in range(len(lists))]
+    )
+    aggs = [pearson(F.col(f"k{a}"), F.col(f"k{b}")).alias(f"r{n}") for n, (_, _, a, b) in enumerate(pairs)]
+    rows = [
+        F.struct(F.lit(columns[p]).alias("a"), F.lit(columns[q]).alias("b"), F.col(f"r{n}").alias("r"))
+        for n, (i, j, _, _) in enumerate(pairs) for p, q in {(i, j), (j, i)}
+    ]
+    return _told(ranked.agg(*aggs).select(F.inline(F.array(*rows))), digits, undefined)

@@ -153,6 +153,78 @@ def with_ranks(
     return out
 
 
+HOT_SHARE, HOT_SPREAD = 200, 64  # a value with more than a 200th of the rows goes to 64 places
+
+
+def _ordered_bits(value: Column) -> Column:
+    """A long for each double, in the same order; zero and minus zero are one.
+
+    Windows normalise doubles in their keys, which would undo a range shuffle.
+    """
+    given = F.coalesce(value, F.lit(0.0)) + F.lit(0.0)  # the method takes no NULL
+    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), given).cast("long")
+    return F.when(value.isNull(), F.lit(None).cast("long")).otherwise(
+        F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1)))
+    )
+
+
+def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
+    """One row per row of ``df``: ``ranks``, a map from the number of a list to the row's rank in it.
+
+    Each expression is a list of its own, ties share their mean rank, and rows
+    where it is NULL or NaN are not in it.  All lists are ranked by one range
+    shuffle of (list, value, row) and brought together by one shuffle on the row,
+    however many there are.  Values that hold many rows are named by a sketch and
+    spread over places; what a place holds is counted where it lies.
+    """
+    cells = [F.when(~F.isnan(c.cast("double")), c.cast("double")) for c in lists]
+    base = stable(
+        df.select(*[_ordered_bits(c).alias(f"v{i}") for i, c in enumerate(cells)]).withColumn(
+            "row", F.monotonically_increasing_id()
+        )
+    )
+    tops = base.agg(
+        F.count("*").alias("n"), *[F.expr(f"approx_top_k(v{i}, {HOT_SHARE})").alias(f"t{i}") for i in range(len(cells))]
+    ).first()
+    entries = []
+    for i in range(len(cells)):
+        v = F.col(f"v{i}")
+        hot = [t["item"] for t in tops[f"t{i}"] or [] if t["item"] is not None and t["count"] * HOT_SHARE > tops.n]
+        is_hot = v.isin(hot) if hot else F.lit(False)
+        place = F.when(is_hot, F.pmod(F.xxhash64("row"), F.lit(HOT_SPREAD)).cast("int")).otherwise(F.lit(-1))
+        entries.append(F.when(v.isNotNull(), F.struct(
+            F.lit(i).alias("list"), v.alias("value"), place.alias("place")
+        )))
+    long = base.select("row", F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    keys = ["list", "value", "place"]
+    group = Window.partitionBy(*keys)
+    # the range shuffle already brings a group together, so the window moves nothing
+    placed = stable(
+        long.repartitionByRange(*keys).sortWithinPartitions(*keys)
+        .withColumn(PART, F.spark_partition_id())
+        .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(POS_MASK)))
+        .withColumns({"_first": F.min(POS).over(group), "_n": F.count("*").over(group)})
+    )
+    # one row per partition and list in it
+    earlier = Window.partitionBy("list").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("list", PART).agg(F.min(POS).alias("_base"), F.count("*").alias("_rows"))
+    offsets = offsets.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    started = placed.join(F.broadcast(offsets.drop("_rows")), ["list", PART]).withColumn(
+        "_start", F.col("_before") + F.col("_first") - F.col("_base")
+    )
+    # the places of a value lie next to each other; fewer than HOT_SHARE values a list have any
+    spread = started.where("place >= 0").groupBy("list", "value").agg(
+        F.min("_start").alias("_from"), F.count("*").alias("_all")
+    )
+    rank = F.coalesce(F.col("_from"), F.col("_start")) + (F.coalesce(F.col("_all"), F.col("_n")) + 1) / 2
+    ranked = started.join(F.broadcast(spread), ["list", "value"], "left").select(
+        "row", "list", rank.alias("rank")
+    )
+    return ranked.groupBy("row").agg(
+        F.map_from_entries(F.collect_list(F.struct("list", "rank"))).alias("ranks")  # one entry a list
+    )
+
+
 def neighbour(
     df: DataFrame,
     columns: dict[str, str],
