@@ -89,10 +89,8 @@ def _spearman(
             else:
                 lists += [F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)]
                 pairs.append((i, j, len(lists) - 2, len(lists) - 1))
-    ranked = ranks_by_row(df, lists).select(
-        *[F.try_element_at("ranks", F.lit(n)).alias(f"k{n}") for n in range(len(lists))]
-    )
-    aggs = [pearson(F.col(f"k{a}"), F.col(f"k{b}")).alias(f"r{n}") for n, (_, _, a, b) in enumerate(pairs)]
+    ranked = ranks_by_row(df, lists)
+    aggs = [pearson(F.col(f"rank{a}"), F.col(f"rank{b}")).alias(f"r{n}") for n, (_, _, a, b) in enumerate(pairs)]
     rows = [
         F.struct(F.lit(columns[p]).alias("a"), F.lit(columns[q]).alias("b"), F.col(f"r{n}").alias("r"))
         for n, (i, j, _, _) in enumerate(pairs) for p, q in {(i, j), (j, i)}

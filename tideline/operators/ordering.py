@@ -156,20 +156,24 @@ def with_ranks(
 HOT_SHARE, HOT_SPREAD = 200, 64  # a value with more than a 200th of the rows goes to 64 places
 
 
-def _ordered_bits(value: Column) -> Column:
-    """A long for each double, in the same order; zero and minus zero are one.
+def _ordered_bits(df: DataFrame) -> DataFrame:
+    """All columns, doubles, as longs in the same order; zero and minus zero are one.
 
     Windows normalise doubles in their keys, which would undo a range shuffle.
     """
-    given = F.coalesce(value, F.lit(0.0)) + F.lit(0.0)  # the method takes no NULL
-    bits = F.reflect(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), given).cast("long")
-    return F.when(value.isNull(), F.lit(None).cast("long")).otherwise(
-        F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit(2**63 - 1)))
+    # a step of its own, so that every value is converted once; the method takes no NULL
+    bits = lambda c: F.reflect(
+        F.lit("java.lang.Double"), F.lit("doubleToLongBits"), F.coalesce(c, F.lit(0.0)) + F.lit(0.0)
+    ).cast("long")
+    raw = df.select(*df.columns, *[bits(F.col(c)).alias(f"{c}_bits") for c in df.columns])
+    ordered = lambda b: F.when(b >= 0, b).otherwise(b.bitwiseXOR(F.lit(2**63 - 1)))
+    return raw.select(
+        *[F.when(F.col(c).isNotNull(), ordered(F.col(f"{c}_bits"))).alias(c) for c in df.columns]
     )
 
 
 def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
-    """One row per row of ``df``: ``ranks``, a map from the number of a list to the row's rank in it.
+    """``rank0``, ``rank1`` and so on: each row's rank in each list; rows that are in no list are left out.
 
     Each expression is a list of its own, ties share their mean rank, and rows
     where it is NULL or NaN are not in it.  All lists are ranked by one range
@@ -178,11 +182,8 @@ def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
     spread over places; what a place holds is counted where it lies.
     """
     cells = [F.when(~F.isnan(c.cast("double")), c.cast("double")) for c in lists]
-    base = stable(
-        df.select(*[_ordered_bits(c).alias(f"v{i}") for i, c in enumerate(cells)]).withColumn(
-            "row", F.monotonically_increasing_id()
-        )
-    )
+    values = df.select(*[c.alias(f"v{i}") for i, c in enumerate(cells)])
+    base = stable(_ordered_bits(values).withColumn("row", F.monotonically_increasing_id()))
     tops = base.agg(
         F.count("*").alias("n"), *[F.expr(f"approx_top_k(v{i}, {HOT_SHARE})").alias(f"t{i}") for i in range(len(cells))]
     ).first()
@@ -204,10 +205,11 @@ def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
         .withColumn(PART, F.spark_partition_id())
         .withColumn(POS, F.monotonically_increasing_id().bitwiseAND(F.lit(POS_MASK)))
         .withColumns({"_first": F.min(POS).over(group), "_n": F.count("*").over(group)})
+        .drop(POS)
     )
     # one row per partition and list in it
     earlier = Window.partitionBy("list").orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = placed.groupBy("list", PART).agg(F.min(POS).alias("_base"), F.count("*").alias("_rows"))
+    offsets = placed.groupBy("list", PART).agg(F.min("_first").alias("_base"), F.count("*").alias("_rows"))
     offsets = offsets.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
     started = placed.join(F.broadcast(offsets.drop("_rows")), ["list", PART]).withColumn(
         "_start", F.col("_before") + F.col("_first") - F.col("_base")
@@ -220,9 +222,9 @@ def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
     ranked = started.join(F.broadcast(spread), ["list", "value"], "left").select(
         "row", "list", rank.alias("rank")
     )
-    return ranked.groupBy("row").agg(
-        F.map_from_entries(F.collect_list(F.struct("list", "rank"))).alias("ranks")  # one entry a list
-    )
+    # moved narrow, then set side by side; a row has one entry a list
+    beside = [F.max(F.when(F.col("list") == i, F.col("rank"))).alias(f"rank{i}") for i in range(len(cells))]
+    return ranked.repartition("row").groupBy("row").agg(*beside).drop("row")
 
 
 def neighbour(
