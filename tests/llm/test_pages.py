@@ -6,6 +6,7 @@ import hashlib
 
 import pytest
 
+from tideline.llm import warc
 from tideline.llm.chat import flat, format_preferences, mask
 from tideline.llm.licences import KNOWN, scan_licences
 from tideline.llm.queries import QUERIES, URL_RULES
@@ -65,16 +66,18 @@ def test_url_model_on_unseen_sites(spark):
 
 
 def plain_pages(rows, least=0):
+    """A row per row: of equal bodies one row with the largest id is the response."""
     groups = {}
     for i, _, html in rows:
         groups.setdefault((html or "").encode(), []).append(i)
-    out = set()
+    out = []
     for body, ids in groups.items():
         digest = base64.b32encode(hashlib.sha1(body).digest()).decode()
-        for i in ids:
-            first = len(body) < least or i == max(ids)
-            out.add((i, len(body), digest, "response" if first else "revisit", None if first else max(ids)))
-    return sorted(out)
+        ids = sorted(ids, key=lambda i: (i is not None, i or 0))
+        for at, i in enumerate(ids):
+            first = len(body) < least or at == len(ids) - 1
+            out.append((i, len(body), digest, "response" if first else "revisit", None if first else ids[-1]))
+    return sorted(out, key=str)
 
 
 PAGES = [(1, "http://a/b", "same"), (5, "http://c/d?e#f", "same"), (3, None, "same"), (7, "u\r\nWARC-Type: x", ""),
@@ -89,7 +92,7 @@ def test_archives_round_trip(spark, least):
     folder = write_archives(df, scratch_path(spark, "warc-test"), min_bytes=least)
     told = assemble(read_archives(spark, folder))
     got = page_records(told).collect()
-    assert sorted(map(tuple, got)) == plain_pages(PAGES, least)
+    assert sorted(map(tuple, got), key=str) == plain_pages(PAGES, least)
     by_page = {}
     for r in told.collect():
         assert r.request and r.metadata and r.response.record_id == r.record_id
@@ -116,7 +119,40 @@ def test_parser_reads_members_and_refuses_cuts():
 
 def test_warc_query(spark, sf):
     pages = [(r.page_id, r.url, r.html) for r in spark.read.parquet(f"{sf}/pages.parquet").collect()]
-    assert sorted(map(tuple, QUERIES["op8_warc"](spark, sf).collect())) == plain_pages(pages)
+    assert sorted(map(tuple, QUERIES["op8_warc"](spark, sf).collect()), key=str) == plain_pages(pages)
+
+
+REPEATED = [(1, "http://a/", "x"), (1, "http://a/", "x"), (1, "http://a/", "x"), (2, "http://a/", "x"),
+            (2, "http://a/", "x"), (None, "u", "y"), (None, "u", "y"), (None, "v", "x"), (None, None, None),
+            (None, None, None), (4, "w", "alone")]
+
+
+@pytest.mark.parametrize("least", [0, 2])
+def test_every_row_is_a_capture(spark, least):
+    df = spark.createDataFrame(REPEATED, "page_id long, url string, html string").repartition(3)
+    folder = write_archives(df, scratch_path(spark, "warc-same"), min_bytes=least)
+    told = assemble(read_archives(spark, folder))
+    got = page_records(told).collect()
+    assert len(got) == len(REPEATED)
+    assert sorted(map(tuple, got), key=str) == plain_pages(REPEATED, least)
+    # revisits name a record that is there, a response with their digest
+    by_id = {r.record_id: r.response for r in told.collect()}
+    assert len(by_id) == len(REPEATED)
+    for r in by_id.values():
+        if r.type == "revisit":
+            assert by_id[r.refers_to].payload_digest == r.declared_digest
+
+
+def test_large_captures_that_lie_together(spark, monkeypatch):
+    """Files are cut by the largest capture, not by the average one alone."""
+    monkeypatch.setattr(warc, "FILE_BYTES", 2_000_000)
+    monkeypatch.setattr(warc, "MOST_BYTES", 1_000_000)
+    rows = [(i, "u", "s") for i in range(400)] + [(1000 + i, "u", f"{i:06d}" * 40_000) for i in range(10)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)
+    folder = write_archives(df, scratch_path(spark, "warc-large"))
+    files = spark.read.format("binaryFile").load(folder).select("content").collect()
+    assert max(len(gzip.decompress(bytes(f.content))) for f in files) < 1_000_000
+    assert page_records(assemble(read_archives(spark, folder))).count() == len(rows)
 
 
 def test_licences(spark):

@@ -27,6 +27,7 @@ BASE32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 END = "\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.0/revisit/identical-payload-digest"
 FILE_BYTES = 32 << 20  # of an archive before compression, on average
+MOST_BYTES = 512 << 20  # of any archive, unless one capture is larger; a reader takes less than 2 GB
 FEW = 100_000  # groups of equal payloads that may be broadcast
 
 
@@ -62,28 +63,36 @@ def captures(
     pages: DataFrame, id_col: str = "page_id", url_col: str = "url", body_col: str = "html",
     min_bytes: int = 0, date: str = "2024-01-01T00:00:00Z",
 ) -> DataFrame:
-    """(value, bytes): the records of each row's capture as one text without the last END."""
+    """(value, bytes): the records of each row's capture as one text without the last END.
+
+    A row is told from others that equal it by its place in ``pages``, which must
+    give the same rows in the same partitions each time it is read, as files do;
+    write a computed table first.  Of rows with equal bodies the one with the
+    largest id, url and place is the response; a NULL is smaller than any value.
+    """
     body = F.coalesce(F.col(body_col), F.lit(""))
     rows = pages.select(
         F.col(id_col).alias("id"),
         # line breaks cannot stand in a header
         F.replace(F.replace(F.col(url_col), F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
         .alias("url"),
-        body.alias("body"),
+        body.alias("body"), F.monotonically_increasing_id().alias("place"),
     ).withColumns(
         {"size": F.octet_length("body"), "digest": sha1_base32(F.col("body")),
          "check": F.xxhash64("body")}
     )
     groups = rows.filter(F.col("size") >= min_bytes).groupBy("digest", "size", "check").agg(
-        F.count("*").alias("n"), F.max(F.struct("id", "url")).alias("best")
+        F.count("*").alias("n"), F.max(F.struct("id", "url", "place")).alias("best")
     )
     groups = stable(groups.filter("n > 1").select("digest", "size", "check", "best"))
     groups = F.broadcast(groups) if groups.count() <= FEW else groups.hint("merge")
     rows = rows.join(groups, ["digest", "size", "check"], "left").withColumn(
-        "again", F.col("best").isNotNull() & ~F.col("id").eqNullSafe(F.col("best.id"))
+        "again", F.col("best").isNotNull() & (F.col("place") != F.col("best.place"))
+    )
+    own = _name(F.lit("response"), F.col("id"), F.col("url"), F.col("digest"), F.col("place"))
+    first = _name(
+        F.lit("response"), F.col("best.id"), F.col("best.url"), F.col("digest"), F.col("best.place")
     )
-    own = _name(F.lit("response"), F.col("id"), F.col("url"), F.col("digest"))
-    first = _name(F.lit("response"), F.col("best.id"), F.col("best.url"), F.col("digest"))
     head = F.concat(
         F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "),
         F.col("size").cast("string"), F.lit(END),
@@ -126,12 +135,15 @@ def captures(
 def write_archives(pages: DataFrame, folder: str, **options) -> str:
     """Write the captures of ``pages`` as gzipped WARC files; options of ``captures``.
 
-    Rows that repeat id, url and body are one capture.  A NULL body is an empty
-    payload; a NULL url leaves its header out.
+    Every row is a capture, also one that repeats id, url and body.  A NULL body
+    is an empty payload; a NULL url leaves its header out.  Files are cut by a
+    number of captures that keeps them at ``FILE_BYTES`` on average and, however
+    large captures lie together, below ``MOST_BYTES``.
     """
-    body = options.get("body_col", "html")
-    size = pages.agg(F.avg(F.octet_length(body)).alias("n")).first()["n"] or 0
-    rows = max(1, int(FILE_BYTES // (size + 1500)))
+    body = F.octet_length(options.get("body_col", "html"))
+    size = pages.agg(F.avg(body).alias("mean"), F.max(body).alias("most")).first()
+    rows = min(FILE_BYTES // ((size["mean"] or 0) + 1500), MOST_BYTES // ((size["most"] or 0) + 1500))
+    rows = max(1, int(rows))
     (
         captures(pages, **options).select("value").write
         .option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", rows)
