@@ -146,6 +146,27 @@ def test_near_odd_rows(spark):
     assert kept == {i for i, _, _, k in brute_near(rows, 5) if k}
 
 
+def test_near_copies_take_no_other_text_of_their_id(spark):
+    rng = random.Random(11)
+    text = [str(rng.random()) for _ in range(60)]
+    near, other = " ".join(["changed", *text[1:]]), " ".join(str(rng.random()) for _ in range(50))
+    rows = [(1, " ".join(text)), (2, near), (2, other), (2, None), (None, near), (3, other), (4, near), (4, near)]
+    for data in (rows, rows[::-1]):
+        got = [(r.doc_id, r.text) for r in drop_near_copies(frame(spark, data)).collect()]
+        assert sorted(got, key=str) == sorted([rows[0], rows[2], rows[3], rows[4]], key=str)
+    assert drop_near_copies(frame(spark, [])).count() == 0
+    got = drop_near_copies(frame(spark, rows))
+    assert got.columns == ["doc_id", "text", "lang", "id", "kept"] and {r.lang for r in got.collect()} == {"xx"}
+
+
+@pytest.mark.parametrize("few,cell", [(64, 2048), (3, 8)])
+def test_near_components_of_text_ids(spark, few, cell):
+    rows = [(f"{i:05d}é" if i % 2 else f"{i:05d}", t) for i, t in corpus(4, 6)]
+    df = spark.createDataFrame([(i, t, "xx", 5, "no") for i, t in rows], SCHEMA.replace("doc_id long", "doc_id string"))
+    got = near_dedup(df.repartition(3), shingle=4, few=few, cell=cell).collect()
+    assert sorted(map(tuple, got)) == brute_near(rows, 4)
+
+
 def test_posterior_bound():
     """A pair at the threshold is dropped in any batch with at most the miss chance."""
     needed = fewest_matches(200, 40, 0.8, 1e-5)

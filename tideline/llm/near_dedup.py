@@ -245,7 +245,7 @@ def _verified(
 
 
 def _first_meeting(keys: np.ndarray, i: np.ndarray, j: np.ndarray, band: int) -> np.ndarray:
-    """Whether the pairs share no bucket of an earlier band, by 31 bits of its key."""
+    """Whether the pairs share no bucket of an earlier band."""
     out = np.empty(len(i), bool)
     for start in range(0, len(i), 1 << 15):
         at = slice(start, start + (1 << 15))
@@ -294,7 +294,7 @@ def _meet(
         whole, rows = side[start] == 2, np.arange(start, end)
         ones, others = (rows, rows) if whole else (rows[side[rows] == 0], rows[side[rows] == 1])
         right = np.ascontiguousarray(sig[others, :batch].T)
-        keys = np.array([cell["keys"][r] for r in rows], np.int32)
+        keys = np.array([cell["keys"][r] for r in rows], np.int64)
         sets = [np.frombuffer(cell["values"][r], "<u4") for r in rows]
         for cut in range(0, len(ones), 256):
             part = ones[cut : cut + 256]
@@ -346,7 +346,7 @@ def cross_survivors(
         signed.select("node", "sig").hint("merge"), "node"
     ).withColumns(
         {"x": F.lit(0), "y": F.lit(0), "side": F.lit(2),
-         "keys": F.lit(None).cast("array<int>"), "values": F.lit(None).cast("binary")}
+         "keys": F.lit(None).cast("array<bigint>"), "values": F.lit(None).cast("binary")}
     ).select(columns)
     # a large bucket's parts meet pairwise: part i is side 0 of cells (i, j) and side 1 of (j, i)
     large = entries.filter(F.col("m") > few)
@@ -361,11 +361,7 @@ def cross_survivors(
         F.when(F.col("own") == F.col("other"), 2).otherwise((F.col("own") > F.col("other")).cast("int"))
         .alias("side"),
         "band", "node", "comp",
-    ).join(
-        signed.withColumn(
-            "keys", F.transform("keys", lambda k: k.bitwiseAND(F.lit(2**31 - 1)).cast("int"))
-        ).hint("merge"), "node",
-    ).join(sets.hint("merge"), "node").select(columns)
+    ).join(signed.hint("merge"), "node").join(sets.hint("merge"), "node").select(columns)
     rows = listed.unionByName(large).repartition("key", "x", "y")
     rows = rows.sortWithinPartitions("key", "x", "y")
     kind = signed.schema["node"].dataType.simpleString()
@@ -378,7 +374,8 @@ def cross_survivors(
             i, j = _meet(held, bounds, needed, batch, share)
             node = held["node"]
             low, high = np.minimum(node[i], node[j]), np.maximum(node[i], node[j])
-            return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
+            named = table.schema.field("node").type
+            return pa.RecordBatch.from_arrays([pa.array(low, named), pa.array(high, named)], ["a", "b"])
 
         rest = None
         for batch_rows in batches:
@@ -448,8 +445,9 @@ def near_dedup(
     are linked with nothing and are kept.  Rows without an id are counted, not
     linked: component_id is NULL, kept true.  An id that repeats with another
     text stands for one document with several texts: its rows share what any of
-    them is linked with only where it is the smallest id of its text.  An empty
-    table gives an empty result; other columns are ignored.
+    them is linked with only where it is the smallest id of its text.  Ids may be
+    of any type that has an order.  An empty table gives an empty result; other
+    columns are ignored.
     """
     told = stable(sketch_documents(docs, id_col, text_col, shingle, bands, rows))
     # a node is a distinct set, named by its smallest id
@@ -464,13 +462,13 @@ def near_dedup(
 
     popular = shared.groupBy("node").agg(F.sum("m").alias("weight"))
     ranked = shared.join(popular.hint("merge"), "node").select("key", "node", "weight")
-    # of equally popular nodes the one with the smaller id
-    leader = F.max(F.struct("weight", (-F.col("node")).alias("minus"))).alias("hub")
-    leaders = ranked.groupBy("key").agg(leader)
+    # the most popular node, of equally popular ones that with the smaller id
+    leader = F.min(F.struct((-F.col("weight")).alias("minus"), F.col("node").alias("name")))
+    leaders = ranked.groupBy("key").agg(leader.alias("hub"))
     stars = stable(
-        ranked.join(leaders.hint("merge"), "key").filter("node <> -hub.minus").groupBy("node")
-        .agg(F.max("hub").alias("hub"))
-        .select(F.col("node").alias("a"), (-F.col("hub.minus")).alias("b"))
+        ranked.join(leaders.hint("merge"), "key").filter("node <> hub.name").groupBy("node")
+        .agg(F.min("hub").alias("hub"))
+        .select(F.col("node").alias("a"), F.col("hub.name").alias("b"))
     )
 
     needed = fewest_matches(bands * rows, batch, threshold, miss)
@@ -508,14 +506,32 @@ def near_dedup(
     ).withColumn("kept", F.col(id_col).eqNullSafe(F.col("component_id")))
 
 
+MARK = "_near_dedup_row"
+
+
 def drop_near_copies(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
 ) -> DataFrame:
     """The documents that stay, one of each component, with all their columns.
 
-    Rows without an id, words or text stay.  Ids that go are the shorter list;
-    adaptive execution broadcasts it only if it turns out small.
+    Rows without an id, words or text stay; of a component the row with the
+    smallest id does.  Ids that go are the shorter list; adaptive execution
+    broadcasts it only if it turns out small.  Where an id stands before several
+    rows, the table is written once with a number per row, and each row is held
+    against the others by its own text, so that a copy takes no other text of its
+    id with it.
     """
-    found = near_dedup(docs, id_col, text_col, **options)
-    gone = found.filter("NOT kept").select(id_col).distinct()
-    return docs.join(gone, id_col, "left_anti")
+    again = docs.filter(F.col(id_col).isNotNull()).groupBy(id_col).count().filter("count > 1")
+    if again.isEmpty():
+        found = near_dedup(docs, id_col, text_col, **options)
+        return docs.join(found.filter("NOT kept").select(id_col).distinct(), id_col, "left_anti")
+    placed = stable(docs.withColumn(MARK, F.monotonically_increasing_id()))
+    named = placed.filter(F.col(id_col).isNotNull())
+    found = near_dedup(named, MARK, text_col, **options).select(MARK, "component_id")
+    ids = named.select(MARK, F.col(id_col).alias("id"))
+    found = stable(found.join(ids.hint("merge"), MARK))
+    first = found.groupBy("component_id").agg(
+        F.min(F.struct("id", MARK)).alias("first"), F.count("*").alias("n")
+    ).filter("n > 1").select("component_id", F.col(f"first.{MARK}").alias("stays"))
+    gone = found.join(first, "component_id").filter(F.col(MARK) != F.col("stays")).select(MARK)
+    return placed.join(gone, MARK, "left_anti").drop(MARK)
