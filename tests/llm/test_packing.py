@@ -9,7 +9,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from tideline.llm.packing import boundaries, pack, round_robin
+from tideline.llm.packing import boundaries, deal, pack, round_robin
 from tideline.llm.tokens import ByteEncoder
 
 BYTE = public_tokenizers.path("byte_bpe_50k.json")
@@ -201,3 +201,76 @@ def test_sources_of_one_document_spread_over_blocks(spark):
     for r in pack(docs, BYTE, block_bytes=50_000).collect():
         held[r.sequence_id >> 32] = held.get(r.sequence_id >> 32, 0) + r.length
     assert len(held) == 20 and max(held.values()) < 2 * min(held.values())
+
+
+def block_shares(rows, source):
+    """Share of a source in each block, blocks being whole."""
+    held = {}
+    for r in rows:
+        got = held.setdefault(r.sequence_id >> 32, [0, 0])
+        got[0] += r.length
+        got[1] += r.length if r.source == source else 0
+    return [own / n for _, (n, own) in sorted(held.items())]
+
+
+def test_one_text_of_half_the_corpus(spark):
+    """It crosses blocks; all windows keep the mixture."""
+    docs = spark.range(400, numPartitions=4).selectExpr(
+        "id AS doc_id", "repeat('word ', 300) AS text", "'short' AS source"
+    ).union(spark.range(1).selectExpr("1000 + id", "repeat('word ', 120000)", "'long'"))
+    rows = pack(docs, BYTE, block_bytes=100_000, length=128).collect()
+    total = {s: sum(r.length for r in rows if r.source == s) for s in ("short", "long")}
+    share = total["long"] / sum(total.values())
+    windows = full_windows(rows, 16 * 128)
+    assert len(windows) > 80
+    for _, _, got in windows:
+        assert abs(got.get("long", 0) / 2048 - share) < 0.05
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    check_pieces(rows, texts, 128)
+
+
+def test_equal_and_empty_rows_spread_over_blocks(spark):
+    docs = spark.range(6000, numPartitions=4).selectExpr(
+        "IF(id % 2 = 0, 7, NULL) AS doc_id", "IF(id % 2 = 0, repeat('word ', 40), '') AS text",
+        "IF(id % 2 = 0, 'same', 'empty') AS source",
+    )
+    rows = pack(docs, BYTE, block_bytes=16_000, length=128).collect()
+    assert sum(r.length for r in rows) == 3000 * (len(library("word " * 40)) + 1) + 3000
+    whole = sum(r.length for r in rows if r.source == "empty") / sum(r.length for r in rows)
+    shares = block_shares(rows, "empty")
+    assert len(shares) > 30 and max(abs(x - whole) for x in shares) < 0.02
+    only = spark.range(5000, numPartitions=2).selectExpr("id AS doc_id", "CAST(NULL AS STRING) AS text", "'s' AS source")
+    held = {r.sequence_id >> 32 for r in pack(only, BYTE, block_bytes=16_000).collect()}
+    assert len(held) == 20
+
+
+def test_ids_of_text_and_other_texts_of_an_id(spark):
+    data = [("", "a b", "s"), ("x", "c", "s"), ("x", "d e f", "s"), (None, "g", "s"), ("", None, "t")]
+    docs = spark.createDataFrame(data, "doc_id string, text string, source string")
+    rows = pack(docs, BYTE, with_ids=True).collect()
+    got = {}
+    for r in sorted(rows, key=lambda r: r.start):
+        got.setdefault((r.doc_id, r.doc_tokens), []).extend(r.ids)
+    want = {(i, len(library(t)) + 1): library(t) + [1] for i, t, _ in data}
+    assert got == want
+
+
+def test_blocks_begin_with_the_deficits_of_earlier_ones(spark):
+    """Served and owed tokens of a source add up to its target at the start of every block."""
+    counts = spark.range(3000, numPartitions=3).selectExpr(
+        "id AS row", "IF(id % 3 = 0, 'a', 'b') AS source", "xxhash64(id) AS h", "1 + id % 50 AS tokens"
+    )
+    total = counts.groupBy("source").sum("tokens").collect()
+    whole = {r[0]: r[1] for r in total}
+    n = sum(whole.values())
+    dealt = deal(counts, 3000, n / 20, n, {}).join(counts, "row").collect()
+    served = {s: 0 for s in whole}
+    for block in range(20):
+        here = [r for r in dealt if r.block == block]
+        for s in whole:
+            carries = {r.carry for r in here if r.source == s}
+            assert len(carries) == 1 and abs(carries.pop() - (whole[s] * block / 20 - served[s])) < 1e-6
+            assert abs(whole[s] * block / 20 - served[s]) <= 50
+        for r in here:
+            assert abs(r.share - whole[r.source] / n) < 1e-9
+            served[r.source] += r.tokens

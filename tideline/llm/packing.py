@@ -1,21 +1,25 @@
 """Mixture-controlled packing by deficit round-robin over source queues.
 
-The corpus is one timeline of tokens on which every source is served at its
-share.  A source's documents stand in the order of a hash of id and text, and
-prefix sums of their tokens, within and between lanes of that hash, give the
-stretch of the timeline that each document fills.  A point of that stretch, set
-by the hash, names the block of about ``BLOCK`` bytes that the document goes to.
-So at the end of any block a source is at most about one document away from
-its target, however many blocks came before, and neither a source nor a
-partition of the input decides where a document goes.  Wherever a source with
-a wanted share runs dry, the others' shares grow and a new block begins.
+Every text is encoded once; its ids are written in chunks of a small part of a
+block, so that a long text crosses blocks and a short one stays whole.  The
+corpus is one timeline of tokens on which every source is served at its target.
+A source's chunks stand in the order of a hash of their row, and prefix sums of
+their tokens, within and between lanes of that hash, give the stretch of the
+timeline that each chunk fills.  A point of that stretch, set by the hash, names
+the block of about ``BLOCK`` bytes that the chunk goes to.  So at the end of any
+block a source is about one chunk away from its target, however many blocks came
+before, and neither a source, a partition of the input, a long text nor rows that
+are equal or empty decide where tokens go.  Wherever a source with a wanted share
+runs dry, the others' shares grow and a new block begins.
 
-A block is a queue of documents per source.  Each window of a block adds to
-every source's deficit its share of the block's tokens, then takes from the
-queues in turn up to their deficits, cutting documents freely; tokens that an
-empty queue cannot give are lent by the others, whose deficits go below zero.
-Deficits go on from window to window.  Blocks are packed independently and a
-lost one is packed again in the same way.
+A block is a queue of chunks per source.  It takes over the deficits that the
+blocks before it left, by prefix sums over blocks, and hands on its own; the
+difference is repaid evenly over its windows.  Each window adds to every source's
+deficit its target share and that repayment, then takes from the queues in turn
+up to their deficits, cutting freely; tokens that an empty queue cannot give are
+lent by the others, whose deficits go below zero.  Deficits go on from window to
+window.  Blocks are packed independently and a lost one is packed again in the
+same way.
 
 Sequences hold ``LENGTH`` tokens; the rest of a block is cut into sequences of
 powers of two, so nothing is padded.
@@ -23,6 +27,7 @@ powers of two, so nothing is padded.
 
 from __future__ import annotations
 
+import hashlib
 import math
 import zlib
 from collections.abc import Iterator
@@ -37,6 +42,9 @@ from tideline.llm.tokens import encoder
 from tideline.session import stable
 
 LENGTH, WINDOW, BLOCK, LANE, END = 2048, 16, 8 << 20, 1024, 1
+LANES = 20  # bits of the hash that name a lane, at most
+CHUNK = 256  # bytes of a block for each token of a chunk, a chunk being some 1/60 of a block
+ROW = 64  # bytes that a row counts as at least when blocks are numbered
 
 
 def boundaries(total: int, length: int) -> list[int]:
@@ -112,16 +120,17 @@ def deal(
     counts: DataFrame, rows: int, block_tokens: float, tokens: int,
     named: dict[str, tuple[float, int]],
 ) -> DataFrame:
-    """(source, h, block) from (source, h, tokens), one row per source and h.
+    """(row, block, share, carry) from (row, source, h, tokens), one row per chunk.
 
     ``tokens`` is the sum over all rows; ``named`` has weight and tokens of
     sources that are served first, at their weights.  The others follow, each
-    at its part of what they hold together.
+    at its part of what they hold together.  ``share`` is the source's target in
+    the block, ``carry`` the tokens by which earlier blocks fell short of it.
     """
-    bits = max(1, (rows // LANE).bit_length())
+    bits = min(LANES, max(1, (rows // LANE).bit_length()))
     counts = counts.withColumn("lane", F.shiftright("h", 64 - bits))
     before = Window.unboundedPreceding, -1
-    inner = Window.partitionBy("lane", "source").orderBy("h").rowsBetween(*before)
+    inner = Window.partitionBy("lane", "source").orderBy("h", "row").rowsBetween(*before)
     whole = Window.partitionBy("source")
     lanes = counts.groupBy("lane", "source").agg(F.sum("tokens").alias("__v")).select(
         "lane", "source", F.sum("__v").over(whole).alias("own"),
@@ -140,8 +149,11 @@ def deal(
     first = [sum(sizes[:i]) for i in range(len(sizes))]
     last = len(dry)
     begun = [0.0, *dry[:-1]] if dry else []
+    # weights of the sources that are not dry yet
+    open_ = [sum(w for w, n in named.values() if n / w > v) for v in begun]
     turn = F.col("at") / F.col("own")  # of the source itself
-    phase, part = F.lit(last), turn
+    phase, part, segment = F.lit(last), turn, F.col("own").cast("double")
+    share = F.col("own") / F.lit(max(1.0, spans[-1]))
     if named:
         weights = F.create_map(*[F.lit(x) for s, (w, _) in named.items() for x in (s, float(w))])
         weight = F.try_element_at(weights, "source")
@@ -151,9 +163,23 @@ def deal(
         ))
         begin, end = (F.get(F.lit(x), phase) for x in ([*begun, 0.0], [*dry, 1.0]))
         part = (F.coalesce(at, turn) - begin) / (end - begin)
+        segment = F.coalesce(weight * (end - begin), segment)
+        share = F.coalesce(weight / F.get(F.lit([float(x) for x in open_] + [1.0]), phase), share)
     of = F.get(F.lit(sizes), phase)
-    block = F.get(F.lit(first), phase) + F.least(F.floor(part * of), of - 1)
-    return placed.select("source", "h", block.cast("long").alias("block"))
+    start = F.get(F.lit(first), phase)
+    block = start + F.least(F.floor(part * of), of - 1)
+    dealt = placed.select(
+        "row", "source", "tokens", block.cast("long").alias("block"), share.alias("share"),
+        start.cast("long").alias("start"), (segment / of).alias("each"),
+    )
+    # what a block's source was due before it, less what it got
+    held = dealt.groupBy("source", "block", "start", "each").agg(F.sum("tokens").alias("__v"))
+    served = F.coalesce(F.sum("__v").over(
+        Window.partitionBy("source", "start").orderBy("block").rowsBetween(*before)
+    ), F.lit(0))
+    due = F.col("each") * (F.col("block") - F.col("start"))
+    carry = held.select("source", "block", (due - served).alias("carry"))
+    return dealt.join(carry, ["source", "block"]).select("row", "block", "share", "carry")
 
 
 def pack(
@@ -174,7 +200,8 @@ def pack(
     empty result; other columns are ignored.  The tokenizer file must be at
     that path on every machine.
 
-    Memory of a task follows ``block_bytes`` and the longest text.
+    Rows that repeat one another are packed as often as they stand there, each
+    for itself.  Memory of a task follows ``block_bytes`` and the longest text.
     """
     if length & (length - 1):
         raise ValueError("length must be a power of two")
@@ -184,24 +211,39 @@ def pack(
         F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"),
         F.coalesce(source, F.lit("\0")).alias("source"),
     )
-    rows = rows.withColumn("h", F.xxhash64("id", "text"))
+    cut = max(length, block_bytes // CHUNK)
+    end = np.array([end_id], "<u4").tobytes()
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in chunks(whole, "text"):
-                ids = encoder(tokenizer).encode(batch.column("text").to_pylist())
-                tokens = pa.array([len(x) // 4 + 1 for x in ids], pa.int64())
+                texts = batch.column("text").to_pylist()
+                at, part = [], {c: [] for c in ("start", "tokens", "doc_tokens", "doc", "bytes", "ids")}
+                for i, (text, data) in enumerate(zip(texts, encoder(tokenizer).encode(texts))):
+                    ids = np.frombuffer(data + end, "<u4")
+                    mark = int.from_bytes(hashlib.blake2b(ids.data, digest_size=8).digest(), "big", signed=True)
+                    kept = ids.astype("<u2") if ids.max() < 1 << 16 else ids
+                    size = len(text.encode())
+                    for a in range(0, len(ids), cut):
+                        own = kept[a : a + cut]
+                        at.append(i)
+                        values = (a, len(own), len(ids), mark, size if a == 0 else 0, own.tobytes())
+                        for held, value in zip(part.values(), values):
+                            held.append(value)
+                taken = batch.select(["id", "source"]).take(pa.array(at, pa.int64()))
+                kinds = [pa.int64()] * 5 + [pa.binary()]
                 yield pa.RecordBatch.from_arrays(
-                    [*(batch.column(c) for c in ("source", "h", "bytes")), tokens],
-                    ["source", "h", "bytes", "tokens"],
+                    [*taken.columns, *(pa.array(v, t) for v, t in zip(part.values(), kinds))],
+                    ["id", "source", *part],
                 )
 
-    counts = stable(
-        rows.select("source", "h", F.octet_length("text").cast("long").alias("bytes"), "text")
-        .mapInArrow(count, "source string, h bigint, bytes bigint, tokens bigint")
-        .groupBy("source", "h").agg(F.sum("tokens").alias("tokens"), F.sum("bytes").alias("bytes"))
-    )
-    total = counts.agg(
+    # written once: the numbers of its rows hold for all that follows
+    encoded = stable(rows.select("id", "source", "text").mapInArrow(
+        encode, f"id {kind}, source string, start bigint, tokens bigint, doc_tokens bigint, "
+        "doc bigint, bytes bigint, ids binary",
+    )).withColumn("row", F.monotonically_increasing_id())
+    counts = encoded.select("row", "source", "tokens", F.xxhash64("row").alias("h"))
+    total = encoded.agg(
         F.count("*").alias("rows"), F.sum("tokens").alias("tokens"), F.sum("bytes").alias("bytes")
     ).first()
     wanted = {s: w for s, w in (target or {}).items() if w > 0}
@@ -211,46 +253,64 @@ def pack(
         .agg(F.sum("tokens").alias("n")).collect()
     } if wanted else {}
     tokens = total["tokens"] or 0
-    blocks = max(1, -(-(total["bytes"] or 0) // block_bytes))
+    blocks = max(1, -(-max(total["bytes"] or 0, total["rows"] * ROW) // block_bytes))
     dealt = deal(counts, total["rows"], max(1.0, tokens / blocks), tokens, named)
-    end = np.array([end_id], "<u4").tobytes()
 
     def fill(left: pa.Table) -> pa.Table:
         left = left.combine_chunks()
-        batches = left.to_batches() or []
-        ids = [
-            x + end for whole in batches for batch in chunks(whole, "text")
-            for x in encoder(tokenizer).encode(batch.column("text").to_pylist())
+        names, sources, docs = (left.column(c).to_pylist() for c in ("id", "source", "doc"))
+        begun, sizes, whole = (left.column(c).to_pylist() for c in ("start", "tokens", "doc_tokens"))
+        parts = [
+            np.frombuffer(x.as_buffer(), "<u2" if 2 * n == len(x.as_buffer()) else "<u4").astype("<u4")
+            for x, n in zip(left.column("ids").combine_chunks(), sizes)
         ]
-        names, sources = left.column("id").to_pylist(), left.column("source").to_pylist()
-        order = sorted(range(len(ids)), key=lambda i: (names[i] is None, names[i] or 0, ids[i]))
+        order = sorted(range(len(parts)), key=lambda i: (
+            names[i] is None, 0 if names[i] is None else names[i], docs[i], begun[i]
+        ))
         queues: dict[str, list[tuple[int, int]]] = {}
+        items: list[list[int]] = []  # chunks that follow each other in one text
         for i in order:
-            queues.setdefault(sources[i], []).append((i, len(ids[i]) // 4))
-        held = sum(len(x) // 4 for x in ids)
-        share = {s: sum(n for _, n in q) / held for s, q in queues.items()}
+            queue = queues.setdefault(sources[i], [])
+            if queue:
+                item = items[queue[-1][0]]
+                j = item[-1]
+                if (names[j], docs[j], begun[j] + sizes[j]) == (names[i], docs[i], begun[i]):
+                    item.append(i)
+                    queue[-1] = (queue[-1][0], queue[-1][1] + sizes[i])
+                    continue
+            items.append([i])
+            queue.append((len(items) - 1, sizes[i]))
+        ids = [parts[x[0]] if len(x) == 1 else np.concatenate([parts[i] for i in x]) for x in items]
+        shares, carries = left.column("share").to_pylist(), left.column("carry").to_pylist()
+        share, carry = dict(zip(sources, shares)), dict(zip(sources, carries))
+        # A block drains.  What it holds beyond its target repays the deficits that the
+        # blocks before it left, less those that it leaves itself; repaid evenly, they
+        # move no window far from the target.
+        held = sum(sizes)
+        own = {s: sum(n for _, n in q) for s, q in queues.items()}
+        after = {s: carry[s] + share[s] * held - own[s] for s in own}
+        rate = {s: share[s] + (carry[s] - after[s]) / held for s in own}
         ends = boundaries(held, length)
         base = (left.column("block")[0].as_py() << 32) if len(ids) else 0
-        out = list(round_robin(queues, share, {}, window * length, ends))
+        out = list(round_robin(queues, rate, {}, window * length, ends))
         starts = [0, *ends]
+        head = [x[0] for x in items]
         columns = {
-            id_col: pa.array([names[d] for d, *_ in out], left.schema.field("id").type),
-            "start": pa.array([p[1] for p in out], pa.int64()),
+            id_col: pa.array([names[head[d]] for d, *_ in out], left.schema.field("id").type),
+            "start": pa.array([begun[head[p[0]]] + p[1] for p in out], pa.int64()),
             "length": pa.array([p[2] for p in out], pa.int64()),
             "ids_crc32": pa.array(
-                [zlib.crc32(memoryview(ids[d])[4 * s : 4 * (s + n)]) for d, s, n, *_ in out],
-                pa.int64(),
+                [zlib.crc32(ids[d][s : s + n].data) for d, s, n, *_ in out], pa.int64()
             ),
-            "doc_tokens": pa.array([len(ids[p[0]]) // 4 for p in out], pa.int64()),
+            "doc_tokens": pa.array([whole[head[p[0]]] for p in out], pa.int64()),
             "sequence_id": pa.array([base + p[3] for p in out], pa.int64()),
             "offset": pa.array([p[4] for p in out], pa.int64()),
             "sequence_tokens": pa.array([ends[p[3]] - starts[p[3]] for p in out], pa.int64()),
-            "source": pa.array([sources[p[0]] for p in out], pa.string()),
+            "source": pa.array([sources[head[p[0]]] for p in out], pa.string()),
         }
         if with_ids:
             columns["ids"] = pa.array(
-                [np.frombuffer(ids[d], "<u4")[s : s + n].astype(np.int32) for d, s, n, *_ in out],
-                pa.list_(pa.int32()),
+                [ids[d][s : s + n].astype(np.int32) for d, s, n, *_ in out], pa.list_(pa.int32())
             )
         return pa.table(columns)
 
@@ -260,7 +320,7 @@ def pack(
         + (", ids array<int>" if with_ids else "")
     )
     return (
-        rows.join(dealt.hint("shuffle_hash"), ["source", "h"]).select("block", "id", "text", "source")
+        encoded.drop("bytes").join(dealt.hint("shuffle_hash"), "row").drop("row")
         .groupBy("block").applyInArrow(fill, schema)
         .withColumn("source", F.nullif("source", F.lit("\0")))
     )
