@@ -227,7 +227,7 @@ def pack(
                     for a in range(0, len(ids), cut):
                         own = kept[a : a + cut]
                         at.append(i)
-                        values = (a, len(own), len(ids), mark, size if a == 0 else 0, own.tobytes())
+                        values = (a, len(own), len(ids), mark, size if a == 0 else 0, zlib.compress(own.tobytes(), 1))
                         for held, value in zip(part.values(), values):
                             held.append(value)
                 taken = batch.select(["id", "source"]).take(pa.array(at, pa.int64()))
@@ -237,7 +237,7 @@ def pack(
                     ["id", "source", *part],
                 )
 
-    # written once: the numbers of its rows hold for all that follows
+    # written once: the numbers of its rows hold for all that follows; ids are moved twice, so deflated
     encoded = stable(rows.select("id", "source", "text").mapInArrow(
         encode, f"id {kind}, source string, start bigint, tokens bigint, doc_tokens bigint, "
         "doc bigint, bytes bigint, ids binary",
@@ -260,9 +260,10 @@ def pack(
         left = left.combine_chunks()
         names, sources, docs = (left.column(c).to_pylist() for c in ("id", "source", "doc"))
         begun, sizes, whole = (left.column(c).to_pylist() for c in ("start", "tokens", "doc_tokens"))
+        packed = (zlib.decompress(x.as_buffer()) for x in left.column("ids").combine_chunks())
         parts = [
-            np.frombuffer(x.as_buffer(), "<u2" if 2 * n == len(x.as_buffer()) else "<u4").astype("<u4")
-            for x, n in zip(left.column("ids").combine_chunks(), sizes)
+            np.frombuffer(x, "<u2" if 2 * n == len(x) else "<u4").astype("<u4")
+            for x, n in zip(packed, sizes)
         ]
         order = sorted(range(len(parts)), key=lambda i: (
             names[i] is None, 0 if names[i] is None else names[i], docs[i], begun[i]
