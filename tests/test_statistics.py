@@ -106,6 +106,24 @@ def test_histogram_and_kde(sample):
             kde(df, c)
 
 
+def test_kde_bins_instead_of_values(spark):
+    n, resolution = 200_000, 0.02
+    df = spark.range(n).select((F.randn(5) + F.when(F.col("id") % 3 == 0, 4).otherwise(0)).alias("x")).cache()
+    x = np.sort(df.toPandas().x.to_numpy())
+    h = x.std(ddof=1) * n ** -0.2
+    grid = np.linspace(x[0], x[-1], 50)
+    want = [np.exp(-0.5 * ((g - x) / h) ** 2).sum() / (n * h * math.sqrt(2 * math.pi)) for g in grid]
+    out = kde(df, "x", 50, resolution=resolution)
+    got = [r.density for r in out.orderBy("point").collect()]
+    bound = 0.23 * resolution ** 3 / (h * math.sqrt(2 * math.pi))
+    assert max(abs(a - b) for a, b in zip(got, want)) < bound
+    # what moves first is at most a row per bin and task
+    assert len(np.unique(np.floor((x - x[0]) / (h * resolution)))) < n / 20
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(bin") == 1 and "hashpartitioning(value" not in plan
+    df.unpersist()
+
+
 def test_modes_and_rates(spark, rows):
     df = spark.createDataFrame(
         [(1, "b"), (1, "a"), (1, None), (1, None), (2, "c"), (2, "c"), (2, "a")], "g int, s string")

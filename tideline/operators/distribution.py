@@ -240,11 +240,19 @@ def histogram(df: DataFrame, column: str, bins: int = 20, digits: int | None = N
     return _rounded(out, ["left_edge", "right_edge", "density"], digits)
 
 
-def kde(df: DataFrame, column: str, points: int = 200, digits: int | None = None) -> DataFrame:
+def kde(
+    df: DataFrame, column: str, points: int = 200, digits: int | None = None,
+    resolution: float = 0.002,
+) -> DataFrame:
     """Gaussian density on ``points`` values from min to max, bandwidth by Scott's rule.
 
-    Equal values are counted first.  Each value adds to every grid point inside
-    one generated stage; tasks send one partial sum per grid point.
+    Rows are summed up in bins of ``resolution`` bandwidths: count, mean and
+    variance.  A bin adds the kernel at its mean and the variance times half its
+    second derivative, so equal values are exact and a density is wrong by less
+    than ``0.23 * resolution ** 3`` of a kernel's peak (the third derivative of
+    the kernel is at most 1.4 times the peak).  What moves and what is evaluated
+    are bins: they follow range over bandwidth, not distinct values, and
+    tasks send one partial sum per bin and grid point.
     """
     v = F.col(column).cast("double")
     facts = df.agg(
@@ -256,13 +264,23 @@ def kde(df: DataFrame, column: str, points: int = 200, digits: int | None = None
     h = facts.sd * facts.n ** (-0.2)
     step = (facts.hi - facts.lo) / (points - 1)
     scale = 1.0 / (facts.n * h * (2 * 3.141592653589793) ** 0.5)
-    counts = df.where(v.isNotNull()).groupBy(v.alias("value")).agg(F.count("*").alias("cnt"))
+    width = h * resolution
+    at = F.floor((v - facts.lo) / width)
+    inside = F.col("value") - (F.lit(facts.lo) + F.col("bin") * width)
+    bins = (
+        df.where(v.isNotNull()).select(v.alias("value"), at.alias("bin"))
+        .select("bin", inside.alias("d"))
+        .groupBy("bin")
+        .agg(F.count("*").alias("cnt"), F.avg("d").alias("mean"), F.var_pop("d").alias("var"))
+    )
     grid = F.explode(F.sequence(F.lit(0), F.lit(points - 1)))
-    z = (F.lit(facts.lo) + F.col("point") * step - F.col("value")) / h
+    middle = F.lit(facts.lo) + F.col("bin") * width + F.col("mean")
+    z = (F.lit(facts.lo) + F.col("point") * step - F.col("middle")) / h
+    bend = 1 + F.col("var") / (2 * h * h) * (z * z - 1)
     sums = (
-        counts.select("value", "cnt", grid.alias("point"))
+        bins.select(middle.alias("middle"), "cnt", "var", grid.alias("point"))
         .groupBy("point")
-        .agg(F.sum(F.col("cnt") * F.exp(-0.5 * z * z)).alias("s"))
+        .agg(F.sum(F.col("cnt") * F.exp(-0.5 * z * z) * bend).alias("s"))
     )
     out = sums.select(
         "point",
