@@ -10,6 +10,7 @@ from tideline.operators.flow import chrono_split
 from tideline.plans.ingest import ingest
 from tideline.plans.observations import observation_table, raw_uploads, read_table
 from tideline.session import scratch_path
+from tideline.sources.rejects import PLACE, read_checked
 from tideline.sources.reports import sanitize, summary_json
 from tideline.sources.tables import (
     append_rows, append_table, assign_record_id, read_observations, replace_table, write_split,
@@ -49,6 +50,44 @@ def _(spark, sf):
     return read_observations(spark, path, schema, "csv")
 
 
+@query(
+    "read_rejects",
+    """WITH o AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 7 = 0 THEN 'price on request'
+      WHEN o_orderkey % 11 = 0 THEN '' ELSE 'ok' END AS price, o_orderkey % 13 = 0 AS late,
+      strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders)
+    SELECT o_orderkey, CASE WHEN price = 'ok' THEN o_totalprice END AS o_totalprice,
+      CASE WHEN NOT late THEN day END AS day,
+      CASE WHEN price = 'price on request' THEN price END AS bad_price,
+      CASE WHEN late THEN 'after ' || day END AS bad_day FROM o""",
+)
+def _(spark, sf):
+    orders = read_table(spark, sf, "orders")
+    key, day = F.col("o_orderkey"), F.date_format("o_orderdate", "yyyy-MM-dd")
+    price = F.when(key % 7 == 0, "price on request").when(key % 11 == 0, "").otherwise(
+        F.col("o_totalprice").cast("string")
+    )
+    told = F.when(key % 13 == 0, F.concat(F.lit("after "), day)).otherwise(day)
+    uploads = orders.select(key, price.alias("o_totalprice"), told.alias("day"))
+    folder = scratch_path(spark, "uploads")
+    # two kinds of files under one path, with other columns in another order
+    write_table(uploads.where(key % 2 == 0), f"{folder}/kind=0", form="csv")
+    write_table(
+        uploads.where(key % 2 == 1).select("day", F.lit("x").alias("other"), "o_totalprice", key),
+        f"{folder}/kind=1", form="csv",
+    )
+    rows, rejects = read_checked(
+        spark, f"{folder}/kind=*", "o_orderkey long, o_totalprice double, day date"
+    )
+    bad = rejects.groupBy(*PLACE).agg(
+        F.max(F.when(F.col("column") == "o_totalprice", F.col("text"))).alias("bad_price"),
+        F.max(F.when(F.col("column") == "day", F.col("text"))).alias("bad_day"),
+    )
+    return rows.join(bad, list(PLACE), "left").select(
+        "o_orderkey", "o_totalprice", F.date_format("day", "yyyy-MM-dd").alias("day"),
+        "bad_price", "bad_day",
+    )
+
+
 ORDER_SPLIT = """
   SELECT *, row_number() OVER (ORDER BY o_orderdate, o_orderkey) AS rn,
     floor(count(*) OVER () * (1 - 0.2::DOUBLE)) AS cut FROM orders"""
