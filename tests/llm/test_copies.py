@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tideline.llm.components import components
-from tideline.llm.exact_dedup import drop_copies, exact_dedup
+from tideline.llm.exact_dedup import digest_entries, drop_copies, exact_dedup, tree_merge
 from tideline.llm.near_dedup import drop_near_copies, fewest_matches, near_dedup
 
 LOW = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -181,3 +181,24 @@ def test_components_of_a_path_and_a_star(spark):
     got = {r.node: r.component for r in components(pairs).collect()}
     assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in [*range(100, 140), 200]}}
     assert components(pairs.filter(F.lit(False))).count() == 0
+
+
+def test_runs_are_partitions_that_meet_in_binomial_rounds(spark):
+    from pyspark.sql import functions as F
+
+    from tideline.session import stable
+    rows = [(i if i % 5 else None, "hot" if i % 3 == 0 else f"text {i % 700}") for i in range(5000)]
+    entries = stable(digest_entries(spark.createDataFrame(rows, "doc_id int, text string").repartition(7)))
+    for levels in (1, 3, 4):
+        runs = tree_merge(entries, levels)
+        plan = runs._jdf.queryExecution().executedPlan().toString()
+        # a shuffle and a sort per round, after each task has merged its own rows
+        assert plan.count("Exchange shufflepartitionidpassthrough") == levels
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Exchange ") == levels + 1
+        assert plan.count("Sort [") == levels + 2 and "HashAggregate" not in plan
+        placed = runs.select("digest", F.spark_partition_id().alias("run"), "keep_id", "group_size").collect()
+        assert all(r.digest & (2 ** levels - 1) == r.run for r in placed)
+        assert len({r.digest for r in placed}) == len(placed) == len({t for _, t in rows})
+        assert sum(r.group_size for r in placed) == len(rows)
+        hot = max(placed, key=lambda r: r.group_size)
+        assert (hot.keep_id, hot.group_size) == (3, len([1 for _, t in rows if t == "hot"]))

@@ -1,17 +1,23 @@
 """Exact duplicates by a tree merge of sorted digest runs.
 
-Every row becomes one entry (digest, check, id, count) of one of ``2 ** levels``
-runs.  A round lets the runs whose numbers differ only in the next ``bits``
-bits exchange entries: an entry goes to the run in which those bits equal the
-same bits of its digest, the receiving run is the multiway merge of what its
-partners sent, and equal entries become one that holds the best identifier and
-the sum of the counts.  After the last round all entries of a digest are in one
-run and each run is a digest range.  Copies shrink at the first level, before anything moves: the partial
-aggregation of a round sorts the entries of a task and merges them, so a text
-that a third of the rows share sends one entry per task and run.
+Every row becomes one entry (digest, check, id, count) of a run named after the
+partition that read it.  First each task sorts its own entries and merges equal
+ones, before anything moves: a text that a third of the rows share leaves a task
+as one entry.  From then on a run is a partition, sorted by digest.  In round
+``i`` the runs whose numbers differ only in bit ``i`` exchange entries: an entry
+goes to the run in which that bit equals the same bit of its digest.  The
+receiving run sorts what its partners sent into one run, and of neighbours that
+are equal one entry stays, with the best identifier and the sum of the counts.
+After all rounds run ``r`` holds the entries whose low digest bits are ``r``, so
+all entries of a digest, each digest once.
+
+A round is one shuffle to the partition of the run's number, one sort, and
+aggregates that walk the sorted run; none of them shuffles or sorts again.  The
+number of runs is the number of shuffle partitions, rounded up to a power of
+two, so runs stay as small as the cluster's other partitions.
 
 The best identifier is carried as a struct, named before nameless, for which
-Spark merges sorted runs (SortAggregate) instead of building hash maps.
+Spark walks sorted runs (SortAggregate) instead of building hash maps.
 Equality is verified at every level: the 64-bit digest that routes and sorts an
 entry is accompanied by the SHA-256 and the byte length of the normalised text,
 and only entries equal in all three merge.
@@ -21,7 +27,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.session import stable
@@ -49,45 +55,58 @@ def digest_entries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     )
 
 
-def merge_round(runs: DataFrame, shift: int, bits: int, largest: bool) -> DataFrame:
-    """Partners exchange by the ``bits`` digest bits from ``shift`` on, then merge."""
-    mask = ((1 << bits) - 1) << shift
-    run = F.col("run").bitwiseAND(F.lit(~mask)).bitwiseOR(F.col("digest").bitwiseAND(F.lit(mask)))
+KEYS = ("digest", "check", "size")
+
+
+def _merged(runs: DataFrame, largest: bool) -> DataFrame:
     if largest:
         best = F.max(F.struct(F.col("id").isNotNull(), F.col("id").alias("id")))
     else:
         best = F.min(F.struct(F.col("id").isNull(), F.col("id").alias("id")))
     return (
-        runs.withColumn("run", run)
-        .groupBy("run", "digest", "check", "size")
+        runs.groupBy("run", *KEYS)
         .agg(best.alias("best"), F.sum("count").alias("count"))
-        .select("run", "digest", "check", "size", F.col("best.id").alias("id"), "count")
+        .select("run", *KEYS, F.col("best.id").alias("id"), "count")
     )
 
 
+def merge_round(runs: DataFrame, shift: int, bits: int, levels: int, largest: bool) -> DataFrame:
+    """Partners exchange by the ``bits`` digest bits from ``shift`` on, then merge."""
+    mask = ((1 << bits) - 1) << shift
+    own = F.col("run").bitwiseAND(F.lit(~mask))
+    run = own.bitwiseOR(F.col("digest").bitwiseAND(F.lit(mask)).cast("int"))
+    met = runs.withColumn("run", run).repartitionById(1 << levels, F.col("run"))
+    return _merged(met.sortWithinPartitions("run", *KEYS), largest)
+
+
+def run_levels(spark: SparkSession) -> int:
+    """Binary logarithm of the number of runs: shuffle partitions, rounded up."""
+    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")) - 1).bit_length()
+
+
 def tree_merge(
-    entries: DataFrame, levels: int = 6, bits: int = 3, keep: str = "smallest"
+    entries: DataFrame, levels: int | None = None, bits: int = 1, keep: str = "smallest"
 ) -> DataFrame:
     """(digest, check, size, keep_id, group_size) of every distinct text.
 
     ``2 ** levels`` runs meet in ``ceil(levels / bits)`` rounds of ``2 ** bits``
-    partners each.  A row starts in a run named by its id, which only decides
-    with whom it meets first.
+    partners each.  ``entries`` must be written (``stable``), so that a task that
+    is run again finds its rows in the same partition.
     """
-    runs = entries.select(
-        F.pmod(F.xxhash64("id"), F.lit(1 << levels)).alias("run"), "digest", "check", "size",
-        "id", F.lit(1).cast("long").alias("count"),
+    levels = run_levels(entries.sparkSession) if levels is None else levels
+    own = F.spark_partition_id().bitwiseAND(F.lit((1 << levels) - 1))
+    runs = _merged(
+        entries.select(own.alias("run"), *KEYS, "id", F.lit(1).cast("long").alias("count")),
+        keep == "largest",
     )
     for shift in range(0, levels, bits):
-        runs = merge_round(runs, shift, min(bits, levels - shift), keep == "largest")
-    return runs.select(
-        "digest", "check", "size", F.col("id").alias("keep_id"), F.col("count").alias("group_size")
-    )
+        runs = merge_round(runs, shift, min(bits, levels - shift), levels, keep == "largest")
+    return runs.select(*KEYS, F.col("id").alias("keep_id"), F.col("count").alias("group_size"))
 
 
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", keep: str = "smallest",
-    levels: int = 6, bits: int = 3,
+    levels: int | None = None, bits: int = 1,
 ) -> DataFrame:
     """One row per document row: id, keep_id, group_size, kept, text_sha256.
 
