@@ -9,12 +9,10 @@ from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel, Transformer
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tideline import presets as P
@@ -22,6 +20,7 @@ from tideline.functions.numbers import clip, half_even
 from tideline.operators.evaluation import (
     class_weights, classification_metrics, label_index, regression_metrics,
 )
+from tideline.operators.trees import HistogramTrees
 from tideline.session import ensure_checkpoint_dir, side_by_side
 from tideline.sources.reports import load_model, save_model
 
@@ -51,13 +50,11 @@ def fit_linear(size: TrainSize) -> Estimator:
 
 
 def fit_forest_reg(size: TrainSize) -> Estimator:
-    return RandomForestRegressor(
-        numTrees=size.trees, maxDepth=10, featureSubsetStrategy="all", seed=SEED
-    )
+    return HistogramTrees(trees=size.trees, maxDepth=10, seed=SEED)
 
 
 def fit_gbt_reg(size: TrainSize) -> Estimator:
-    return GBTRegressor(maxIter=size.rounds, stepSize=0.08, maxDepth=4, seed=SEED)
+    return HistogramTrees(boosted=True, trees=size.rounds, stepSize=0.08, maxDepth=4, seed=SEED)
 
 
 def fit_logistic(size: TrainSize, c: float = 1.0) -> Estimator:
@@ -73,13 +70,13 @@ def fit_logistic(size: TrainSize, c: float = 1.0) -> Estimator:
 
 
 def fit_forest_clf(size: TrainSize) -> Estimator:
-    return RandomForestClassifier(
-        numTrees=size.trees, maxDepth=8, featureSubsetStrategy="sqrt", seed=SEED
-    )
+    return HistogramTrees(classify=True, trees=size.trees, maxDepth=8, subset=True, seed=SEED)
 
 
 def fit_gbt_clf(size: TrainSize) -> Estimator:
-    return GBTClassifier(maxIter=size.rounds, stepSize=0.08, maxDepth=3, seed=SEED)
+    return HistogramTrees(
+        classify=True, boosted=True, trees=size.rounds, stepSize=0.08, maxDepth=3, seed=SEED
+    )
 
 
 # --- Fixed values: candidate names, in the order that settles ties ---
@@ -264,7 +261,14 @@ def _class_index(label: str, classes: Sequence) -> Column:
 def _compare(fitted: FittedSuite, test: DataFrame) -> None:
     """Metrics of all candidates from one pass over the test part each kind."""
     spec = fitted.spec
-    scored = test
+    if spec.regressors:
+        _compare_numbers(fitted, test)
+    if spec.label:
+        _compare_classes(fitted, test)
+
+
+def _compare_numbers(fitted: FittedSuite, test: DataFrame) -> None:
+    spec, scored = fitted.spec, test
     for i, c in enumerate(spec.regressors):
         model = fitted.models[c.name].copy()
         scored = model.setPredictionCol(f"_p{i}").transform(scored)
@@ -286,8 +290,9 @@ def _compare(fitted: FittedSuite, test: DataFrame) -> None:
         if best is None or (r.r2 is not None and r.r2 > best):
             best, fitted.best_regressor = (r.r2 if r.r2 is not None else float("-inf")), name
 
-    if not spec.label:
-        return
+
+def _compare_classes(fitted: FittedSuite, test: DataFrame) -> None:
+    spec = fitted.spec
     if fitted.degenerate:
         n = test.count()
         for i, c in enumerate(spec.classifiers):
