@@ -5,15 +5,15 @@ from __future__ import annotations
 import json
 import math
 import sys
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import PCA
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -22,7 +22,7 @@ from tideline.operators.distribution import group_profile
 from tideline.operators.lloyd import Fit, fit_all
 from tideline.sources.reports import load_model, save_model
 from tideline.operators.stages import (
-    AXES, CLUSTER, VECTOR, NearestCentre, Scale, SignedAxes, fit_scale, profile_texts,
+    CLUSTER, VECTOR, Axes, NearestCentre, Scale, SignedAxes, fit_scale, profile_texts,
 )
 from tideline.session import stable
 
@@ -272,12 +272,38 @@ class Projection:
         return PipelineModel(self.stages(digits)).transform(df)
 
 
+def _covariance(df: DataFrame, column: str) -> np.ndarray:
+    """Covariance of a vector column from matrix products, one row of sums a task.
+
+    Products of some thousand rows and sums of these keep all but the last digits;
+    row after row the error grows with the rows, and axes of almost equal variance turn with it.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        n, total, square = 0, 0.0, 0.0
+        for batch in batches:
+            if batch.num_rows:
+                x = np.asarray(batch.column(0).flatten(), np.float64).reshape(batch.num_rows, -1)
+                n, total, square = n + len(x), total + x.sum(axis=0), square + x.T @ x
+        if n:
+            sums = pa.array([[float(n), *total, *square.ravel()]], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([sums], ["sums"])
+
+    parts = df.select(vector_to_array(column).alias("point")).mapInArrow(run, "sums array<double>")
+    sums = [math.fsum(cells) for cells in zip(*[r.sums for r in parts.collect()])]
+    dims = math.isqrt(len(sums) - 1)  # after the count there are dims * (dims + 1) sums
+    n, mean = sums[0], np.array(sums[1 : 1 + dims]) / sums[0]
+    square = np.array(sums[1 + dims :]).reshape(dims, dims)
+    return (square - n * np.outer(mean, mean)) / max(n - 1, 1)
+
+
 def pca_project(df: DataFrame, k: int = 2, column: str = VECTOR) -> Projection:
     """Principal axes of a centred vector column; the largest loading of each is positive."""
-    model = PCA(k=k, inputCol=column, outputCol=AXES).fit(df)
-    axes = model.pc.toArray()
+    sizes, axes = np.linalg.eigh(_covariance(df, column))
+    sizes, axes = np.maximum(sizes[::-1], 0.0), axes[:, ::-1][:, :k]
     signs = [1.0 if axes[np.abs(axes[:, i]).argmax(), i] >= 0 else -1.0 for i in range(k)]
-    return Projection(model, signs, [round(float(v), 4) for v in model.explainedVariance])
+    shares = sizes[:k] / (sizes.sum() or 1.0)
+    model = Axes(axes=json.dumps(axes.T.tolist()), inputCol=column)
+    return Projection(model, signs, [round(float(v), 4) for v in shares])
 
 
 def cluster_profiles(df: DataFrame, cluster: str = CLUSTER, **columns: str) -> DataFrame:

@@ -101,6 +101,30 @@ class NearestCentre(_Stage):
         ).drop("_point")
 
 
+class Axes(_Stage):
+    """Coordinates of a vector on given axes."""
+
+    axes = _param("axes", "JSON list of axes", TypeConverters.toString)
+    inputCol = _param("inputCol", "vector column", TypeConverters.toString)
+    outputCol = _param("outputCol", "projected vector", TypeConverters.toString)
+
+    @keyword_only
+    def __init__(self, *, axes=None, inputCol=VECTOR, outputCol=AXES):
+        super().__init__()
+        self._setDefault(inputCol=VECTOR, outputCol=AXES)
+        self._take(**self._input_kwargs)
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        out = df.withColumn("_point", vector_to_array(F.col(self.of(self.inputCol))))
+        cells = []
+        for axis in json.loads(self.of(self.axes)):
+            x = F.lit(0.0)
+            for i, share in enumerate(axis):
+                x = x + F.get(F.col("_point"), F.lit(i)) * F.lit(float(share))
+            cells.append(x)
+        return out.withColumn(self.of(self.outputCol), array_to_vector(F.array(*cells))).drop("_point")
+
+
 class SignedAxes(_Stage):
     """``pca_1``, ``pca_2`` and so on from projected coordinates, with the sign of each axis."""
 
