@@ -11,7 +11,7 @@ from tideline.operators.clusters import (
     cluster_profiles, inertia, kmeans_fit, kmeans_sweep, load_clusters, nearest_centre,
     pca_project, save_clusters, silhouette_euclidean, silhouette_squared, vectors,
 )
-from tideline.operators.lloyd import fit_from
+from tideline.operators.lloyd import fit_from, packed
 from tideline.operators.models import (
     CLASSIFIERS, FOOD_SUITE, LIBRARY_SUITE, REGRESSORS, SPORTS_SUITE, SuiteSpec,
     feature_importance, fit_logistic, load_suite, save_suite, train_suite, TrainSize,
@@ -251,6 +251,25 @@ def test_all_fits_share_their_scans(spark):
     assert jobs <= 2 * scans < 2 * sum(f.rounds + 1 for f in fits)
 
 
+def test_rounds_are_one_even_job(spark):
+    x = np.random.default_rng(5).normal(size=(900, 3))
+    points = stable(spark.createDataFrame([(p.tolist(),) for p in x], "point array<double>").coalesce(1))
+    blocks = packed(points, len(x))
+    per_task = blocks.rdd.glom().map(lambda part: sum(len(r.block) // 24 for r in part)).collect()
+    assert sum(per_task) == 900 and len(per_task) > 1 and max(per_task) <= 2 * min(per_task)
+    starts = [x[:3], x[[3, 3, 9]]]
+    tracker = spark.sparkContext
+    tracker.setJobGroup("packed", "packed")
+    fits = fit_from(blocks, starts, rounds=4, tol=0.0)
+    jobs = len(tracker.statusTracker().getJobIdsForGroup("packed"))
+    tracker.setJobGroup("other", "other")
+    assert jobs == 5  # four rounds and the costs
+    for a, b in zip(fits, fit_from(points, starts, rounds=4, tol=0.0)):
+        assert np.allclose(a.centres, b.centres) and a.cost == pytest.approx(b.cost)
+    # of equal centres the first takes the rows, the other stays
+    assert fit_from(blocks, starts[1:], rounds=1)[0].centres[1].tolist() == x[3].tolist()
+
+
 def test_nearest_centre(spark, rows):
     df = spark.createDataFrame([(0.0, 0.0), (9.0, 1.0), (5.0, 0.0)], "x double, y double")
     out = nearest_centre(df, ["x", "y"], {0: (0, 0), 1: (10, 0)})

@@ -40,8 +40,8 @@ def vectors(
 
 
 def _points(df: DataFrame, column: str) -> DataFrame:
-    """The vectors as one array column, written once for all rounds."""
-    return stable(df.select(vector_to_array(column).alias("point")))
+    """The vectors as one array column."""
+    return df.select(vector_to_array(column).alias("point"))
 
 
 def _model(fit: Fit, column: str = VECTOR) -> NearestCentre:
@@ -54,7 +54,7 @@ def kmeans_fit(
     df: DataFrame, k: int, restarts: int = RESTARTS, seed: int = SEED, column: str = VECTOR
 ) -> NearestCentre:
     """Best of several seeded starts by within-cluster sum of squares, the first one on ties."""
-    return _model(fit_all(_points(df, column), [k], restarts, seed)[k], column)
+    return _model(fit_all(stable(_points(df, column)), [k], restarts, seed)[k], column)
 
 
 def _elements(df: DataFrame, label: str, point: str | Sequence[str]) -> DataFrame:

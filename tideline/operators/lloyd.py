@@ -2,13 +2,14 @@
 
 The centre sets of all fits travel together.  A task measures its rows against
 all of them with one matrix product and returns, per set and centre, the count
-and the sums of its rows; these partial sums are added up by Spark, so what
-reaches the driver has the size of the centres.  A set whose centres stand still
+and the sums of its rows, so what reaches the driver has the size of the centres.
+The points of a long fit are dealt evenly and packed into blocks once.  A set whose centres stand still
 leaves the rounds.  Starts are drawn by distance from a bounded sample.
 """
 
 from __future__ import annotations
 
+import math
 import sys
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -18,10 +19,14 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, functions as F
 
+from tideline.session import stable
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SAMPLE = 10_000  # rows that starts are drawn from
-ROWS = 4096  # rows measured at once
+ROWS = 4096  # rows measured at once, fewer if there are so many centres
+CELLS = 1 << 18  # distances held at once
+TASK_ROWS = 500_000  # rows of a task
 
 
 @dataclass
@@ -32,52 +37,71 @@ class Fit:
     done: bool = False
 
 
+def _blocks(batches: Iterator[pa.RecordBatch], dims: int) -> Iterator[np.ndarray]:
+    """The points of a task as matrices, from packed blocks or from one array a row."""
+    for batch in batches:
+        column = batch.column(0)
+        if pa.types.is_list(column.type):
+            yield np.asarray(column.flatten(), np.float64).reshape(-1, dims)
+        else:
+            yield from (np.frombuffer(b.as_buffer(), np.float64).reshape(-1, dims) for b in column)
+
+
+def packed(points: DataFrame, rows: int) -> DataFrame:
+    """The points dealt evenly and written as blocks of doubles, for many rounds.
+
+    A small table would else lie in as few partitions as its join left, and each
+    round would turn every row into a Python array anew.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                flat = np.asarray(batch.column(0).flatten(), np.float64)
+                yield pa.RecordBatch.from_arrays([pa.array([flat.tobytes()], pa.binary())], ["block"])
+
+    parts = max(points.sparkSession.sparkContext.defaultParallelism, math.ceil(rows / TASK_ROWS))
+    return stable(points.repartition(parts).mapInArrow(run, "block binary"))
+
+
 def _sums(points: DataFrame, sets: Sequence[np.ndarray]) -> dict[int, tuple[np.ndarray, np.ndarray, float]]:
     """Per set: counts and sums of the rows nearest to each centre, and the total squared distance."""
     dims, firsts = sets[0].shape[1], np.cumsum([0, *[len(c) for c in sets]])
     whole = np.concatenate(sets)
-    size = (whole * whole).sum(axis=1)
+    size = (whole * whole).sum(axis=1)[:, None]
+    rows = int(np.clip(CELLS // len(whole), 64, ROWS))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count, total = np.zeros(len(whole)), np.zeros((len(whole), dims))
-        cost = np.zeros(len(sets))
-        for batch in batches:
-            column = batch.column(0)
-            flat = np.asarray(column.flatten(), np.float64).reshape(-1, dims)
-            for a in range(0, len(flat), ROWS):
-                x = flat[a : a + ROWS]
-                away, own = size - 2.0 * (x @ whole.T), (x * x).sum()
+        # a row per centre: sums by axis, then the count
+        total, cost = np.zeros((len(whole), dims + 1)), np.zeros(len(sets))
+        for block in _blocks(batches, dims):
+            for a in range(0, len(block), rows):
+                x = block[a : a + rows]
+                # a row per centre, so that a set is compared centre by centre in whole vectors
+                away, own = size - 2.0 * (whole @ x.T), (x * x).sum()
+                member = np.empty(away.shape)
                 for s in range(len(sets)):
                     lo, hi = firsts[s], firsts[s + 1]
-                    near = away[:, lo:hi].argmin(axis=1)
-                    cost[s] += own + away[np.arange(len(x)), lo + near].sum()
-                    count[lo:hi] += np.bincount(near, minlength=hi - lo)
-                    member = np.zeros((hi - lo, len(x)))
-                    member[near, np.arange(len(x))] = 1.0
-                    total[lo:hi] += member @ x
-        if not count.any():
-            return
-        # a row per centre and axis; axis -1 holds counts, axis -2 the costs of the sets
-        cells = np.concatenate([total, count[:, None]], axis=1)
-        n = len(whole)
-        yield pa.RecordBatch.from_pydict({
-            "centre": np.r_[np.repeat(np.arange(n), dims + 1), np.arange(len(sets))].astype(np.int32),
-            "axis": np.r_[np.tile(np.r_[np.arange(dims), -1], n), np.full(len(sets), -2)].astype(np.int32),
-            "x": np.r_[cells.ravel(), cost],
-        })
-
-    parts = points.mapInArrow(run, "centre int, axis int, x double")
-    added = parts.groupBy("centre", "axis").agg(F.sum("x").alias("x")).collect()
-    count, total, cost = np.zeros(len(whole)), np.zeros((len(whole), dims)), np.zeros(len(sets))
-    for r in added:
-        if r.axis == -2:
-            cost[r.centre] = r.x
-        elif r.axis == -1:
-            count[r.centre] = r.x
-        else:
-            total[r.centre, r.axis] = r.x
+                    best, near = away[lo].copy(), np.zeros(len(x), np.int32)
+                    for j in range(1, hi - lo):
+                        near[away[lo + j] < best] = j
+                        np.minimum(best, away[lo + j], out=best)
+                    cost[s] += own + best.sum()
+                    for j in range(hi - lo):
+                        member[lo + j] = near == j
+                total += member @ np.concatenate([x, np.ones((len(x), 1))], axis=1)
+        if total[:, -1].any():
+            sums = pa.array([np.r_[total.ravel(), cost]], pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([sums], ["sums"])
+
+    # one row of sums a task, of the size of the centres
+    cells, cost = np.zeros((len(whole), dims + 1)), np.zeros(len(sets))
+    for r in points.mapInArrow(run, "sums array<double>").collect():
+        sums = np.array(r.sums)
+        cells, cost = cells + sums[: cells.size].reshape(cells.shape), cost + sums[cells.size :]
     cut = lambda x, s: x[firsts[s] : firsts[s + 1]]
-    return {s: (cut(count, s), cut(total, s), max(float(cost[s]), 0.0)) for s in range(len(sets))}
+    return {
+        s: (cut(cells[:, -1], s), cut(cells[:, :-1], s), max(float(cost[s]), 0.0)) for s in range(len(sets))
+    }
 
 
 def fit_from(
@@ -85,7 +109,7 @@ def fit_from(
 ) -> list[Fit]:
     """Lloyd's rounds from each set of centres, all sets in the same scans.
 
-    ``points`` has one array column without gaps.  A centre without rows stays
+    ``points`` has one array column without gaps, or is ``packed``.  A centre without rows stays
     where it is.  A set ends when no centre moved by more than ``tol`` or after
     ``rounds``; its cost belongs to the centres it ended with.  Sets end after as
     many scans as their own rounds, and one more scan gives all costs.
@@ -105,11 +129,10 @@ def fit_from(
     return fits
 
 
-def draw_sample(points: DataFrame, seed: int, rows: int = SAMPLE) -> np.ndarray:
-    """About ``rows`` of the points, the same ones for the same points; all if there are fewer."""
+def draw_sample(points: DataFrame, n: int, seed: int, rows: int = SAMPLE) -> np.ndarray:
+    """About ``rows`` of the ``n`` points, the same ones for the same points; all if there are fewer."""
     (column,) = points.columns
     mark = F.xxhash64(F.lit(seed), column)
-    n = points.count()
     # thinned before it is ordered, so that no task gets more than the sample
     kept = points.filter(F.pmod(mark, F.lit(n)) < 2 * rows) if n > 4 * rows else points
     return np.array([r[0] for r in kept.orderBy(mark, column).limit(rows).collect()], np.float64)
@@ -131,10 +154,11 @@ def fit_all(
     points: DataFrame, ks: Sequence[int], restarts: int, seed: int, rounds: int = 300, tol: float = 1e-4
 ) -> dict[int, Fit]:
     """The best of ``restarts`` fits for each k, the first one on ties."""
-    sample = draw_sample(points, seed)
+    n = points.count()
+    sample = draw_sample(points, n, seed)
     starts = [(k, spread_start(sample, k, np.random.default_rng([seed, k, i])))
               for k in ks for i in range(restarts)]
-    fits = fit_from(points, [s for _, s in starts], rounds, tol)
+    fits = fit_from(packed(points, n), [s for _, s in starts], rounds, tol)
     best: dict[int, Fit] = {}
     for (k, _), fit in zip(starts, fits):
         if k not in best or fit.cost < best[k].cost:
