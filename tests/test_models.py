@@ -201,6 +201,14 @@ def test_sweep_finds_planted_clusters(spark, blobs, method):
     assert {r.label for r in out.collect()} == {P.UNKNOWN_PERSONA}
 
 
+def test_customers_are_joined_once(spark, sf):
+    from tideline.catalogue import grouping
+
+    # one table, written: no pass of a query reads the orders again
+    assert grouping._customers(spark, sf) is grouping._customers(spark, sf)
+    assert grouping._placed(spark, sf).inputFiles() == []
+
+
 def test_sweep_rejects_unknown_scores(blobs):
     with pytest.raises(ValueError):
         kmeans_sweep(blobs, "id", ["x"], silhouette="cosine")

@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from tideline.catalogue.registry import query
 from tideline import presets as P
@@ -17,7 +17,7 @@ from tideline.operators.clusters import (
 from tideline.operators.lloyd import fit_from
 from tideline.operators.stages import NearestCentre, fit_scale
 from tideline.plans.observations import customer_features, read_table
-from tideline.session import scratch_path
+from tideline.session import scratch_path, stable
 
 FEATURES = ["c_acctbal", "n_orders", "mean_price", "n_closed"]
 ELEMENTS = """e AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x,
@@ -78,19 +78,27 @@ def _(spark, sf):
 
 
 _sweeps: dict[tuple, Sweep] = {}
+_tables: dict[tuple, DataFrame] = {}
+
+
+def _customers(spark, sf) -> DataFrame:
+    """The customers, joined once with their orders and written; all queries of a session read that."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _tables:
+        _tables[key] = stable(customer_features(spark, sf))
+    return _tables[key]
 
 
 def _swept(spark, sf) -> Sweep:
     """One sweep serves all queries of a session."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _sweeps:
-        customers = customer_features(spark, sf)
-        _sweeps[key] = kmeans_sweep(customers, "c_custkey", FEATURES, 2, 6)
+        _sweeps[key] = kmeans_sweep(_customers(spark, sf), "c_custkey", FEATURES, 2, 6)
     return _sweeps[key]
 
 
 def _placed(spark, sf):
-    rows = vectors(customer_features(spark, sf), FEATURES)
+    rows = vectors(_customers(spark, sf), FEATURES)
     return _swept(spark, sf).model.transform(rows)
 
 
@@ -104,7 +112,7 @@ def _profiles(spark, sf):
 
 @query("kmeans_fit")
 def _(spark, sf):
-    rows = vectors(customer_features(spark, sf), FEATURES)
+    rows = vectors(_customers(spark, sf), FEATURES)
     model = kmeans_fit(rows, 3)
     return model.transform(rows).groupBy(CLUSTER).agg(
         F.count("*").alias("n"), *[F.avg(c).alias(c) for c in FEATURES]
@@ -182,12 +190,12 @@ def _(spark, sf):
 @query("kmeans_sweep")
 def _(spark, sf):
     # fitted each time, so that its time is that of the sweep
-    return kmeans_sweep(customer_features(spark, sf), "c_custkey", FEATURES, 2, 6).frame(spark)
+    return kmeans_sweep(_customers(spark, sf), "c_custkey", FEATURES, 2, 6).frame(spark)
 
 
 @query("pca_project")
 def _(spark, sf):
-    rows = vectors(customer_features(spark, sf), FEATURES)
+    rows = vectors(_customers(spark, sf), FEATURES)
     projection = pca_project(rows, 2)
     return projection.apply(rows).select("c_custkey", "pca_1", "pca_2")
 
@@ -247,13 +255,12 @@ def _(spark, sf):
 
 @query("assign_cluster")
 def _(spark, sf):
-    customers = customer_features(spark, sf)
     suppliers = read_table(spark, sf, "supplier").select(
         "s_suppkey", F.col("s_acctbal").alias("c_acctbal"), F.lit(10).alias("n_orders")
     )
     placed = _placed(spark, sf)
     out = assign_cluster(
-        suppliers, FEATURES, customers, _swept(spark, sf).model, _profiles(spark, sf),
+        suppliers, FEATURES, _customers(spark, sf), _swept(spark, sf).model, _profiles(spark, sf),
         pca_project(placed, 2),
     )
     return out.select("s_suppkey", CLUSTER, "label", "pca_1", "pca_2")
