@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tideline import presets as P
 from tideline.operators.clusters import (
-    CLUSTER, ClusterSuite, assign_cluster, calinski_harabasz, cluster_pipeline, cluster_points,
+    CLUSTER, ClusterSuite, assign_cluster, block_count, calinski_harabasz, cluster_pipeline, cluster_points,
     cluster_profiles, inertia, kmeans_fit, kmeans_sweep, load_clusters, nearest_centre,
     pca_project, save_clusters, silhouette_euclidean, silhouette_squared, vectors,
 )
@@ -167,6 +167,20 @@ def test_silhouettes(spark, blobs, block_rows):
         assert sq.first()[0] == pytest.approx(silhouette(points, labels, 2))
 
 
+def test_silhouette_moves_few_copies(spark, blobs):
+    # a point is moved once per block; blocks of a fixed 2,048 rows would be 293
+    assert block_count(600_000, 64, 10, 12) == 10
+    assert block_count(100_000, 64, 10, 12) == 6 and block_count(500, 64, 10, 12) == 1
+    assert block_count(600_000, 4096, 10, 12) == block_count(600_000, 64, 100_000, 12) == 293
+    # without a label a point has no silhouette and belongs to no cluster
+    df = blobs.withColumn("p", F.array("x", "y"))
+    gaps = df.withColumn("truth", F.when(F.col("id") % 5 > 0, F.col("truth")))
+    pdf = gaps.where("truth IS NOT NULL").toPandas()
+    want = silhouette(pdf[["x", "y"]].to_numpy(), pdf.truth.to_numpy())
+    assert silhouette_euclidean(gaps, "id", "truth", "p", None).first()[0] == pytest.approx(want)
+    assert silhouette_euclidean(gaps.limit(0), "id", "truth", "p").first()[0] is None
+
+
 def test_sums_of_squares(blobs):
     pdf = blobs.toPandas()
     p, l = pdf[["x", "y"]], pdf.truth

@@ -9,7 +9,6 @@ from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.ml import PipelineModel
@@ -29,7 +28,10 @@ from tideline.session import stable
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 SEED, RESTARTS = 42, 10
-BLOCK_ROWS = 2048  # a block pair takes some 100 MB in a task
+BLOCK_ROWS = 2048  # a block has no fewer rows, unless there are not so many
+BLOCK_CELLS = 1 << 22  # numbers of a block: 32 MB of coordinates, or of sums
+TILE = (512, 1024)  # distances held at once
+SUMS = pa.schema([("id", pa.int64()), ("label", pa.int64()), ("other", pa.int64()), ("total", pa.float64())])
 
 
 def vectors(
@@ -111,57 +113,88 @@ def calinski_harabasz(
     )
 
 
-def _block_sums(key, left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Distances from the points of one block to those of another, summed by cluster."""
-    empty = pd.DataFrame({"id": [], "label": [], "other": [], "total": []})
-    if left.empty or right.empty:
-        return empty
-    x = np.stack(left["point"].to_numpy()).astype("float64")
-    y = np.stack(right["target"].to_numpy()).astype("float64")
-    labels, codes = np.unique(right["other"].to_numpy(), return_inverse=True)
-    member = np.zeros((len(y), len(labels)))
-    member[np.arange(len(y)), codes] = 1.0
-    sx, sy = (x * x).sum(axis=1), (y * y).sum(axis=1)
-    square = sx[:, None] + sy[None, :] - 2.0 * (x @ y.T)
-    # equal points: what is left of the subtraction is rounding
-    square[square < 1e-12 * (sx[:, None] + sy[None, :])] = 0.0
-    totals = np.sqrt(square) @ member
-    n, k = totals.shape
-    return pd.DataFrame(
-        {
-            "id": np.repeat(left["id"].to_numpy(), k),
-            "label": np.repeat(left["label"].to_numpy(), k),
-            "other": np.tile(labels, n),
-            "total": totals.ravel(),
-        }
-    )
+def _block(rows: pa.Table) -> tuple[np.ndarray, ...]:
+    """Ids, labels, points, their squares, the distinct labels and who has which."""
+    label = rows.column("label").to_numpy()
+    x = np.asarray(rows.column("point").combine_chunks().flatten(), np.float64).reshape(len(label), -1)
+    labels, codes = np.unique(label, return_inverse=True)
+    member = np.zeros((len(label), len(labels)))
+    member[np.arange(len(label)), codes] = 1.0
+    return rows.column("id").to_numpy(), label, x, (x * x).sum(axis=1), labels, member
+
+
+def _block_sums(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+    """Distances between the points of two blocks, or within one, summed by point and cluster."""
+    same = key[0].as_py() == key[1].as_py()
+    if not left.num_rows or not (same or right.num_rows):
+        return SUMS.empty_table()
+    id_a, label_a, x, sx, labels_a, member_a = _block(left)
+    id_b, label_b, y, sy, labels_b, member_b = _block(left if same else right)
+    to_a, to_b = np.zeros((len(x), len(labels_b))), np.zeros((len(y), len(labels_a)))
+    for r in range(0, len(x), TILE[0]):
+        for c in range(0, len(y), TILE[1]):
+            i, j = slice(r, r + TILE[0]), slice(c, c + TILE[1])
+            square = sx[i, None] + sy[None, j]
+            least = 1e-12 * square
+            square -= 2.0 * (x[i] @ y[j].T)
+            # equal points: what is left of the subtraction is rounding
+            square[square < least] = 0.0
+            away = np.sqrt(square, out=square)
+            to_a[i] += away @ member_b[j]
+            if not same:
+                to_b[j] += away.T @ member_a[i]
+    sides = [(id_a, label_a, labels_b, to_a)] + ([] if same else [(id_b, label_b, labels_a, to_b)])
+    return pa.concat_tables([
+        pa.table([np.repeat(i, len(o)), np.repeat(own, len(o)), np.tile(o, len(i)), t.ravel()], schema=SUMS)
+        for i, own, o, t in sides
+    ])
+
+
+def block_count(rows: int, dims: int, clusters: int, tasks: int) -> int:
+    """Blocks as large as a task can hold two of, so that few copies of a point are moved.
+
+    A table that fits fewer is cut into enough pairs of blocks for ``tasks``.
+    """
+    most = max(BLOCK_ROWS, min(BLOCK_CELLS // max(dims, 1), BLOCK_CELLS // max(clusters, 1)))
+    return max(1, math.ceil(rows / most), min(math.ceil(rows / BLOCK_ROWS), math.isqrt(4 * tasks)))
 
 
 def silhouette_euclidean(
     df: DataFrame, id: str, label: str, point: str, digits: int | None = 4,
-    block_rows: int = BLOCK_ROWS,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Mean silhouette with Euclidean distances, exact, cost in the square of the rows.
 
-    Points are hashed into even blocks; each task takes one pair of blocks and
-    returns one sum per point and cluster, never the pairs.
+    Points are hashed into even blocks; each task takes one pair of blocks, each
+    pair once, and returns one sum per point and cluster, never the pairs.
+    Points without a label take no part.
     """
     points = df.select(
         F.col(id).cast("long").alias("id"), F.col(label).cast("long").alias("label"),
         F.col(point).cast("array<double>").alias("point"),
+    ).where(F.col("label").isNotNull())
+    sizes = points.groupBy(F.col("label").alias("other")).agg(
+        F.count("*").alias("n"), F.max(F.size("point")).alias("dims")
     )
-    blocks = max(1, math.ceil(points.count() / block_rows))
+    facts = sizes.agg(F.sum("n").alias("n"), F.max("dims").alias("dims"), F.count("*").alias("k")).first()
+    n = facts.n or 0
+    if block_rows is None:
+        tasks = df.sparkSession.sparkContext.defaultParallelism
+        blocks = block_count(n, facts.dims or 1, facts.k, tasks)
+    else:
+        blocks = max(1, math.ceil(n / block_rows))
     block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int")
-    others = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
-    left = points.withColumn("i", block).withColumn("j", others)
-    right = points.withColumn("j", block).withColumn("i", others).select(
-        F.col("i").alias("ri"), F.col("j").alias("rj"), F.col("label").alias("other"),
-        F.col("point").alias("target"),
+    # a point meets its own block and those after it on the left, those before it on the right
+    left = points.withColumn("i", block).withColumn(
+        "j", F.explode(F.sequence(F.col("i"), F.lit(blocks - 1)))
+    )
+    right = points.withColumn("j", block).where("j > 0").withColumn(
+        "i", F.explode(F.sequence(F.lit(0), F.col("j") - 1))
     )
-    sums = left.groupBy("i", "j").cogroup(right.groupBy("ri", "rj")).applyInPandas(
+    sums = left.groupBy("i", "j").cogroup(right.groupBy("i", "j")).applyInArrow(
         _block_sums, "id long, label long, other long, total double"
     )
-    sizes = points.groupBy(F.col("label").alias("other")).agg(F.count("*").alias("n"))
+    sizes = sizes.drop("dims")
     # one row per cluster
     near = (
         sums.groupBy("id", "label", "other").agg(F.sum("total").alias("total"))
