@@ -118,3 +118,12 @@ def test_explanation_rules(spark):
     assert sorted(r.impact for r in got.where("id = 1").collect()) == [
         "+16.5%", "-12.0%", "-18.0%", "-19.5%"]
     assert got.where("id = 2").count() == 0
+
+
+def test_contexts_are_sorted_after_the_shuffle(spark):
+    # slots of a whole part of a file in one sort grow with that part
+    days = recommend_study(scored(spark, range(6), 18), ["ctx"])
+    plan = days._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "Aggregate" not in below and "Sort " not in below
