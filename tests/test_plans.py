@@ -70,6 +70,28 @@ def test_spearman_moves_rows_twice(spark, monkeypatch, columns, deletion):
     assert others - len(small) == 1
 
 
+@pytest.mark.parametrize("columns", [["a"], ["a", "b"], ["a", "b", "x"], ["x", "b", "y"]])
+def test_few_values_are_ranked_by_counting(spark, monkeypatch, columns):
+    written = []
+    monkeypatch.setattr(
+        "tideline.operators.ordering.stable", lambda df: written.append(plan(df)) or stable(df)
+    )
+    i = F.col("id")
+    df = spark.range(9000).select(
+        F.when(i % 11 > 0, (i * 7 % 4).cast("double")).alias("a"), (F.sqrt(i % 3) - 1).alias("b"),
+        F.when(i % 5 > 0, (i * 7919 % 8999).cast("double")).alias("x"), (i * 31 % 5000).cast("double").alias("y"),
+    )
+    got = ranks_by_row(df, [F.col(c) for c in columns])
+    want = df.toPandas()[columns].rank().dropna(how="all").astype(object)
+    want = want.where(want.notna(), None)
+    key = lambda r: str(tuple(r))
+    assert sorted(map(tuple, got.collect()), key=key) == sorted(map(tuple, want.to_numpy().tolist()), key=key)
+    # only lists of many values are moved by range, and only two or more of these by row
+    wide = [c for c in columns if c in "xy"]
+    assert sum("Exchange rangepartitioning" in p for p in written) == (1 if wide else 0)
+    assert ("Exchange hashpartitioning(row" in plan(got)) == (len(wide) > 1)
+
+
 def test_spearman_splits_a_hot_value(spark):
     rows = [(float(i % 3 == 0), float(i * 7919 % 1000)) for i in range(3000)]
     df = spark.createDataFrame(rows, "x double, y double")

@@ -154,6 +154,7 @@ def with_ranks(
 
 
 HOT_SHARE, HOT_SPREAD = 200, 64  # a value with more than a 200th of the rows goes to 64 places
+FEW_SHARE = 1000  # a list whose values hold as many rows each on average is ranked by its values
 
 
 def _ordered_bits(df: DataFrame) -> DataFrame:
@@ -172,23 +173,50 @@ def _ordered_bits(df: DataFrame) -> DataFrame:
     )
 
 
+def _counted_ranks(base: DataFrame, few: Sequence[int]) -> DataFrame:
+    """``base`` with ``rank`` columns of the lists ``few``, whose counted values are broadcast."""
+    cells = [F.struct(F.lit(i).alias("list"), F.col(f"v{i}").alias("value")) for i in few]
+    counts = base.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull())
+    # one row per list and value
+    upto = Window.partitionBy("list").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranks = stable(
+        counts.groupBy("list", "value").agg(F.count("*").alias("cnt")).select(
+            "list", "value", (F.sum("cnt").over(upto) - (F.col("cnt") - 1) / 2).alias("rank")
+        )
+    )
+    for i in few:
+        mine = ranks.where(F.col("list") == i).select(F.col("value").alias(f"v{i}"), F.col("rank").alias(f"rank{i}"))
+        base = base.join(F.broadcast(mine), f"v{i}", "left")
+    return base
+
+
 def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
     """``rank0``, ``rank1`` and so on: each row's rank in each list; rows that are in no list are left out.
 
     Each expression is a list of its own, ties share their mean rank, and rows
-    where it is NULL or NaN are not in it.  All lists are ranked by one range
-    shuffle of (list, value, row) and brought together by one shuffle on the row,
-    however many there are.  Values that hold many rows are named by a sketch and
+    where it is NULL or NaN are not in it.  Lists of few values are ranked by
+    counting these.  All others are ranked by one range
+    shuffle of (list, value, row), which carries the ranks known by then, and are
+    brought together by one shuffle on the row, however many there are; a single
+    one needs none.  Values that hold many rows are named by a sketch and
     spread over places; what a place holds is counted where it lies.
     """
     cells = [F.when(~F.isnan(c.cast("double")), c.cast("double")) for c in lists]
     values = df.select(*[c.alias(f"v{i}") for i, c in enumerate(cells)])
     base = stable(_ordered_bits(values).withColumn("row", F.monotonically_increasing_id()))
     tops = base.agg(
-        F.count("*").alias("n"), *[F.expr(f"approx_top_k(v{i}, {HOT_SHARE})").alias(f"t{i}") for i in range(len(cells))]
+        F.count("*").alias("n"), *[F.expr(f"approx_top_k(v{i}, {HOT_SHARE})").alias(f"t{i}") for i in range(len(cells))],
+        *[F.approx_count_distinct(f"v{i}").alias(f"d{i}") for i in range(len(cells))],
     ).first()
+    few = [i for i in range(len(cells)) if tops[f"d{i}"] * FEW_SHARE <= tops.n and tops[f"d{i}"] <= BROADCAST_ROWS]
+    wide = [i for i in range(len(cells)) if i not in few]
+    base = _counted_ranks(base, few) if few else base
+    known, names = [f"rank{i}" for i in few], [f"rank{i}" for i in range(len(cells))]
+    ranked_anywhere = F.coalesce(*known).isNotNull() if known else F.lit(False)
+    if not wide:
+        return base.where(ranked_anywhere).select(*names)
     entries = []
-    for i in range(len(cells)):
+    for i in wide:
         v = F.col(f"v{i}")
         hot = [t["item"] for t in tops[f"t{i}"] or [] if t["item"] is not None and t["count"] * HOT_SHARE > tops.n]
         is_hot = v.isin(hot) if hot else F.lit(False)
@@ -196,7 +224,7 @@ def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
         entries.append(F.when(v.isNotNull(), F.struct(
             F.lit(i).alias("list"), v.alias("value"), place.alias("place")
         )))
-    long = base.select("row", F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
+    long = base.select("row", *known, F.inline(F.filter(F.array(*entries), lambda e: e.isNotNull())))
     keys = ["list", "value", "place"]
     group = Window.partitionBy(*keys)
     # the range shuffle already brings a group together, so the window moves nothing
@@ -220,11 +248,20 @@ def ranks_by_row(df: DataFrame, lists: Sequence[Column]) -> DataFrame:
     )
     rank = F.coalesce(F.col("_from"), F.col("_start")) + (F.coalesce(F.col("_all"), F.col("_n")) + 1) / 2
     ranked = started.join(F.broadcast(spread), ["list", "value"], "left").select(
-        "row", "list", rank.alias("rank")
+        "row", *known, "list", rank.alias("rank")
     )
-    # moved narrow, then set side by side; a row has one entry a list
-    beside = [F.max(F.when(F.col("list") == i, F.col("rank"))).alias(f"rank{i}") for i in range(len(cells))]
-    return ranked.repartition("row").groupBy("row").agg(*beside).drop("row")
+    if len(wide) == 1:
+        out = ranked.withColumnRenamed("rank", f"rank{wide[0]}").select(*names)
+    else:
+        # moved narrow, then set side by side; a row has one entry a list
+        beside = [F.max(F.when(F.col("list") == i, F.col("rank"))).alias(f"rank{i}") for i in wide]
+        out = ranked.repartition("row").groupBy("row").agg(*[F.max(c).alias(c) for c in known], *beside).select(*names)
+    if not few:
+        return out
+    # rows that are in lists of few values only
+    rest = base.where(F.coalesce(*[F.col(f"v{i}") for i in wide]).isNull() & ranked_anywhere)
+    gaps = [F.lit(None).cast("double").alias(c) if c not in known else F.col(c) for c in names]
+    return out.unionByName(rest.select(*gaps))
 
 
 def neighbour(
