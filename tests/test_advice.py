@@ -1,7 +1,12 @@
+import json
+
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+from oracle import compare
 from tideline import presets as P
+from tideline.catalogue import QUERIES
 from tideline.operators.recommend import (
     expand_slots, explain_factors, listed_slots, recommend_prep, recommend_slots,
     recommend_study, score_crowd, score_demand, score_occupancy,
@@ -127,3 +132,22 @@ def test_contexts_are_sorted_after_the_shuffle(spark):
     assert plan.count("Exchange hashpartitioning") == 1
     below = plan.split("Exchange hashpartitioning")[1]
     assert "Aggregate" not in below and "Sort " not in below
+
+
+def test_the_query_ranks_the_offers_and_lists_the_day(spark, tmp_path):
+    rows = [(k, "n", k % 25, 0.0, "s") for k in range(1, 60)]
+    df = spark.createDataFrame(
+        rows, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string")
+    df.write.parquet(f"{tmp_path}/customer.parquet")
+    got = QUERIES["recommend_slots"](spark, str(tmp_path)).where("c_custkey = 7").first()
+    loads = [(7 * 37 + h * 113) % 1000 / 10 for h in (8, 10, 12, 14, 17, 20)]
+    day, best = json.loads(got.full_day_schedule), json.loads(got.recommended)
+    assert (got.requested_hour, [s["load"] for s in day]) == (14, loads)
+    asked = loads[3]
+    others = [x for i, x in enumerate(loads) if i != 3]
+    want = sorted([x for x in others if x < asked] or others)[:3]
+    assert [s["predicted_load_pct"] for s in best] == want
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW customer AS SELECT * FROM read_parquet('{tmp_path}/customer.parquet/*.parquet')")
+    ok, text, _ = compare(spark, con, "recommend_slots", str(tmp_path))
+    assert ok, text
