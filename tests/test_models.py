@@ -17,6 +17,7 @@ from tideline.operators.models import (
     feature_importance, fit_logistic, load_suite, save_suite, train_suite, TrainSize,
 )
 from tideline.operators.stages import fit_scale
+from tideline.operators.trees import Bins
 from tideline.session import stable
 
 SMALL = dict(trees=10, rounds=8)
@@ -296,3 +297,29 @@ def test_nearest_centre(spark, rows):
     df = spark.createDataFrame([(0.0, 0.0), (9.0, 1.0), (5.0, 0.0)], "x double, y double")
     out = nearest_centre(df, ["x", "y"], {0: (0, 0), 1: (10, 0)})
     assert rows(out, "x", CLUSTER) == [(0.0, 0), (5.0, 0), (9.0, 1)]
+
+
+def test_suites_of_the_same_rows_share_regressors(signal, suite, spark):
+    spec = SuiteSpec("t", FEATURES, "y", "kind", (10, 300), 10.0, "weighted", extra_classes=("lo", "hi"), **SMALL)
+    alone, sharing = train_suite(*signal, spec), train_suite(*signal, spec, [suite])
+    for c in REGRESSORS:
+        assert sharing.models[c.name] is suite.models[c.name] and alone.models[c.name] is not suite.models[c.name]
+    assert list(sharing.models) == list(alone.models) and sharing.report == alone.report
+    # other features or rounds are other models
+    for change in ({"features": ["a", "b"]}, {"rounds": 3}, {"target": "a"}):
+        other = train_suite(*signal, replace(spec, label=None, regressors=tuple(REGRESSORS[:1]), **change), [suite])
+        assert other.models["Linear Regression"] is not suite.models["Linear Regression"]
+
+
+def test_ensembles_of_a_suite_bin_their_rows_once(signal, monkeypatch):
+    calls, real = [], Bins.of
+    monkeypatch.setattr(Bins, "of", lambda df, *given: calls.append(given[1]) or real(df, *given))
+    train, test = signal
+    spec = SuiteSpec("u", FEATURES, "y", "flag", classifiers=tuple(CLASSIFIERS[1:]), trees=2, rounds=2)
+    train_suite(train, test, spec)
+    assert calls == [["_class", "_target"]]
+    # rows without a label count for the other one
+    calls.clear()
+    unlabelled = train.withColumn("flag", F.when(F.col("id") > 9, F.col("flag")))
+    train_suite(unlabelled, test, spec)
+    assert sorted(calls) == [["_class"], ["_class"], ["_target"]]

@@ -6,6 +6,7 @@ from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
 from pyspark.sql import functions as F
 
 from tideline.operators.models import TrainSize, fit_forest_clf, fit_forest_reg, fit_gbt_clf, fit_gbt_reg
+from tideline.operators.trees import Bins, Layout, Paths, Sums, Tree, _open, _slots, _walk
 
 SIZE = TrainSize(900, trees=8, rounds=7)
 
@@ -72,3 +73,45 @@ def test_first_split_is_the_best_one(spark):
     got = {r.a: r.prediction for r in model.transform(df).collect()}
     assert all(abs(got[a] - 100.0 * (a >= 60)) < 1e-9 for a in got if not 57 <= a <= 62)
     assert model.featureImportances.toArray()[0] > 0.99
+
+
+@pytest.mark.parametrize("level", [0, 1, 5, 6, 7, 9, 10])
+@pytest.mark.parametrize("sizes", [(7, 32, 32, 12, 5), (1, 9), (32,)])
+def test_paths_and_sums_are_those_of_a_walk(level, sizes):
+    """Masks of leaves lead where a walk leads, and sums by pair add up to those by feature."""
+    rng, inner = np.random.default_rng(level), 2**level - 1
+    tree, layout = Tree.of(level, 2), Layout.of(sizes)
+    tree.feature[:inner] = rng.integers(0, len(sizes), inner)
+    tree.cut[:inner] = [rng.integers(0, max(1, sizes[f] - 1)) for f in tree.feature[:inner]]
+    for i in range(1, inner):  # some paths end early
+        if rng.random() < 0.1 or tree.feature[(i - 1) // 2] < 0:
+            tree.feature[i] = -1
+    cells = np.stack([rng.integers(0, n, 3000) for n in sizes]).astype(np.uint8)
+    codes = layout.codes(cells)
+    assert (layout.cells(codes) == cells).all()
+    paths = Paths(tree.feature, tree.cut, level, layout)
+    place = paths.of(codes.astype(np.intp))
+    node = _walk(tree.feature, tree.cut, cells, level)
+    assert (paths.ends(tree.feature)[place] == node).all()
+    nodes = _open(tree, level)
+    slot = _slots(nodes, level)[place]
+    y, kind, w = rng.normal(size=3000), rng.integers(0, 3, 3000), rng.random(3000)
+    for classes, label, columns in ((0, y, [w, w * y]), (3, kind, [w * (kind == c) for c in range(3)])):
+        sums = Sums(layout, len(nodes), classes)
+        sums.add(codes.astype(np.intp) if sums.few else cells, slot, label, w)
+        got = sums.whole().reshape(len(sizes), len(nodes), 32, -1)
+        for s, n in enumerate(nodes):
+            for f in range(len(sizes)):
+                want = [np.bincount(cells[f][node == n], c[node == n], 32) for c in columns]
+                assert np.allclose(got[f, s], np.transpose(want))
+
+
+def test_shared_bins_give_the_same_trees(data):
+    bins = Bins.of(data, "x", ["flag", "y"], "a")
+    for build, label in ((fit_forest_reg, "y"), (fit_gbt_reg, "y"), (fit_forest_clf, "flag"), (fit_gbt_clf, "flag")):
+        alone, shared = build(SIZE), build(SIZE)
+        shared.bins = bins
+        if build is fit_forest_clf:
+            alone.setWeightCol("a"), shared.setWeightCol("a")
+        a, b = (_fit(e, label, data).featureImportances.toArray() for e in (alone, shared))
+        assert np.allclose(a, b)

@@ -20,7 +20,7 @@ from tideline.functions.numbers import clip, half_even
 from tideline.operators.evaluation import (
     class_weights, classification_metrics, label_index, regression_metrics,
 )
-from tideline.operators.trees import HistogramTrees
+from tideline.operators.trees import Bins, HistogramTrees
 from tideline.session import ensure_checkpoint_dir, side_by_side
 from tideline.sources.reports import load_model, save_model
 
@@ -202,11 +202,41 @@ def _prepared(df: DataFrame, spec: SuiteSpec) -> DataFrame:
     return df.withColumns({f"_f_{c}": F.col(c).cast("double") for c in spec.features})
 
 
-def train_suite(train: DataFrame, test: DataFrame, spec: SuiteSpec) -> FittedSuite:
+def _known(spec: SuiteSpec, others: Sequence[FittedSuite]) -> dict[str, Model]:
+    """Models of regressors that other suites fitted on the same features and target."""
+    found = {}
+    for o in others:
+        same = lambda s: (list(s.features), s.target, s.trees, s.rounds)
+        if same(o.spec) == same(spec):
+            theirs = [c for c in o.spec.regressors if c.name in o.models]
+            found.update({c.name: o.models[c.name] for c in theirs if c in tuple(spec.regressors)})
+    return found
+
+
+def _bin_once(ready: DataFrame, estimators: Sequence[Estimator]) -> None:
+    """Ensembles share their binned rows; those for a label that rows lack bin the others."""
+    trees = [e for e in estimators if isinstance(e, HistogramTrees)]
+    if len(trees) < 2:
+        return
+    labels = sorted({e.getLabelCol() for e in trees})
+    weights = [e.getWeightCol() for e in trees if e.isSet(e.weightCol)]
+    lacking = ready.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in labels]).first()
+    whole = [c for c in labels if not lacking[c]]
+    if whole:
+        bins = Bins.of(ready, RAW, whole, weights[0] if weights else None)
+        for e in trees:
+            e.bins = bins
+
+
+def train_suite(
+    train: DataFrame, test: DataFrame, spec: SuiteSpec, others: Sequence[FittedSuite] = ()
+) -> FittedSuite:
     """Fit every candidate on ``train``, compare on ``test``, keep the best of each kind.
 
     Only metrics and models reach the driver.  The training part is kept in
     memory and on disk for the time of the fits, as every tree level reads it.
+    Regressors that ``others``, suites of the same ``train``, fitted to the same
+    features and target are the same models and not fitted again.
     """
     ensure_checkpoint_dir(train.sparkSession)
     inputs = [f"_f_{c}" for c in spec.features]
@@ -235,16 +265,19 @@ def train_suite(train: DataFrame, test: DataFrame, spec: SuiteSpec) -> FittedSui
             fitted.constant_class = next(iter(weights), None)
         elif spec.label:
             wanted += [(c, INDEX) for c in spec.classifiers]
-        estimators = []
-        for c, label in wanted:
+        known, estimators = _known(spec, others), []
+        missing = [(c, label) for c, label in wanted if label != TARGET or c.name not in known]
+        for c, label in missing:
             estimator = c.build(size).setFeaturesCol(SCALED if c.scaled else RAW)
             if c.weighted:
                 estimator = estimator.setWeightCol(WEIGHT)
             estimators.append(estimator.setLabelCol(label))
+        _bin_once(ready, estimators)
         models = side_by_side(
             train.sparkSession, [lambda e=e: e.fit(ready) for e in estimators]
         )
-        fitted.models = {c.name: m for (c, _), m in zip(wanted, models)}
+        new = {c.name: m for (c, _), m in zip(missing, models)}
+        fitted.models = {c.name: new[c.name] if c.name in new else known[c.name] for c, _ in wanted}
     finally:
         ready.unpersist()
 

@@ -1,9 +1,15 @@
 """Forests and boosted trees from histograms of rows that are binned once.
 
-Rows become blocks of bin numbers, one byte a value.  A level of all trees is one
-scan: each task walks its blocks down a tree at a time and sums its rows per node,
-feature and bin; Spark adds the sums up per tree and the best split of each node
-reaches the driver.  Boosting keeps the sum of the earlier trees beside the rows.
+Rows become blocks of bin numbers, one code of two bytes for a pair of features.
+A level of all trees is one scan: each task walks its blocks down a tree at a time
+and sums its rows per node, feature and bin; Spark adds the sums up per tree and the
+best split of each node reaches the driver.  Boosting keeps the sum of the earlier
+trees beside the rows.
+
+A walk looks up, per pair of features, which leaves a code leaves open, six levels
+at once; the first leaf that all pairs leave open is the row's.  While a level has
+few nodes, rows are summed per pair, which is half the sums, and added up by feature
+at the end of the task.
 
 Rules are those of Spark ML's ensembles: 32 bins at quantiles, Poisson weights per
 tree, variance or Gini gain, a first boosted tree of weight 1 on the labels, and
@@ -21,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext, cloudpickle, keyword_only
+from pyspark import StorageLevel, TaskContext, cloudpickle, keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.linalg import DenseVector
@@ -39,13 +45,16 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BINS = 32
 BLOCK = 1 << 16  # rows of a block, at most
-TASK_ROWS = 1 << 20  # rows of a task, about; a row takes 24 bytes and one per feature
+TASK_ROWS = 1 << 20  # rows of a task, about; a row takes up to 24 bytes and 6 per feature
 REFRESH = 5  # boosting rounds after which the sum of the trees is written
-SCHEMA = "block long, n int, bins binary, y binary, w binary, f binary"
+STEPS = (6, 3)  # levels that the first and each further look at the masks takes
+PAIR_CELLS = 1 << 18  # sums of a pair of features that a task adds up at once, at most
+NAMES = ["block", "n", "codes", "y", "w", "f"]
+SCHEMA = "block long, n int, codes binary, y binary, w binary, f binary"
 # Poisson(1) by a draw of 16 bits
 _POISSON = np.searchsorted(
     np.cumsum([math.exp(-1) / math.factorial(k) for k in range(12)]), (np.arange(65536) + 0.5) / 65536
-).astype(np.float64)
+).astype(np.uint8)
 
 
 @dataclass
@@ -78,15 +87,152 @@ def _walk(feature: np.ndarray, cut: np.ndarray, cells: np.ndarray, steps: int) -
     return node
 
 
-def _sums(cells: np.ndarray, slot: np.ndarray, slots: int, columns: Sequence[np.ndarray]) -> np.ndarray:
-    """Sums (features, slots * BINS, columns) of the rows of one block."""
-    out = np.empty((len(cells), slots * BINS, len(columns)))
-    base = slot * BINS
-    for f, bins in enumerate(cells):
-        place = base + bins
-        for s, column in enumerate(columns):
-            out[f, :, s] = np.bincount(place, column, slots * BINS)
-    return out
+@dataclass
+class Layout:
+    """Bins of each feature, and which two features share a code."""
+
+    sizes: list[int]
+    pairs: list[tuple[int, ...]]
+
+    @staticmethod
+    def of(sizes: Sequence[int]) -> Layout:
+        """Features of many bins go with those of few."""
+        order = sorted(range(len(sizes)), key=lambda f: sizes[f])
+        pairs = []
+        while len(order) > 1:
+            pairs.append((order.pop(), order.pop(0)))
+        return Layout(list(sizes), pairs + [(f,) for f in order])
+
+    def width(self, pair: tuple[int, ...]) -> int:
+        return math.prod(self.sizes[f] for f in pair)
+
+    def codes(self, cells: np.ndarray) -> np.ndarray:
+        """One row of codes per pair, of one row of bins per feature."""
+        out = np.empty((len(self.pairs), cells.shape[1]), np.uint16)
+        for row, pair in zip(out, self.pairs):
+            row[:] = cells[pair[0]]
+            for f in pair[1:]:
+                row *= np.uint16(self.sizes[f])
+                row += cells[f]
+        return out
+
+    def cells(self, codes: np.ndarray) -> np.ndarray:
+        out = np.empty((len(self.sizes), codes.shape[1]), np.uint8)
+        for row, pair in zip(codes, self.pairs):
+            if len(pair) > 1:
+                known = np.arange(self.width(pair))
+                out[pair[0]] = (known // self.sizes[pair[1]]).astype(np.uint8).take(row)
+                out[pair[1]] = (known % self.sizes[pair[1]]).astype(np.uint8).take(row)
+            else:
+                out[pair[0]] = row
+        return out
+
+    def by_feature(self, sums: Sequence[np.ndarray], slots: int) -> np.ndarray:
+        """Sums (features, slots, BINS, columns) of sums (slots * width, columns) by pair."""
+        out = np.zeros((len(self.sizes), slots, BINS, sums[0].shape[-1]))
+        for pair, part in zip(self.pairs, sums):
+            part = part.reshape(slots, *[self.sizes[f] for f in pair], -1)
+            for i, f in enumerate(pair):
+                out[f, :, : self.sizes[f]] = part.sum(axis=2 - i) if len(pair) > 1 else part
+        return out
+
+
+class Paths:
+    """Leads rows of codes to the nodes of a level of one tree.
+
+    A row that goes right at a node cannot end left of it.  Of the leaves that no
+    node rules out the first is the row's; a path that ends early goes left.
+    """
+
+    def __init__(self, feature: np.ndarray, cut: np.ndarray, level: int, layout: Layout):
+        self.level, self.stages, done = level, [], 0
+        while done < level:
+            steps = min(STEPS[bool(done)], level - done)
+            self.stages.append((steps, self._masks(feature, cut, done, steps, layout)))
+            done += steps
+
+    @staticmethod
+    def _masks(feature, cut, done, steps, layout) -> list[np.ndarray]:
+        """Per pair the leaves left open, by subtree of level ``done`` and code."""
+        leaves, tops = 1 << steps, 1 << done
+        kind = np.dtype(f"u{max(8, leaves) // 8}")
+        every = kind.type((1 << leaves) - 1)
+        open_ = [np.full((tops, size), every, kind) for size in layout.sizes]
+        for depth in range(steps):
+            first, below = (tops << depth) - 1, leaves >> (depth + 1)
+            for i in range(tops << depth):
+                f = feature[first + i]
+                if f >= 0:
+                    top, place = divmod(i, 1 << depth)
+                    left = ((1 << below) - 1) << (2 * below * place)
+                    open_[f][top, cut[first + i] + 1 :] &= kind.type(~left & int(every))
+        out = []
+        for pair in layout.pairs:
+            mask = open_[pair[0]]
+            for f in pair[1:]:
+                mask = mask[:, :, None] & open_[f][:, None, :]
+            out.append(np.ascontiguousarray(mask).reshape(tops, -1))
+        return out
+
+    def of(self, codes: Sequence[np.ndarray]) -> np.ndarray:
+        """Place in the level of each row."""
+        at = None
+        for steps, masks in self.stages:
+            left = None
+            for code, mask in zip(codes, masks):
+                part = mask.ravel().take(code if at is None else at * mask.shape[1] + code)
+                left = part if left is None else np.bitwise_and(left, part, out=left)
+            # bits below the lowest one
+            leaf = np.bitwise_count(~left & (left - left.dtype.type(1))).astype(np.intp)
+            at = leaf if at is None else (at << steps) + leaf
+        return np.zeros(len(codes[0]), np.intp) if at is None else at
+
+    def ends(self, feature: np.ndarray) -> np.ndarray:
+        """The node at which each place's path ends."""
+        place, node = np.arange(1 << self.level), np.zeros(1 << self.level, np.int64)
+        for depth in range(self.level):
+            right = place >> (self.level - 1 - depth) & 1
+            node = np.where(feature[node] >= 0, 2 * node + 1 + right, node)
+        return node
+
+
+def _few(layout: Layout, slots: int, width: int) -> bool:
+    """Whether a task sums by pair."""
+    return max(layout.width(p) for p in layout.pairs) * slots * width <= PAIR_CELLS
+
+
+class Sums:
+    """Sums of one tree's rows by slot, feature and bin; classes are columns."""
+
+    def __init__(self, layout: Layout, slots: int, classes: int):
+        self.layout, self.slots, self.classes = layout, slots, classes
+        self.width = classes or 2
+        self.few = _few(layout, slots + 1, self.width)
+        sizes = [layout.width(p) for p in layout.pairs] if self.few else layout.sizes
+        self.sizes, self.parts = sizes, [np.zeros(((slots + 1) * n, self.width)) for n in sizes]
+
+    def add(self, codes: Sequence[np.ndarray], slot: np.ndarray, y: np.ndarray, w: np.ndarray | None) -> None:
+        """``codes`` by pair if these are few, else bins by feature; rows of the last slot do not count."""
+        wy = None if self.classes else y if w is None else w * y
+        for part, size, code in zip(self.parts, self.sizes, codes):
+            place = slot * size + code
+            if self.classes:
+                place = place * self.classes + y
+                part += np.bincount(place, w, part.size).reshape(part.shape)
+            else:
+                part[:, 0] += np.bincount(place, w, len(part))
+                part[:, 1] += np.bincount(place, wy, len(part))
+
+    def whole(self) -> np.ndarray:
+        """Sums (features, slots * BINS, columns)."""
+        parts = [p[: self.slots * n] for p, n in zip(self.parts, self.sizes)]
+        if self.few:
+            out = self.layout.by_feature(parts, self.slots)
+        else:
+            out = np.zeros((len(self.sizes), self.slots, BINS, self.width))
+            for f, (part, size) in enumerate(zip(parts, self.sizes)):
+                out[f, :, :size] = part.reshape(self.slots, size, self.width)
+        return out.reshape(len(out), -1, self.width)
 
 
 def _weight(stats: np.ndarray, classes: int) -> np.ndarray:
@@ -126,26 +272,27 @@ def best_splits(sums: np.ndarray, classes: int, allowed: np.ndarray | None) -> l
 
 
 def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """Blocks as number, codes, labels, weights, sums of the trees; the last two may be missing."""
     for batch in batches:
         for i in range(batch.num_rows):
-            block, n, *parts = [batch.column(j)[i].as_py() for j in range(6)]
-            y, w, f = [np.frombuffer(p, np.float64) for p in parts[1:]]
-            yield block, np.frombuffer(parts[0], np.uint8).reshape(-1, n), y, w, f
+            parts = [np.frombuffer(batch.column(j)[i].as_buffer(), np.float64) for j in (3, 4, 5)]
+            codes = np.frombuffer(batch.column(2)[i].as_buffer(), np.uint16)
+            y, w, f = (p if len(p) else None for p in parts)
+            yield batch.column(0)[i].as_py(), codes.reshape(-1, batch.column(1)[i].as_py()), y, w, f
 
 
-def _row(block: int, cells: np.ndarray, *columns: np.ndarray) -> pa.RecordBatch:
-    values = [block, cells.shape[1], cells.tobytes(), *[c.tobytes() for c in columns]]
-    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * 4]
-    names = ["block", "n", "bins", "y", "w", "f"]
+def _row(names: Sequence[str], block: int, codes: np.ndarray, *columns: np.ndarray | None) -> pa.RecordBatch:
+    values = [block, codes.shape[1], codes.tobytes(), *[b"" if c is None else c.tobytes() for c in columns]]
+    kinds = [pa.int64(), pa.int32(), *[pa.binary()] * (len(names) - 2)]
     return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(values, kinds)], names)
 
 
 def cut_points(df: DataFrame, features: str, dims: int) -> list[np.ndarray]:
     """Up to 31 values between the quantiles of each feature, of all rows."""
     grid = [float(q) for q in np.linspace(0, 1, 1025)]
-    x = vector_to_array(F.col(features))
-    facts = df.agg(*[
-        F.percentile_approx(F.get(x, F.lit(i)), grid, 10_000).alias(f"q{i}") for i in range(dims)
+    rows = df.select(vector_to_array(F.col(features)).alias("x"))
+    facts = rows.agg(*[
+        F.percentile_approx(F.get("x", F.lit(i)), grid, 10_000).alias(f"q{i}") for i in range(dims)
     ]).first()
     cuts = []
     for i in range(dims):
@@ -157,26 +304,26 @@ def cut_points(df: DataFrame, features: str, dims: int) -> list[np.ndarray]:
     return cuts
 
 
-def binned(df: DataFrame, features: str, label: str, weight: str | None, cuts: list[np.ndarray]) -> DataFrame:
-    """Blocks of rows: bins by feature, labels, weights and a zero for the sum of the trees."""
-    rows = df.select(
-        vector_to_array(F.col(features)).alias("x"), F.col(label).cast("double").alias("y"),
-        (F.col(weight) if weight else F.lit(1.0)).cast("double").alias("w"),
-    )
+def binned(
+    df: DataFrame, features: str, columns: Sequence[str], cuts: list[np.ndarray], layout: Layout
+) -> DataFrame:
+    """Blocks of rows: codes of the bins and the values of ``columns``."""
+    numbers = [F.col(c).cast("double").alias(c) for c in columns]
+    rows = df.select(vector_to_array(F.col(features)).alias("x"), *numbers)
+    names = ["block", "n", "codes", *columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, n = TaskContext.get().partitionId() << 32, [], 0
 
         def block() -> pa.RecordBatch:
-            cells, y, w = (np.concatenate(parts, axis=-1) for parts in zip(*held))
-            return _row(number, cells, y, w, np.zeros(len(y)))
+            return _row(names, number, *[np.concatenate(parts, axis=-1) for parts in zip(*held)])
 
         for batch in batches:
             x = np.asarray(batch.column(0).flatten(), np.float64).reshape(-1, len(cuts))
             cells = np.empty(x.shape[::-1], np.uint8)
             for f, cut in enumerate(cuts):
                 cells[f] = np.searchsorted(cut, x[:, f])
-            held.append((cells, *[np.asarray(batch.column(j), np.float64) for j in (1, 2)]))
+            held.append((layout.codes(cells), *[np.asarray(c, np.float64) for c in batch.columns[1:]]))
             n += batch.num_rows
             if n >= BLOCK:
                 yield block()
@@ -184,7 +331,36 @@ def binned(df: DataFrame, features: str, label: str, weight: str | None, cuts: l
         if n:
             yield block()
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(run, ", ".join(["block long, n int, codes binary", *[f"`{c}` binary" for c in columns]]))
+
+
+@dataclass
+class Bins:
+    """Rows binned once, for all fits to some labels that no row lacks."""
+
+    cuts: list[np.ndarray]
+    layout: Layout
+    blocks: DataFrame
+    top: dict[str, float]
+
+    @staticmethod
+    def of(df: DataFrame, features: str, labels: Sequence[str], weight: str | None = None) -> Bins:
+        first = df.select(F.size(vector_to_array(F.col(features))).alias("d")).first()
+        facts = df.agg(F.count("*").alias("n"), *[F.max(c).alias(c) for c in labels]).first()
+        cuts = cut_points(df, features, first["d"])
+        layout = Layout.of([len(c) + 1 for c in cuts])
+        columns = [*labels, *([weight] if weight else [])]
+        tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(facts["n"] / TASK_ROWS))
+        blocks = stable(binned(df, features, columns, cuts, layout).repartition(tasks))
+        return Bins(cuts, layout, blocks, {c: facts[c] for c in labels})
+
+    def rows(self, label: str, weight: str | None) -> DataFrame:
+        """Blocks of one fit, without a sum of the trees."""
+        none = F.lit(b"")
+        return self.blocks.select(
+            "block", "n", "codes", F.col(label).alias("y"), (F.col(weight) if weight else none).alias("w"),
+            none.alias("f"),
+        )
 
 
 class _Ensemble(HasFeaturesCol, HasSeed):
@@ -214,6 +390,8 @@ class HistogramTrees(Estimator, _Ensemble, HasLabelCol, HasWeightCol):
         self._setDefault(trees=100, maxDepth=5, stepSize=0.1, subset=False, classify=False,
                          boosted=False, seed=42)
 
+    bins: Bins | None = None  # the rows to fit, if they are binned already
+
     def setLabelCol(self, value: str):
         return self._set(labelCol=value)
 
@@ -223,17 +401,15 @@ class HistogramTrees(Estimator, _Ensemble, HasLabelCol, HasWeightCol):
     def _fit(self, df: DataFrame) -> TreesModel:
         of = self.getOrDefault
         features, label = self.getFeaturesCol(), self.getLabelCol()
-        rows = df.where(F.col(label).isNotNull())
-        first = rows.select(F.size(vector_to_array(F.col(features))).alias("d")).first()
-        facts = rows.agg(F.max(label).alias("top"), F.count("*").alias("n")).first()
-        classes = max(2, int(facts["top"]) + 1) if of(self.classify) else 0
-        cuts = cut_points(rows, features, first["d"])
         weight = self.getWeightCol() if self.isSet(self.weightCol) else None
-        tasks = max(df.sparkSession.sparkContext.defaultParallelism, math.ceil(facts["n"] / TASK_ROWS))
-        blocks = stable(binned(rows, features, label, weight, cuts).repartition(tasks))
+        bins = self.bins if self.bins and label in self.bins.top else Bins.of(
+            df.where(F.col(label).isNotNull()), features, [label], weight
+        )
+        classes = max(2, int(bins.top[label]) + 1) if of(self.classify) else 0
+        cuts, layout, blocks = bins.cuts, bins.layout, bins.rows(label, weight)
         grow = _boost if of(self.boosted) else _forest
         grown, rates, shares = grow(
-            blocks, of(self.trees), of(self.maxDepth), classes, of(self.seed), len(cuts),
+            blocks, of(self.trees), of(self.maxDepth), classes, of(self.seed), layout,
             of(self.stepSize), of(self.subset),
         )
         shared = bool(classes) and not of(self.boosted)
@@ -241,19 +417,16 @@ class HistogramTrees(Estimator, _Ensemble, HasLabelCol, HasWeightCol):
         return TreesModel(classes=classes, boosted=of(self.boosted), told=told).setFeaturesCol(features)
 
 
-def _columns(y: np.ndarray, w: np.ndarray, classes: int) -> list[np.ndarray]:
-    return [w * (y == c) for c in range(classes)] if classes else [w, w * y]
-
-
 def _open(tree: Tree, level: int) -> np.ndarray:
     """Nodes of a level that a path reaches."""
     nodes = np.arange(2**level - 1, 2 ** (level + 1) - 1)
     return nodes if level == 0 else nodes[tree.feature[(nodes - 1) // 2] >= 0]
 
 
-def _slots(tree: Tree, nodes: np.ndarray) -> np.ndarray:
-    slot = np.full(len(tree.feature), -1, np.int64)
-    slot[nodes] = np.arange(len(nodes))
+def _slots(nodes: np.ndarray, level: int) -> np.ndarray:
+    """Slot of each place of a level; places that no path reaches share the one after the last."""
+    slot = np.full(1 << level, len(nodes), np.intp)
+    slot[nodes - ((1 << level) - 1)] = np.arange(len(nodes))
     return slot
 
 
@@ -274,29 +447,41 @@ def _subsets(seed: int, tree: int, nodes: np.ndarray, dims: int) -> np.ndarray:
     return out
 
 
-def _forest(blocks, count, depth, classes, seed, dims, step, subset):
+def _drawn(seed: int, tree: int, block: int, rows: int) -> np.ndarray:
+    """How often a tree takes each row of a block."""
+    words = np.random.SFC64([seed, tree, block]).random_raw(-(-rows // 4))
+    return _POISSON.take(words.astype("<u8", copy=False).view("<u2")[:rows])
+
+
+def _forest(blocks, count, depth, classes, seed, layout, step, subset):
     """All trees level by level: one scan and one shuffle of sums by tree a level."""
-    width = classes or 2
+    width, dims = classes or 2, len(layout.sizes)
     trees = [Tree.of(depth, width) for _ in range(count)]
     shares = np.zeros((count, dims))
     for level in range(depth):
         nodes = {t: o for t, tree in enumerate(trees) if len(o := _open(tree, level))}
         if not nodes:
             break
-        shape = [(t, trees[t].feature, trees[t].cut, _slots(trees[t], o), len(o)) for t, o in nodes.items()]
+        shape = [(t, trees[t].feature, trees[t].cut, _slots(o, level), len(o)) for t, o in nodes.items()]
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            held = list(_read(batches))
+            held = []
+            for block, codes, y, w, _ in _read(batches):
+                y = y.astype(np.intp) if classes else y
+                held.append((block, codes.astype(np.intp), layout.cells(codes), y, w))
             for t, feature, cut, slot_of, slots in shape if held else ():
-                total = np.zeros((dims, slots * BINS, width))
-                for block, cells, y, w, _ in held:
-                    rng = np.random.Generator(np.random.SFC64([seed, t, block]))
-                    drawn = _POISSON[rng.integers(0, 65536, len(y), np.uint16)]
-                    slot = slot_of[_walk(feature, cut, cells, level)]
-                    take = (slot >= 0) & (drawn > 0)
-                    total += _sums(cells[:, take], slot[take], slots, _columns(y[take], (drawn * w)[take], classes))
+                paths, sums = Paths(feature, cut, level, layout), Sums(layout, slots, classes)
+                for block, codes, cells, y, w in held:
+                    drawn = _drawn(seed, t, block, len(y))
+                    at = np.flatnonzero(drawn)
+                    near = [c.take(at) for c in codes]
+                    slot = slot_of.take(paths.of(near))
+                    times = drawn.take(at).astype(np.float64)
+                    if w is not None:
+                        times *= w.take(at)
+                    sums.add(near if sums.few else [c.take(at) for c in cells], slot, y.take(at), times)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([t], pa.int32()), pa.array([total.tobytes()], pa.binary())], ["tree", "sums"]
+                    [pa.array([t], pa.int32()), pa.array([sums.whole().tobytes()], pa.binary())], ["tree", "sums"]
                 )
 
         def settle(key, table):
@@ -325,14 +510,18 @@ def _values(tree: Tree) -> np.ndarray:
     return np.divide(tree.stats[:, 1], weight, out=np.zeros(len(weight)), where=weight > 0)
 
 
-def _boost(blocks, count, depth, classes, seed, dims, step, subset):
+def _boost(blocks, count, depth, classes, seed, layout, step, subset):
     """Tree after tree, a scan a level; sums per node of one tree reach the driver."""
+    dims = len(layout.sizes)
     trees, rates, shares = [], [], np.zeros(dims)
     recent: list[tuple] = []  # trees that the written sums lack
+    # every level of a tree reads the blocks
+    blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
 
-    def so_far(cells, f, known):
-        for feature, cut, values in known:
-            f = f + values[_walk(feature, cut, cells, depth)]
+    def so_far(codes, f, known):
+        for paths, values in known:
+            part = values.take(paths.of(codes))
+            f = part if f is None else f + part
         return f
 
     for number in range(count):
@@ -341,21 +530,19 @@ def _boost(blocks, count, depth, classes, seed, dims, step, subset):
             nodes = _open(tree, level)
             if not len(nodes):
                 break
-            slot_of, slots, known = _slots(tree, nodes), len(nodes), list(recent)
+            slot_of, slots, known = _slots(nodes, level), len(nodes), list(recent)
+            paths = Paths(tree.feature, tree.cut, level, layout)
 
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                total = np.zeros((dims, slots * BINS, 2))
-                for _, cells, y, w, f in _read(batches):
-                    goal = 2.0 * y - 1.0 if classes else y
+                sums = Sums(layout, slots, 0)
+                for _, codes, y, w, f in _read(batches):
+                    goal, near = 2.0 * y - 1.0 if classes else y, codes.astype(np.intp)
                     if number:
-                        f = so_far(cells, f, known)
+                        f = so_far(near, f, known)
                         goal = 4.0 * goal / (1.0 + np.exp(np.minimum(2.0 * goal * f, 700.0))) if classes else 2.0 * (y - f)
-                    slot = slot_of[_walk(tree.feature, tree.cut, cells, level)]
-                    take = slot >= 0
-                    if not take.all():
-                        cells, slot, goal, w = cells[:, take], slot[take], goal[take], w[take]
-                    total += _sums(cells, slot, slots, [w, w * goal])
-                yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], ["sums"])
+                    slot = slot_of.take(paths.of(near))
+                    sums.add(near if sums.few else layout.cells(codes), slot, goal, w)
+                yield pa.RecordBatch.from_arrays([pa.array([sums.whole().tobytes()], pa.binary())], ["sums"])
 
             # a node takes 3 kB, there are at most 2 ** depth
             parts = blocks.mapInArrow(run, "sums binary").collect()
@@ -365,15 +552,19 @@ def _boost(blocks, count, depth, classes, seed, dims, step, subset):
         rate = step if number else 1.0
         trees.append(tree)
         rates.append(rate)
-        recent.append((tree.feature, tree.cut, rate * _values(tree)))
+        paths = Paths(tree.feature, tree.cut, depth, layout)
+        recent.append((paths, rate * _values(tree)[paths.ends(tree.feature)]))
         if len(recent) == REFRESH and number + 1 < count:
             known = list(recent)
 
             def update(batches: Iterator[pa.RecordBatch], known=known) -> Iterator[pa.RecordBatch]:
-                for block, cells, y, w, f in _read(batches):
-                    yield _row(block, cells, y, w, so_far(cells, f, known))
+                for block, codes, y, w, f in _read(batches):
+                    yield _row(NAMES, block, codes, y, w, so_far(codes.astype(np.intp), f, known))
 
-            blocks, recent = stable(blocks.mapInArrow(update, SCHEMA)), []
+            written = stable(blocks.mapInArrow(update, SCHEMA)).persist(StorageLevel.MEMORY_AND_DISK)
+            blocks.unpersist()
+            blocks, recent = written, []
+    blocks.unpersist()
     return trees, np.array(rates), shares
 
 
