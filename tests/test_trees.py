@@ -78,7 +78,7 @@ def test_first_split_is_the_best_one(spark):
 @pytest.mark.parametrize("level", [0, 1, 5, 6, 7, 9, 10])
 @pytest.mark.parametrize("sizes", [(7, 32, 32, 12, 5), (1, 9), (32,)])
 def test_paths_and_sums_are_those_of_a_walk(level, sizes):
-    """Masks of leaves lead where a walk leads, and sums by pair add up to those by feature."""
+    """Masks of leaves lead where a walk leads, and rows of ended paths are not summed."""
     rng, inner = np.random.default_rng(level), 2**level - 1
     tree, layout = Tree.of(level, 2), Layout.of(sizes)
     tree.feature[:inner] = rng.integers(0, len(sizes), inner)
@@ -97,8 +97,8 @@ def test_paths_and_sums_are_those_of_a_walk(level, sizes):
     slot = _slots(nodes, level)[place]
     y, kind, w = rng.normal(size=3000), rng.integers(0, 3, 3000), rng.random(3000)
     for classes, label, columns in ((0, y, [w, w * y]), (3, kind, [w * (kind == c) for c in range(3)])):
-        sums = Sums(layout, len(nodes), classes)
-        sums.add(codes.astype(np.intp) if sums.few else cells, slot, label, w)
+        sums = Sums(sizes, len(nodes), classes)
+        sums.add(cells, slot, label, w)
         got = sums.whole().reshape(len(sizes), len(nodes), 32, -1)
         for s, n in enumerate(nodes):
             for f in range(len(sizes)):

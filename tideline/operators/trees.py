@@ -7,9 +7,7 @@ best split of each node reaches the driver.  Boosting keeps the sum of the earli
 trees beside the rows.
 
 A walk looks up, per pair of features, which leaves a code leaves open, six levels
-at once; the first leaf that all pairs leave open is the row's.  While a level has
-few nodes, rows are summed per pair, which is half the sums, and added up by feature
-at the end of the task.
+at once; the first leaf that all pairs leave open is the row's.
 
 Rules are those of Spark ML's ensembles: 32 bins at quantiles, Poisson weights per
 tree, variance or Gini gain, a first boosted tree of weight 1 on the labels, and
@@ -48,7 +46,6 @@ BLOCK = 1 << 16  # rows of a block, at most
 TASK_ROWS = 1 << 20  # rows of a task, about; a row takes up to 24 bytes and 6 per feature
 REFRESH = 5  # boosting rounds after which the sum of the trees is written
 STEPS = (6, 3)  # levels that the first and each further look at the masks takes
-PAIR_CELLS = 1 << 18  # sums of a pair of features that a task adds up at once, at most
 NAMES = ["block", "n", "codes", "y", "w", "f"]
 SCHEMA = "block long, n int, codes binary, y binary, w binary, f binary"
 # Poisson(1) by a draw of 16 bits
@@ -127,15 +124,6 @@ class Layout:
                 out[pair[0]] = row
         return out
 
-    def by_feature(self, sums: Sequence[np.ndarray], slots: int) -> np.ndarray:
-        """Sums (features, slots, BINS, columns) of sums (slots * width, columns) by pair."""
-        out = np.zeros((len(self.sizes), slots, BINS, sums[0].shape[-1]))
-        for pair, part in zip(self.pairs, sums):
-            part = part.reshape(slots, *[self.sizes[f] for f in pair], -1)
-            for i, f in enumerate(pair):
-                out[f, :, : self.sizes[f]] = part.sum(axis=2 - i) if len(pair) > 1 else part
-        return out
-
 
 class Paths:
     """Leads rows of codes to the nodes of a level of one tree.
@@ -196,26 +184,19 @@ class Paths:
         return node
 
 
-def _few(layout: Layout, slots: int, width: int) -> bool:
-    """Whether a task sums by pair."""
-    return max(layout.width(p) for p in layout.pairs) * slots * width <= PAIR_CELLS
-
-
 class Sums:
     """Sums of one tree's rows by slot, feature and bin; classes are columns."""
 
-    def __init__(self, layout: Layout, slots: int, classes: int):
-        self.layout, self.slots, self.classes = layout, slots, classes
-        self.width = classes or 2
-        self.few = _few(layout, slots + 1, self.width)
-        sizes = [layout.width(p) for p in layout.pairs] if self.few else layout.sizes
-        self.sizes, self.parts = sizes, [np.zeros(((slots + 1) * n, self.width)) for n in sizes]
+    def __init__(self, sizes: Sequence[int], slots: int, classes: int):
+        self.sizes, self.slots, self.classes, self.width = sizes, slots, classes, classes or 2
+        # one more slot for rows that do not count
+        self.parts = [np.zeros(((slots + 1) * n, self.width)) for n in sizes]
 
-    def add(self, codes: Sequence[np.ndarray], slot: np.ndarray, y: np.ndarray, w: np.ndarray | None) -> None:
-        """``codes`` by pair if these are few, else bins by feature; rows of the last slot do not count."""
+    def add(self, cells: Sequence[np.ndarray], slot: np.ndarray, y: np.ndarray, w: np.ndarray | None) -> None:
+        """Rows of a block: bins by feature, labels and, unless all are 1, weights."""
         wy = None if self.classes else y if w is None else w * y
-        for part, size, code in zip(self.parts, self.sizes, codes):
-            place = slot * size + code
+        for part, size, bins in zip(self.parts, self.sizes, cells):
+            place = slot * size + bins
             if self.classes:
                 place = place * self.classes + y
                 part += np.bincount(place, w, part.size).reshape(part.shape)
@@ -225,13 +206,9 @@ class Sums:
 
     def whole(self) -> np.ndarray:
         """Sums (features, slots * BINS, columns)."""
-        parts = [p[: self.slots * n] for p, n in zip(self.parts, self.sizes)]
-        if self.few:
-            out = self.layout.by_feature(parts, self.slots)
-        else:
-            out = np.zeros((len(self.sizes), self.slots, BINS, self.width))
-            for f, (part, size) in enumerate(zip(parts, self.sizes)):
-                out[f, :, :size] = part.reshape(self.slots, size, self.width)
+        out = np.zeros((len(self.sizes), self.slots, BINS, self.width))
+        for f, (part, size) in enumerate(zip(self.parts, self.sizes)):
+            out[f, :, :size] = part[: self.slots * size].reshape(self.slots, size, self.width)
         return out.reshape(len(out), -1, self.width)
 
 
@@ -470,16 +447,15 @@ def _forest(blocks, count, depth, classes, seed, layout, step, subset):
                 y = y.astype(np.intp) if classes else y
                 held.append((block, codes.astype(np.intp), layout.cells(codes), y, w))
             for t, feature, cut, slot_of, slots in shape if held else ():
-                paths, sums = Paths(feature, cut, level, layout), Sums(layout, slots, classes)
+                paths, sums = Paths(feature, cut, level, layout), Sums(layout.sizes, slots, classes)
                 for block, codes, cells, y, w in held:
                     drawn = _drawn(seed, t, block, len(y))
                     at = np.flatnonzero(drawn)
-                    near = [c.take(at) for c in codes]
-                    slot = slot_of.take(paths.of(near))
+                    slot = slot_of.take(paths.of([c.take(at) for c in codes]))
                     times = drawn.take(at).astype(np.float64)
                     if w is not None:
                         times *= w.take(at)
-                    sums.add(near if sums.few else [c.take(at) for c in cells], slot, y.take(at), times)
+                    sums.add([c.take(at) for c in cells], slot, y.take(at), times)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([t], pa.int32()), pa.array([sums.whole().tobytes()], pa.binary())], ["tree", "sums"]
                 )
@@ -534,14 +510,14 @@ def _boost(blocks, count, depth, classes, seed, layout, step, subset):
             paths = Paths(tree.feature, tree.cut, level, layout)
 
             def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                sums = Sums(layout, slots, 0)
+                sums = Sums(layout.sizes, slots, 0)
                 for _, codes, y, w, f in _read(batches):
                     goal, near = 2.0 * y - 1.0 if classes else y, codes.astype(np.intp)
                     if number:
                         f = so_far(near, f, known)
                         goal = 4.0 * goal / (1.0 + np.exp(np.minimum(2.0 * goal * f, 700.0))) if classes else 2.0 * (y - f)
                     slot = slot_of.take(paths.of(near))
-                    sums.add(near if sums.few else layout.cells(codes), slot, goal, w)
+                    sums.add(layout.cells(codes), slot, goal, w)
                 yield pa.RecordBatch.from_arrays([pa.array([sums.whole().tobytes()], pa.binary())], ["sums"])
 
             # a node takes 3 kB, there are at most 2 ** depth
